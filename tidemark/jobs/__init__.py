@@ -1,8 +1,8 @@
 """The registered queries on the test tables, each next to its SQL oracle."""
 
-from . import history
+from . import aggregates, history, incremental, quality, reshape, scalars
 
-_MODULES = (history,)
+_MODULES = (history, reshape, aggregates, scalars, quality, incremental)
 
 
 def queries() -> dict:

@@ -106,10 +106,13 @@ def replicate(df: DataFrame, count_column: str, chunk: int = 100_000) -> DataFra
         ).drop("_copy")
 
     small = expand(df.where(n <= chunk), n)
+    left = n - F.col("_piece").cast("long") * chunk
+    # a stated number of partitions keeps the few, small pieces from being coalesced
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     big = (
         df.where(n > chunk)
         .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces)))
-        .withColumn("_size", F.least(F.lit(chunk).cast("long"), n - F.col("_piece") * F.lit(chunk).cast("long")))
-        .repartition()
+        .withColumn("_size", F.least(F.lit(chunk).cast("long"), left))
+        .repartition(tasks, *rest, "_piece")
     )
     return small.unionAll(expand(big, F.col("_size")))

@@ -41,6 +41,13 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists on the file system it names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    return target.getFileSystem(hadoop).exists(target)
+
+
 def small_enough_to_broadcast(df: DataFrame, max_rows: int) -> bool:
     """Count at most ``max_rows + 1`` rows and say whether the table fits."""
     return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows

@@ -11,11 +11,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_timestamp, check_part, dateadd, datediff, moment
+from ..session import path_exists
 
 PERIOD_COLUMN = "period_start"
 
@@ -130,7 +130,7 @@ def insert_by_period(
 
 def read_loaded(spark: SparkSession, path: str, schema) -> DataFrame:
     """The loaded rows without the period column."""
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).drop(PERIOD_COLUMN)
 
 
 def _resume_index(
@@ -140,10 +140,9 @@ def _resume_index(
 
     Reads the timestamp column of the target, and nothing else.
     """
-    try:
-        loaded = spark.read.schema(f"`{timestamp_field}` timestamp_ntz").parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return None
+    loaded = spark.read.schema(f"`{timestamp_field}` timestamp_ntz").parquet(path)
     newest = loaded.agg(F.max(timestamp_field).alias("t"))
     index = newest.select(period_index("t", limits).alias("n")).first()["n"]
     return None if index is None else max(index, 0)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import quoted
 from ..plans import scd2
+from ..session import path_exists
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -58,10 +58,9 @@ class HistoryStore:
 
     def commits(self) -> list[int]:
         """Finished runs, oldest first."""
-        try:
-            rows = self.spark.read.schema("batch int").parquet(f"{self.path}/commits")
-        except AnalysisException:
+        if not path_exists(self.spark, f"{self.path}/commits"):
             return []
+        rows = self.spark.read.schema("batch int").parquet(f"{self.path}/commits")
         return sorted(r["batch"] for r in rows.distinct().toLocalIterator())
 
     def _commit(self, batch: int) -> None:
