@@ -3,9 +3,9 @@
 A ``Spec`` says how the raw tables of several sources become one stream of
 versions; ``collect``, ``initial`` and ``delta`` turn that into lazy plans.
 
-The delta reads the target once: the rows of touched keys are reduced to one row
-per key (its current version, or any old one), and a single left join from the
-changes decides for every key what is closed and what is inserted.
+The delta brings every side down to one row per key (newest change, first delete,
+current version, old key), joins them once, and decides per key what is closed
+and what is opened.
 """
 
 from __future__ import annotations
@@ -228,47 +228,43 @@ def closing_times(
         known = latest_per_key(known)
     deletes = known.where(F.col(DELETED).isNotNull()).select(KEY, DELETED)
     current = target.where("is_current").select(KEY, VERSION_KEY, "valid_from")
-    # grouped by version key, not by the join key: the group-by then has its own
-    # exchange after partial aggregation, and a hot join key can be split
+    # Grouping by a struct asks for an exchange of its own, after partial aggregation.
+    # That leaves the join free to be split where one key holds most delete rows.
+    version = F.struct(KEY, VERSION_KEY).alias("_version")
     return (
         deletes.join(current, KEY)
-        .groupBy(VERSION_KEY)
+        .groupBy(version)
         .agg(
-            F.min(KEY).alias(KEY),
             F.min(F.when(F.col(DELETED) >= F.col("valid_from"), F.col(DELETED))).alias("_closed_after"),
             F.max(DELETED).alias("_closed_any"),
         )
-        .drop(VERSION_KEY)
+        .select(F.col(f"_version.{KEY}").alias(KEY), "_closed_after", "_closed_any")
     )
 
 
-def touched_versions(target: DataFrame, keys: DataFrame) -> DataFrame:
-    """One target row per touched key: the current version, else the last old one."""
-    touched = target.join(keys.select(KEY), KEY, "left_semi")
-    best = Window.partitionBy(KEY).orderBy(
-        F.col("is_current").desc(), F.col("valid_from").desc_nulls_last(), F.col(VERSION_KEY)
-    )
-    return touched.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
-
-
 def changes(
     rows: DataFrame, target: DataFrame, spec: Spec, options: Options = DEFAULTS
 ) -> DataFrame:
-    """Per touched key: the new row ``s``, the known version ``t`` and what follows.
+    """Per touched key: the new row ``s``, the current version ``t`` and what follows.
 
-    Flags: is_new, is_changed, is_deleted, is_reopened.
+    Flags: is_new, is_changed, is_deleted, is_reopened. Each side of the joins
+    has one row per key, so no key can be hot; the target is read in two disjoint
+    parts, the current versions and the bare keys of the closed ones.
     """
     valid = rows.where(F.col(KEY).isNotNull())
     fresh = newer_than_target(valid, target, options) if options.use_watermark else valid
     batch = latest_per_key(fresh)
     packed = batch.select(KEY, F.struct(*batch.columns).alias("s"))
     touching = packed.join(closing_times(rows, target, options), KEY, "full")
-    known = touched_versions(target, touching)
-    known = known.select(KEY, F.struct(*version_columns(spec)).alias("t"))
-    joined = touching.join(known, KEY, "left")
+    current = target.where("is_current").select(KEY, F.struct(*version_columns(spec)).alias("t"))
+    old_keys = (
+        target.where(~F.col("is_current")).select(KEY).distinct().withColumn("_old", F.lit(True))
+    )
+    joined = touching.join(current, KEY, "left").join(old_keys, KEY, "left")
 
     has_row, alive = F.col("s").isNotNull(), F.col(f"s.{DELETED}").isNull()
-    in_target, is_open = F.col("t").isNotNull(), F.coalesce(F.col("t.is_current"), F.lit(False))
+    is_open = F.col("t").isNotNull()
+    in_target = is_open | F.col("_old").isNotNull()
     differs = reduce(
         lambda a, b: a | b,
         [~F.col(f"s.{quoted(c)}").eqNullSafe(F.col(f"t.{quoted(c)}")) for c in spec.tracked],

@@ -48,6 +48,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(hadoop).exists(target)
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, sorted."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    found = target.getFileSystem(hadoop).globStatus(target)
+    return sorted(status.getPath().toString() for status in found or [])
+
+
 def small_enough_to_broadcast(df: DataFrame, max_rows: int) -> bool:
     """Count at most ``max_rows + 1`` rows and say whether the table fits."""
     return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows

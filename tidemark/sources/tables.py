@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.columns import quoted
 from ..plans import scd2
-from ..session import path_exists
+from ..session import matching_paths
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -37,16 +37,15 @@ def upsert_by_key(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
 class HistoryStore:
     """An SCD2 table in a folder, rewritten only where versions can still change.
 
-    Closed versions never change again, so every run appends its own and they
-    stay where they are; only the current versions are written anew::
+    Closed versions never change again: they stay in the delta of the run that
+    closed them. Only the current versions are written anew::
 
-        closed/batch=<n>/    versions closed by run n
-        current/batch=<n>/   all current versions after run n
-        commits/             one row per finished run
+        runs/batch=<n>/is_current=<flag>/    what run n closed and opened
+        current/batch=<n>/                   all current versions after run n
 
-    A run writes its folders first and its commit row last. Readers follow the
-    newest commit, so a failed run leaves the table as it was, and its repeat
-    overwrites what it left behind.
+    The current folder is written last, and its writer's success mark makes the
+    run count. Readers follow the newest marked run, so a failed run leaves the
+    table as it was, and its repeat overwrites what it left behind.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -56,68 +55,64 @@ class HistoryStore:
     def _folder(self, part: str, batch: int) -> str:
         return f"{self.path}/{part}/batch={batch:06d}"
 
-    def commits(self) -> list[int]:
+    def runs(self) -> list[int]:
         """Finished runs, oldest first."""
-        if not path_exists(self.spark, f"{self.path}/commits"):
-            return []
-        rows = self.spark.read.schema("batch int").parquet(f"{self.path}/commits")
-        return sorted(r["batch"] for r in rows.distinct().toLocalIterator())
+        marks = matching_paths(self.spark, f"{self.path}/current/batch=*/_SUCCESS")
+        return [int(mark.split("/")[-2].removeprefix("batch=")) for mark in marks]
 
-    def _commit(self, batch: int) -> None:
-        done = self.spark.range(1).select(F.lit(batch).alias("batch"))
-        done.write.mode("append").parquet(f"{self.path}/commits")
+    def _last(self) -> int:
+        done = self.runs()
+        if not done:
+            raise ValueError(f"no finished run in {self.path}")
+        return done[-1]
 
-    @property
-    def exists(self) -> bool:
-        return bool(self.commits())
+    def read_current(self) -> DataFrame:
+        rows = self.spark.read.parquet(self._folder("current", self._last()))
+        # a literal lets a filter on the flag drop this branch, or the other, unread
+        return rows.withColumn("is_current", F.lit(True))
 
     def read(self) -> DataFrame:
         """All versions, under the column set of the newest run."""
-        done = self.commits()
-        if not done:
-            raise ValueError(f"no finished run in {self.path}")
-        current = self.spark.read.parquet(self._folder("current", done[-1]))
-        closed = [self._folder("closed", b) for b in done[1:]]
+        current, last = self.read_current(), self._last()
+        closed = [
+            path
+            for path in matching_paths(self.spark, f"{self.path}/runs/batch=*/is_current=false")
+            if int(path.split("/")[-2].removeprefix("batch=")) <= last
+        ]
         if not closed:
             return current
         old = self.spark.read.option("mergeSchema", True).parquet(*closed)
-        return current.unionByName(sync_schema(old, current))
-
-    def read_current(self) -> DataFrame:
-        return self.spark.read.parquet(self._folder("current", self.commits()[-1]))
+        old = sync_schema(old, current).withColumn("is_current", F.lit(False))
+        return current.unionByName(old)
 
     def start(self, versions: DataFrame) -> None:
         """First load."""
-        if self.exists:
+        if self.runs():
             raise ValueError(f"{self.path} already holds a table")
         write_table(versions, self._folder("current", 0))
-        self._commit(0)
 
     def apply(self, delta: DataFrame) -> None:
-        """Apply a delta: append what it closes, rewrite the current versions.
+        """Apply a delta: keep what it closes, rewrite the current versions.
 
-        The delta is computed once, into a staging folder; both results are
-        made from that copy.
+        The delta is computed once; the new current versions are made from the
+        written copy.
         """
-        last = self.commits()[-1]
-        batch = last + 1
-        staged = self._folder("staged", batch)
-        delta.write.mode("overwrite").partitionBy("is_current").parquet(staged)
-        # partition columns come back last
-        written = self.spark.read.schema(delta.schema).parquet(staged).select(*delta.columns)
-        closed = written.where(~F.col("is_current"))
-        opened = written.where("is_current")
-        write_table(closed, self._folder("closed", batch))
+        last = self._last()
+        run = self._folder("runs", last + 1)
+        delta.write.mode("overwrite").partitionBy("is_current").parquet(run)
+        written = self.spark.read.schema(delta.schema).parquet(run).select(*delta.columns)
+        closed = written.where(~F.col("is_current")).select(scd2.VERSION_KEY)
         current = self.spark.read.parquet(self._folder("current", last))
-        kept = current.join(closed.select(scd2.VERSION_KEY), scd2.VERSION_KEY, "left_anti")
-        write_table(sync_schema(kept, delta).unionByName(opened), self._folder("current", batch))
-        self._commit(batch)
+        kept = sync_schema(current.join(closed, scd2.VERSION_KEY, "left_anti"), delta)
+        write_table(
+            kept.unionByName(written.where("is_current")), self._folder("current", last + 1)
+        )
 
     def load(
         self, rows: DataFrame, spec: scd2.Spec, options: scd2.Options = scd2.DEFAULTS
     ) -> None:
         """One run of the pipeline: the first load, or the delta against the table."""
-        if self.exists:
+        if self.runs():
             self.apply(scd2.delta(rows, self.read(), spec, options))
         else:
             self.start(scd2.initial(rows, spec, options))

@@ -22,13 +22,13 @@ def scd2_stream(
 ) -> StreamingQuery:
     """Apply each micro-batch of keyed change rows to the store, then stop.
 
-    Batch numbers are those of the store's commits: a batch replayed after a
-    failure finds its number committed and is skipped.
+    Batch numbers are those of the store's runs: a batch replayed after a
+    failure finds its number among the finished runs and is skipped.
     """
     options = replace(options, use_watermark=False)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        done = store.commits()
+        done = store.runs()
         if done and done[-1] >= batch_id:
             return
         store.load(batch, spec, options)
