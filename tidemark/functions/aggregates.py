@@ -49,6 +49,7 @@ _COMPARE = {
     ">": lambda c, v: c > v,
     ">=": lambda c, v: c >= v,
     "like": lambda c, v: c.like(v),
+    "ilike": lambda c, v: c.ilike(v),
 }
 
 
@@ -57,7 +58,7 @@ def compare(column: Column, cmp: str, value) -> Column:
         test = _COMPARE[cmp.lower()]
     except KeyError:
         raise ValueError(f"unknown comparison {cmp!r}; use one of {list(_COMPARE)}") from None
-    return test(column, value if cmp.lower() == "like" else F.lit(value))
+    return test(column, value if cmp.lower() in ("like", "ilike") else F.lit(value))
 
 
 def aggregate(agg: str, expression: Column, distinct: bool = False) -> Column:

@@ -19,7 +19,8 @@ from .neighbours import with_neighbour
 from .sets import replicate, tagged_counts
 
 
-def _condition(value: str | Column) -> Column:
+def _expression(value: str | Column) -> Column:
+    """A Column, or SQL text such as a column name or ``coalesce(valid_to, ...)``."""
     return F.expr(value) if isinstance(value, str) else value
 
 
@@ -89,7 +90,7 @@ def expression_is_true(
     """
     if column_name is not None:
         expression = f"{quoted(column_name)} {expression}"
-    return _filtered(model, condition).where(~_condition(expression))
+    return _filtered(model, condition).where(~_expression(expression))
 
 
 def recency(model: DataFrame, field: str, datepart: str, interval: int, now=None) -> DataFrame:
@@ -304,13 +305,10 @@ def mutually_exclusive_ranges(
         raise ValueError(f"gaps must be one of {sorted(_GAP_RULES)}, not {gaps!r}")
     keys = [] if partition_by is None else ["partition_by_col"]
 
-    def column(value) -> Column:
-        return F.col(value) if isinstance(value, str) else value
-
     ranges = model.select(
-        *([column(partition_by).alias("partition_by_col")] if keys else []),
-        column(lower_bound_column).alias("lower_bound"),
-        column(upper_bound_column).alias("upper_bound"),
+        *([_expression(partition_by).alias("partition_by_col")] if keys else []),
+        _expression(lower_bound_column).alias("lower_bound"),
+        _expression(upper_bound_column).alias("upper_bound"),
     )
     if keys and _largest_group(ranges, keys) <= max_partition_rows:
         linked = _next_bound_by_window(ranges, keys)
@@ -425,7 +423,7 @@ class Suite:
         return self.aggregate(f"accepted_range_{column}", F.count_if((value < low) | (value > high)))
 
     def expression_is_true(self, name: str, expression: str | Column) -> Suite:
-        return self.aggregate(f"expression_{name}", F.count_if(~_condition(expression)))
+        return self.aggregate(f"expression_{name}", F.count_if(~_expression(expression)))
 
     def at_least_one(self, column: str) -> Suite:
         return self.aggregate(f"at_least_one_{column}", (F.count(column) == 0).cast("int"))
