@@ -1,0 +1,202 @@
+import datetime as dt
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidemark.operators import sets
+from tidemark.plans import scd2
+from tidemark.session import matching_paths, new_folder, path_exists, shared_folder
+from tidemark.sources import catalog, periods
+from tidemark.sources.tables import HistoryStore
+from tidemark.streaming.microbatch import scd2_stream
+
+
+# ------------------------------------------------------------------- catalog
+
+
+@pytest.fixture
+def views(spark):
+    names = ["data_events_20180101", "data_events_20180102", "data_events_20180103", "dataxevents_1"]
+    for i, name in enumerate(names):
+        spark.createDataFrame([(2 * i + 1, "play"), (2 * i + 2, "pause")], "user_id int, event string").createOrReplaceTempView(name)
+    yield names
+    for name in names:
+        spark.catalog.dropTempView(name)
+
+
+def test_relations_by_pattern(spark, views):
+    def found(*args):
+        return [r.name for r in catalog.relations_by_pattern(spark, *args)]
+
+    assert found("%", "DATA_EVENTS_%") == views
+    assert found("%", "data_events_2018%") == views[:3]
+    assert found("%", "data_events_2018%", "%0102") == [views[0], views[2]]
+    assert found("%", "nothing%") == []
+    assert found("no_such_schema", "%") == []
+
+
+def test_relations_by_prefix_keeps_the_underscore_wildcard(spark, views):
+    names = [r.name for r in catalog.relations_by_prefix(spark, "%", "data_events_")]
+    assert "dataxevents_1" in names
+    found = catalog.relations_by_prefix(spark, "%", "data_events_2018")
+    got = sets.union_relations(catalog.read_relations(spark, found), source_column_name=None)
+    assert rows(got) == [(1, "play"), (2, "pause"), (3, "play"), (4, "pause"), (5, "play"), (6, "pause")]
+    assert {r.kind for r in found} == {"view"}
+
+
+def test_table_kinds_and_like():
+    kinds = {"BASE TABLE": "table", "MANAGED": "table", "EXTERNAL TABLE": "external", "FOREIGN": "external",
+             "MATERIALIZED VIEW": "materializedview", "VIEW": "view", "Local Temporary": "local temporary"}
+    assert {k: catalog.table_kind(k) for k in kinds} == kinds
+    assert catalog.like("a.c%", "A.Cd") and not catalog.like("a.c%", "abcd")
+
+
+def test_typed_csv(spark, tmp_path):
+    path = tmp_path / "seed.csv"
+    path.write_text("id,amount,name\n1,2.50,\n2,,bob\n")
+    got = catalog.read_typed_csv(spark, str(path), "id int, amount double, name string", {"amount": "decimal(10,2)"})
+    assert dict(got.dtypes) == {"id": "int", "amount": "decimal(10,2)", "name": "string"}
+    assert got.where("name is null").count() == 1 and got.where("amount is null").count() == 1
+
+
+def test_scratch_folders_lie_in_the_shared_folder(spark):
+    folder = new_folder(spark, "x")
+    assert folder.startswith(shared_folder(spark)) and not path_exists(spark, folder)
+    spark.range(1).write.parquet(folder)
+    assert path_exists(spark, folder)
+    assert len(matching_paths(spark, f"{folder}/_SUCCESS")) == 1
+
+
+# ------------------------------------------------------------------- periods
+
+
+def seed(spark):
+    days = ["2017-12-02"] + [f"2018-{m:02d}-02" for m in range(1, 9)]
+    return spark.createDataFrame([(i + 1, d) for i, d in enumerate(days)], "id int, d string").select(
+        "id", F.col("d").cast("timestamp_ntz").alias("created_at")
+    )
+
+
+def ids(spark, path, source):
+    return sorted(r.id for r in periods.read_loaded(spark, path, source.schema).collect())
+
+
+def test_monthly_load(spark):
+    path, source = new_folder(spark, "periods"), seed(spark)
+    written = periods.insert_by_period(source, path, "created_at", "2018-01-01", "2018-06-01", "month")
+    assert ids(spark, path, source) == [2, 3, 4, 5, 6]
+    assert written == {0: 1, 1: 1, 2: 1, 3: 1, 4: 1}
+    # running it again changes nothing
+    periods.insert_by_period(source, path, "created_at", "2018-01-01", "2018-06-01", "month")
+    assert ids(spark, path, source) == [2, 3, 4, 5, 6]
+
+
+def test_load_resumes_and_repairs_the_last_period(spark):
+    path, source = new_folder(spark, "periods"), seed(spark)
+    options = {"timestamp_field": "created_at", "start_date": "2018-01-01", "stop_date": "2018-09-01", "period": "month"}
+    periods.insert_by_period(source, path, max_periods=3, **options)
+    assert ids(spark, path, source) == [2, 3, 4]
+    late = source.unionAll(spark.sql("select 99, timestamp_ntz'2018-03-20 00:00:00'"))
+    written = periods.insert_by_period(late, path, **options)
+    assert ids(spark, path, source) == [2, 3, 4, 5, 6, 7, 8, 9, 99]
+    assert min(written) == 2, "the period with the newest row is written again"
+    periods.insert_by_period(source, path, full_refresh=True, **options)
+    assert ids(spark, path, source) == [2, 3, 4, 5, 6, 7, 8, 9]
+
+
+@pytest.mark.parametrize("per_job", [1, 3, 50])
+@pytest.mark.parametrize("period", ["day", "week", "month", "quarter"])
+def test_no_row_is_lost_or_doubled(spark, per_job, period):
+    """A start on a month's last day: clipped month ends must leave no gaps."""
+    path = new_folder(spark, "periods")
+    source = spark.range(0, 24 * 70, 5).select(
+        F.col("id").cast("int").alias("id"),
+        F.timestamp_add("HOUR", F.col("id"), F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")).alias("ts"),
+    )
+    stop = "2024-02-20" if period == "day" else "2024-04-05"
+    periods.insert_by_period(source, path, "ts", "2024-01-31", stop, period, periods_per_job=per_job if period == "day" else 1)
+    expected = source.where(f"ts > '2024-01-31' and ts < '{stop}'").count()
+    got = periods.read_loaded(spark, path, source.schema)
+    assert got.count() == expected == got.distinct().count()
+
+
+def test_edges_of_the_window(spark):
+    limits = periods.boundaries(spark, "day", "2024-01-01", "2024-01-03")
+    assert limits.count == 2 and limits.stop == dt.datetime(2024, 1, 2, 23, 59, 59, 999000)
+    stamps = ["2024-01-01 00:00:00", "2024-01-01 00:00:00.000001", "2024-01-02 00:00:00",
+              "2024-01-02 23:59:59.998", "2024-01-02 23:59:59.999"]
+    df = spark.createDataFrame([(s,) for s in stamps], "s string").select(F.col("s").cast("timestamp_ntz").alias("t"))
+    counts = [df.where(periods.in_period("t", limits, i)).count() for i in range(2)]
+    assert counts == [2, 1]
+    numbers = [r[0] for r in df.select(periods.period_index("t", limits)).collect()]
+    assert numbers == [-1, 0, 0, 1, 1]
+
+
+def test_boundaries_start_at_the_newest_loaded_row(spark):
+    target = spark.sql("select timestamp_ntz'2024-01-10 12:00:00' as t")
+    got = periods.boundaries(spark, "week", "2024-01-01", "2024-02-01", target, "t")
+    assert got.start == dt.datetime(2024, 1, 10, 12) and got.count == 4
+    empty = periods.boundaries(spark, "week", "2024-01-01", "2024-02-01", target.limit(0), "t")
+    assert empty.start == dt.datetime(2024, 1, 1)
+    assert periods.boundaries(spark, "day", "2024-02-01", "2024-01-01").count == 0
+
+
+def test_period_filter_reaches_the_scan(spark):
+    path, source = new_folder(spark, "periods"), seed(spark)
+    source.write.parquet(path)
+    limits = periods.boundaries(spark, "month", "2018-01-01", "2018-06-01")
+    plan = spark.read.parquet(path).where(periods.in_period("created_at", limits, 1))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(created_at,2018-02-01" in text and "LessThanOrEqual(created_at,2018" in text
+
+
+# ----------------------------------------------------------------- streaming
+
+SPEC = scd2.Spec(name="s", entity="s", sources=("A",), id_column="id", columns={"id": "id", "x": "x"}, tracked=("x",))
+
+
+def batch(spark, *changes):
+    base = dt.datetime(2024, 1, 1)
+    data = [(i, x, "A", base + dt.timedelta(days=u), None if d is None else base + dt.timedelta(days=d)) for i, x, u, d in changes]
+    return scd2.with_keys(
+        spark.createDataFrame(data, f"id int, x string, src string, {scd2.UPDATED} timestamp_ntz, {scd2.DELETED} timestamp_ntz"), SPEC
+    )
+
+
+def versions(store):
+    return sorted((r.src_id, r.x, r.valid_from.day, r.valid_to and r.valid_to.day, r.is_current) for r in store.read().collect())
+
+
+def test_stream_applies_new_files_and_skips_replayed_batches(spark):
+    root = new_folder(spark, "stream")
+    store = HistoryStore(spark, f"{root}/history")
+
+    def run(checkpoint="checkpoint"):
+        stream = spark.readStream.schema(batch(spark, (1, "a", 0, None)).schema).parquet(f"{root}/in")
+        scd2_stream(stream, store, SPEC, f"{root}/{checkpoint}").awaitTermination()
+
+    batch(spark, (1, "a", 0, None), (2, "b", 0, None)).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    run()
+    assert versions(store) == [("A_1", "a", 1, None, True), ("A_2", "b", 1, None, True)]
+    batch(spark, (1, "A", 2, None), (2, "b", 3, 3)).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    run()
+    expected = [("A_1", "A", 3, None, True), ("A_1", "a", 1, 3, False), ("A_2", "b", 1, 4, False)]
+    assert versions(store) == expected and store.runs() == [0, 1]
+    # nothing new: nothing happens
+    run()
+    assert store.runs() == [0, 1]
+    # a lost checkpoint replays batch 0, which the store has already
+    run("other-checkpoint")
+    assert versions(store) == expected
+
+
+def test_stream_takes_a_late_source(spark):
+    """No watermark: a row older than what the store holds is still applied."""
+    root = new_folder(spark, "stream")
+    store = HistoryStore(spark, f"{root}/history")
+    for changes in ([(1, "a", 5, None)], [(2, "late", 1, None)]):
+        batch(spark, *changes).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(batch(spark, *changes).schema).parquet(f"{root}/in")
+        scd2_stream(stream, store, SPEC, f"{root}/checkpoint").awaitTermination()
+    assert versions(store) == [("A_1", "a", 6, None, True), ("A_2", "late", 2, None, True)]
