@@ -221,8 +221,8 @@ def test_arrays(one):
     [
         ("www.google.co.uk?utm_source=google&utm_medium=cpc", "www.google.co.uk", ""),
         ("http://example.com/2018/01/tips/", "example.com", "2018/01/tips/"),
-        ("https://www.nytimes.com/2018/01/01/blog", "www.nytimes.com", "2018/01/01/blog"),
-        ("docs.nytimes.com/2021/index.js?utm_source=x", "docs.nytimes.com", "2021/index.js"),
+        ("https://www.example.net/2018/01/01/blog", "www.example.net", "2018/01/01/blog"),
+        ("docs.example.net/2021/index.js?utm_source=x", "docs.example.net", "2021/index.js"),
         ("http://example.com/2018/?a=b/c", "example.com", "2018/"),
         ("example.com", "example.com", "example.com"),
         ("example.com?next=/home", "example.com", "home"),

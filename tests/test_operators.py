@@ -35,7 +35,7 @@ def test_group_by_ordinal(spark):
 
 @pytest.fixture
 def parties(spark):
-    one = spark.createDataFrame([(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
+    one = spark.createDataFrame([(1, "ann", "pi"), (2, "bo", "e"), (3, "cy", "4")], "id int, name string, favorite_number string")
     two = spark.createDataFrame([(1, "green", 7), (2, "pink", 13)], "id int, favorite_color string, favorite_number int")
     return {"t1": one, "t2": two}
 
@@ -44,7 +44,7 @@ def test_union_relations(parties):
     got = sets.union_relations(parties)
     assert got.columns == ["_source_relation", "id", "name", "favorite_number", "favorite_color"]
     assert rows(got.select("id", "name", "favorite_color", "favorite_number")) == sorted(
-        [(1, "drew", None, "pi"), (2, "bob", None, "e"), (3, "alice", None, "4"), (1, None, "green", "7"), (2, None, "pink", "13")],
+        [(1, "ann", None, "pi"), (2, "bo", None, "e"), (3, "cy", None, "4"), (1, None, "green", "7"), (2, None, "pink", "13")],
         key=repr,
     )
 

@@ -14,7 +14,7 @@ from ..plans.warehouse import DIM_USAGERS, SOURCES
 from ..session import new_folder
 from ..sources.tables import HistoryStore, sync_schema, upsert_by_key, write_table
 from ..streaming.microbatch import scd2_stream
-from .registry import Tables, registrar, rows_counted
+from .registry import Tables, exact_sum, registrar, rows_counted
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -182,15 +182,12 @@ _LATE_ROWS = "(SELECT * FROM change_rows WHERE _ab_cdc_updated_at >= TIMESTAMP '
 def scd2_stream_batches(t: Tables) -> DataFrame:
     """The same two steps as micro-batches of a file stream; deletes come from the batch."""
     feed, table = new_folder(t.spark, "event-feed"), new_folder(t.spark, "event-stream")
-    rows = event_rows(t)
+    store, rows = HistoryStore(t.spark, f"{table}/history"), event_rows(t)
     late = F.col(scd2.UPDATED) >= F.expr(SPLIT)
-    for part in (before_split(rows), rows.where(late)):
-        part.coalesce(1).write.mode("append").parquet(feed)
-    stream = (
-        t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(feed)
-    )
-    store = HistoryStore(t.spark, f"{table}/history")
-    scd2_stream(stream, store, EVENTS, f"{table}/checkpoint").awaitTermination()
+    for arrived in (before_split(rows), rows.where(late)):
+        arrived.write.mode("append").parquet(feed)
+        stream = t.spark.readStream.schema(rows.schema).parquet(feed)
+        scd2_stream(stream, store, EVENTS, f"{table}/checkpoint").awaitTermination()
     return store.read()
 
 
@@ -246,7 +243,7 @@ def order_rows(t: Tables) -> DataFrame:
 _ORDER_NEWEST = """QUALIFY row_number() OVER (PARTITION BY src_id ORDER BY _ab_cdc_updated_at DESC
   NULLS FIRST, o_orderkey, src_custkey, status, total, src) = 1"""
 _ORDER_OPENED = _OPENED.replace("id, event_type, value,", "o_orderkey, src_custkey, status, total,")
-_ORDER_TARGET = f"""
+_ORDER_ROWS = f"""
 WITH shipped AS (
   SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
          max(l_shipdate) AS at FROM lineitem GROUP BY l_orderkey),
@@ -260,16 +257,16 @@ states AS (
   SELECT o_orderkey, o_custkey, src, 'S', s.total, s.at FROM placed JOIN shipped s ON l_orderkey = o_orderkey),
 change_rows AS (
   SELECT src || '_' || o_orderkey AS src_id, o_orderkey, src || '_' || o_custkey AS src_custkey,
-         status, total, src, _ab_cdc_updated_at FROM states),
+         status, total, src, _ab_cdc_updated_at FROM states)"""
+_ORDER_TARGET = f"""{_ORDER_ROWS},
 first_rows AS (
   SELECT * FROM change_rows WHERE _ab_cdc_updated_at < TIMESTAMP '1998-06-01' {_ORDER_NEWEST}),
 target AS (SELECT {_ORDER_OPENED} FROM first_rows)"""
 
 
-@job(f"{_ORDER_TARGET} SELECT * FROM target")
+@job(f"{_ORDER_ROWS}, newest AS (SELECT * FROM change_rows {_ORDER_NEWEST}) SELECT {_ORDER_OPENED} FROM newest")
 def scd2_orders_initial(t: Tables) -> DataFrame:
-    early = F.col(scd2.UPDATED) < F.expr(ORDER_SPLIT)
-    return scd2.initial(order_rows(t).where(early), ORDERS)
+    return scd2.initial(order_rows(t), ORDERS)
 
 
 @job(f"""{_ORDER_TARGET},
@@ -285,9 +282,10 @@ SELECT t.* REPLACE (c._ab_cdc_updated_at AS valid_to, FALSE AS is_current)
 FROM target t JOIN changed_keys c ON t.src_id = c.src_id
 UNION ALL SELECT {_ORDER_OPENED} FROM (SELECT * FROM changed_keys UNION ALL SELECT * FROM new_keys)""")
 def scd2_orders_delta(t: Tables) -> DataFrame:
-    path = new_folder(t.spark, "order-target")
-    write_table(scd2_orders_initial(t), path)
-    return scd2.delta(order_rows(t), t.spark.read.parquet(path), ORDERS)
+    path, rows = new_folder(t.spark, "order-target"), order_rows(t)
+    early = rows.where(F.col(scd2.UPDATED) < F.expr(ORDER_SPLIT))
+    write_table(scd2.initial(early, ORDERS), path)
+    return scd2.delta(rows, t.spark.read.parquet(path), ORDERS)
 
 
 # ------------------------------------------------------------- building blocks
@@ -320,16 +318,20 @@ def code_harmonise(t: Tables) -> DataFrame:
     )
 
 
-@job("""SELECT n_name, count(*) AS customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
-FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 4) ON c_nationkey = n_nationkey
-GROUP BY n_name""", name="lookup_left_join")
-def customers_by_nation(t: Tables) -> DataFrame:
-    """Customers with their nation's name; nations outside the lookup leave null."""
-    lookup = t.nation.where("n_regionkey <> 4").withColumnRenamed("n_nationkey", "c_nationkey")
-    joined = lookup_left_join(t.customer, lookup, "c_nationkey", broadcast_rows=100_000)
-    return joined.groupBy("n_name").agg(
-        rows_counted("customers"),
-        F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("balance"),
+@job(
+    """SELECT c_mktsegment, count(*) AS num_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) ON o_custkey = c_custkey
+GROUP BY c_mktsegment""",
+    name="lookup_left_join",
+)
+def orders_by_segment(t: Tables) -> DataFrame:
+    """Orders with the segment of customers in credit; the others' orders get null."""
+    lookup = t.customer.where("c_acctbal >= 0").select(
+        F.col("c_custkey").alias("o_custkey"), "c_mktsegment"
+    )
+    joined = lookup_left_join(t.orders, lookup, "o_custkey", broadcast_rows=100_000)
+    return joined.groupBy("c_mktsegment").agg(
+        rows_counted("num_orders"), exact_sum("o_totalprice", "total")
     )
 
 

@@ -13,10 +13,10 @@ QUERIES: dict = {}
 ORACLES: dict = {}
 job = registrar(QUERIES, ORACLES)
 
-START, STOP = "2024-01-03 12:00:00", "2024-01-29 00:00:00"
+START, STOP = "2023-12-27 12:00:00", "2024-02-05 00:00:00"
 
 
-@job("""WITH edges AS (SELECT max(ts) AS start, TIMESTAMP '2024-01-28 23:59:59.999' AS stop
+@job("""WITH edges AS (SELECT max(ts) AS start, TIMESTAMP '2024-02-04 23:59:59.999' AS stop
   FROM events WHERE ts < TIMESTAMP '2024-01-16')
 SELECT p.period, start, stop, CASE p.period
     WHEN 'week' THEN date_diff('day', date_trunc('week', start + INTERVAL 1 DAY), date_trunc('week', stop + INTERVAL 1 DAY)) // 7
@@ -37,8 +37,8 @@ def period_boundaries(t: Tables) -> DataFrame:
 
 
 @job("""SELECT period, event_type, count(*) AS num_rows FROM (
-  SELECT event_type, CAST(ceil(epoch_us(ts) / 604800000000.0 - epoch_us(TIMESTAMP '2024-01-03 12:00:00') / 604800000000.0) AS BIGINT) - 1 AS period
-  FROM events WHERE ts > TIMESTAMP '2024-01-03 12:00:00' AND ts < TIMESTAMP '2024-01-28 23:59:59.999')
+  SELECT event_type, CAST(ceil(epoch_us(ts) / 604800000000.0 - epoch_us(TIMESTAMP '2023-12-27 12:00:00') / 604800000000.0) AS BIGINT) - 1 AS period
+  FROM events WHERE ts > TIMESTAMP '2023-12-27 12:00:00' AND ts < TIMESTAMP '2024-02-04 23:59:59.999')
 GROUP BY 1, 2""")
 def period_slice(t: Tables) -> DataFrame:
     """Each week's slice on its own, counted per type."""
@@ -53,17 +53,17 @@ def period_slice(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, slices)
 
 
-_WINDOW = "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-03 12:00:00' AND ts < TIMESTAMP '2024-01-28 23:59:59.999'"
+_WINDOW = "SELECT * FROM events WHERE ts > TIMESTAMP '2023-12-27 12:00:00' AND ts < TIMESTAMP '2024-02-04 23:59:59.999'"
 
 
 @job(_WINDOW)
 def period_backfill(t: Tables) -> DataFrame:
-    """A daily load that stops after ten days, is resumed, and ends up whole."""
+    """A daily load that stops after sixteen days, is resumed, and ends up whole."""
     path, events = new_folder(t.spark, "backfill"), t.events
     load = {"source": events, "path": path, "timestamp_field": "ts",
             "start_date": START, "stop_date": STOP, "period": "day"}
-    periods.insert_by_period(**load, max_periods=10, periods_per_job=5)
-    periods.insert_by_period(**load, periods_per_job=9)
+    periods.insert_by_period(**load, max_periods=16, periods_per_job=8)
+    periods.insert_by_period(**load, periods_per_job=12)
     return periods.read_loaded(t.spark, path, events.schema)
 
 

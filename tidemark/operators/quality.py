@@ -260,21 +260,21 @@ def sequential_values(
     counted = model.groupBy(F.col(column_name).alias("_value")).agg(
         F.count(F.lit(1)).alias("_rows")
     )
-    linked = with_neighbour(counted, "_value", direction="previous", name="_previous", ranges=ranges)
+    linked = with_neighbour(
+        counted.select("_value"), "_value", direction="previous", name="_previous", ranges=ranges
+    )
 
-    def follows(before: Column) -> Column:
+    def failing(rows: DataFrame, before: str, *more: Column) -> DataFrame:
         if datepart is None:
-            return F.col("_value") == before + interval
-        return as_timestamp("_value") == dateadd(datepart, interval, before)
-
-    def failing(before: Column, rows: Column) -> DataFrame:
-        return linked.where(~follows(before)).select(
-            F.col("_value").alias(column_name), before.alias(previous), rows.alias("_rows")
+            follows = F.col("_value") == F.col(before) + interval
+        else:
+            follows = as_timestamp("_value") == dateadd(datepart, interval, before)
+        return rows.where(~follows).select(
+            F.col("_value").alias(column_name), F.col(before).alias(previous), *more
         )
 
-    first_copies = failing(F.col("_previous"), F.lit(1).cast("long"))
-    later_copies = failing(F.col("_value"), F.col("_rows") - 1).where("_rows > 0")
-    return first_copies.drop("_rows").unionByName(replicate(later_copies, "_rows"))
+    later = failing(counted.where("_rows > 1"), "_value", (F.col("_rows") - 1).alias("_rows"))
+    return failing(linked, "_previous").unionByName(replicate(later, "_rows"))
 
 
 # How the upper bound must relate to the next lower bound.
@@ -327,7 +327,8 @@ def mutually_exclusive_ranges(
             gap_column: F.coalesce(gap_rule(upper, following), F.col("is_last_record")),
         }
     )
-    return checked.where(~(F.col(length_column) & F.col(gap_column)))
+    failing = checked.where(~(F.col(length_column) & F.col(gap_column)))
+    return replicate(failing, "_rows") if "_rows" in failing.columns else failing
 
 
 def _largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -348,7 +349,7 @@ def _next_bound_by_window(ranges: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _next_bound_by_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
-    """The same two columns from aggregates.
+    """The same two columns from aggregates, for ``_rows`` equal rows at a time.
 
     Rows sharing a lower bound follow each other, so only the one with the
     largest upper bound looks at the next distinct lower bound; for the others
@@ -358,7 +359,7 @@ def _next_bound_by_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
     per_row = ranges.groupBy(*keys, "lower_bound", "upper_bound").agg(
         F.count(F.lit(1)).alias("_rows")
     )
-    per_bound = ranges.groupBy(*keys, "lower_bound").agg(F.max("upper_bound").alias("_top"))
+    per_bound = per_row.groupBy(*keys, "lower_bound").agg(F.max("upper_bound").alias("_top"))
     following = with_neighbour(
         per_bound, "lower_bound", keys, direction="next", name="_following", missing="_is_last"
     )
@@ -374,20 +375,21 @@ def _next_bound_by_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
         F.col("lower_bound").eqNullSafe(F.col("_lower")),
         F.col("upper_bound").eqNullSafe(F.col("_top")),
     ]
-    joined = per_row.join(tops, same, "left")
-    columns = [*keys, "lower_bound", "upper_bound"]
-    top = joined.where("_is_top").select(
-        *columns,
-        F.col("_following").alias("next_lower_bound"),
-        F.col("_is_last").alias("is_last_record"),
+    is_top = F.coalesce("_is_top", F.lit(False))
+    both = F.array(
+        F.struct(
+            F.col("_following").alias("next_lower_bound"),
+            F.col("_is_last").alias("is_last_record"),
+            is_top.cast("long").alias("_rows"),
+        ),
+        F.struct(
+            F.col("lower_bound").alias("next_lower_bound"),
+            F.lit(False).alias("is_last_record"),
+            (F.col("_rows") - is_top.cast("long")).alias("_rows"),
+        ),
     )
-    rest = joined.select(
-        *columns,
-        F.col("lower_bound").alias("next_lower_bound"),
-        F.lit(False).alias("is_last_record"),
-        (F.col("_rows") - F.coalesce(F.col("_is_top").cast("long"), F.lit(0))).alias("_rows"),
-    )
-    return top.unionByName(replicate(rest.where("_rows > 0"), "_rows"))
+    joined = per_row.join(tops, same, "left")
+    return joined.select(*keys, "lower_bound", "upper_bound", F.inline(both)).where("_rows > 0")
 
 
 class Suite:

@@ -93,26 +93,21 @@ def intersect_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
 def replicate(df: DataFrame, count_column: str, chunk: int = 100_000) -> DataFrame:
     """Turn each row with a count n into n rows and drop the count.
 
-    Counts above ``chunk`` are first cut into chunks that are spread over the
-    tasks, so no task writes out one huge group and no array grows with n.
+    Counts are first cut into pieces of at most ``chunk``, and the pieces are
+    spread over the tasks before they are written out: no task expands one huge
+    group and no array grows with n.
     """
     n = F.col(quoted(count_column))
     rest = [quoted(c) for c in df.columns if c != count_column]
-    pieces = F.call_function("div", n - 1, F.lit(chunk)).cast("int")
-
-    def expand(rows: DataFrame, size: Column) -> DataFrame:
-        return rows.select(
-            *rest, F.explode(F.array_repeat(F.lit(True), size.cast("int"))).alias("_copy")
-        ).drop("_copy")
-
-    small = expand(df.where(n <= chunk), n)
+    last = F.call_function("div", n - 1, F.lit(chunk)).cast("int")
     left = n - F.col("_piece").cast("long") * chunk
     # a stated number of partitions keeps the few, small pieces from being coalesced
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    big = (
-        df.where(n > chunk)
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces)))
-        .withColumn("_size", F.least(F.lit(chunk).cast("long"), left))
+    pieces = (
+        df.where(n > 0)
+        .withColumn("_piece", F.explode(F.sequence(F.lit(0), last)))
+        .select(*rest, "_piece", F.least(F.lit(chunk).cast("long"), left).alias("_size"))
         .repartition(tasks, *rest, "_piece")
     )
-    return small.unionAll(expand(big, F.col("_size")))
+    copies = F.array_repeat(F.lit(True), F.col("_size").cast("int"))
+    return pieces.select(*rest, F.explode(copies).alias("_copy")).drop("_copy")

@@ -199,16 +199,19 @@ def initial(rows: DataFrame, spec: Spec, options: Options = DEFAULTS) -> DataFra
 
 
 def newer_than_target(
-    rows: DataFrame, target: DataFrame, options: Options = DEFAULTS
+    rows: DataFrame, target: DataFrame, per_source: Sequence[str] = ()
 ) -> DataFrame:
     """Rows past the newest change time in the target (none if the target is empty).
 
     The limit is a scalar subquery: computed once and pushed into the scans.
+    With ``per_source``, each named source has a limit of its own, and a source
+    the target does not know has none.
     """
-    if not options.watermark_per_source:
+    if not per_source:
         return rows.where(F.col(UPDATED) > target.agg(F.max(UPDATED)).scalar())
-    # one row per source system, a handful by construction
-    seen = target.groupBy("src").agg(F.max(UPDATED).alias("_seen"))
+    # at most one row per named source, so its size is known before it is broadcast
+    known = target.where(F.col("src").isin(list(per_source)))
+    seen = known.groupBy("src").agg(F.max(UPDATED).alias("_seen"))
     joined = rows.join(F.broadcast(seen), "src", "left")
     fresh = F.col("_seen").isNull() | (F.col(UPDATED) > F.col("_seen"))
     return joined.where(fresh).select(*rows.columns)
@@ -252,7 +255,11 @@ def changes(
     parts, the current versions and the bare keys of the closed ones.
     """
     valid = rows.where(F.col(KEY).isNotNull())
-    fresh = newer_than_target(valid, target, options) if options.use_watermark else valid
+    if options.use_watermark:
+        own_limits = spec.sources if options.watermark_per_source else ()
+        fresh = newer_than_target(valid, target, own_limits)
+    else:
+        fresh = valid
     batch = latest_per_key(fresh)
     packed = batch.select(KEY, F.struct(*batch.columns).alias("s"))
     touching = packed.join(closing_times(rows, target, options), KEY, "full")
