@@ -350,3 +350,74 @@ def test_table_checks_look_dates_up_in_the_calendar(spark):
     calendar = spark.sql("select date'2024-01-01' as full_date")
     found = {r.check_name: r.failures for r in checks.table_checks(versions, spec, calendar).run().collect()}
     assert found["calendar_date_fact"] == 1 and found["not_null_facture_id"] == 0
+
+
+# ------------------------------------------------------- shuffles and skew
+
+
+@pytest.fixture
+def without_broadcasts(spark):
+    """Plans as for tables too large to broadcast, with tiny limits for skew."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_current_versions_are_not_exchanged(spark, without_broadcasts):
+    store = HistoryStore(spark, new_folder(spark, "bucketed"))
+    store.load(feed(spark, *[("A", i, "a", 0, None) for i in range(50)]), SPEC)
+    loaded = saved(spark, feed(spark, ("A", 1, "b", 2, None), ("A", 2, "a", 3, 3)))
+    plan = scd2.delta(loaded, store.read(), SPEC)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    wide = [i for i, line in enumerate(lines) if "FileScan" in line and "history_" in line and "note" in line]
+    assert len(wide) == 1
+    depth = lines[wide[0]].index("FileScan")
+    above = []
+    for line in reversed(lines[: wide[0]]):
+        at_ = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+        if at_ < depth:
+            depth = at_
+            above.append(line)
+        if "Join" in line and line is above[-1]:
+            break
+    assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+
+
+def test_hot_key_with_most_delete_rows_is_split(spark, without_broadcasts):
+    hot = F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string")))
+    stamp = F.timestamp_add("SECOND", F.col("id"), F.lit("2024-01-01").cast("timestamp_ntz"))
+    loaded = saved(spark, spark.range(0, 120_000, 1, 8).select(hot.alias(scd2.KEY), stamp.alias(scd2.UPDATED), stamp.alias(scd2.DELETED)))
+    # the hot version starts late, so most of its delete rows precede it
+    starts = F.when(F.col(scd2.KEY) == "HOT", F.max(scd2.UPDATED) - F.expr("interval 10 seconds")).otherwise(F.min(scd2.UPDATED))
+    target = saved(spark, loaded.groupBy(scd2.KEY).agg(starts.alias("valid_from")).select(
+        F.md5(scd2.KEY).alias(scd2.VERSION_KEY), scd2.KEY, "valid_from", F.lit(True).alias("is_current")))
+    closing = scd2.closing_times(loaded, target)
+    assert "SortMergeJoin(skew=true)" in final_plan(closing)
+    expected = loaded.join(target, scd2.KEY).where(f"{scd2.DELETED} >= valid_from").groupBy(scd2.KEY).agg(F.min(scd2.DELETED))
+    assert rows(closing.select(scd2.KEY, "_closed_after")) == rows(expected)
+
+
+def test_a_store_without_buckets_gives_the_same_table(spark):
+    changes = [("A", 1, "a", 0, None), ("A", 2, "b", 0, None)], [("A", 1, "c", 1, None), ("A", 2, "b", 2, 2)]
+    tables = []
+    for buckets in (0, 3):
+        store = HistoryStore(spark, new_folder(spark, "buckets"), buckets)
+        store.load(feed(spark, *changes[0]), SPEC)
+        store.load(feed(spark, *changes[0], *changes[1]), SPEC)
+        # another reader does not need to know the number of buckets
+        tables.append(short(HistoryStore(spark, store.path).read()))
+    assert tables[0] == tables[1] and len(tables[0]) == 3

@@ -229,14 +229,19 @@ def closing_times(
     known = rows.where(F.col(KEY).isNotNull())
     if options.delete_from_latest_only:
         known = latest_per_key(known)
-    deletes = known.where(F.col(DELETED).isNotNull()).select(KEY, DELETED)
-    current = target.where("is_current").select(KEY, VERSION_KEY, "valid_from")
-    # Grouping by a struct asks for an exchange of its own, after partial aggregation.
-    # That leaves the join free to be split where one key holds most delete rows.
-    version = F.struct(KEY, VERSION_KEY).alias("_version")
+    # This is the one join where a key may be hot: it can have any number of delete
+    # rows. Spark splits a skewed join if both sides are exchanged and nothing later
+    # relies on its partitioning. So the join key is a struct, which a target
+    # bucketed by key has to exchange too (three narrow columns), and the groups,
+    # another struct, get an exchange of their own after partial aggregation.
+    key = F.struct(KEY).alias("_key")
+    deletes = known.where(F.col(DELETED).isNotNull()).select(key, DELETED)
+    current = target.where("is_current").select(
+        key, F.struct(KEY, VERSION_KEY).alias("_version"), "valid_from"
+    )
     return (
-        deletes.join(current, KEY)
-        .groupBy(version)
+        deletes.join(current, "_key")
+        .groupBy("_version")
         .agg(
             F.min(F.when(F.col(DELETED) >= F.col("valid_from"), F.col(DELETED))).alias("_closed_after"),
             F.max(DELETED).alias("_closed_any"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,43 +43,96 @@ class HistoryStore:
     closed them. Only the current versions are written anew::
 
         runs/batch=<n>/is_current=<flag>/    what run n closed and opened
-        current/batch=<n>/                   all current versions after run n
+        current/batch=<n>.<buckets>/         all current versions after run n
 
     The current folder is written last, and its writer's success mark makes the
     run count. Readers follow the newest marked run, so a failed run leaves the
     table as it was, and its repeat overwrites what it left behind.
+
+    The current versions are bucketed by key, with the number of buckets kept in
+    the folder name. Joining changes to them, and taking closed versions out of
+    them, then moves the changes to the buckets and never the table itself.
+    ``buckets`` should be at least the number of shuffle partitions, which is
+    its default; 0 writes plain files.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
+        if buckets is None:
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets
+
+    # ------------------------------------------------------------ run folders
 
-    def _folder(self, part: str, batch: int) -> str:
-        return f"{self.path}/{part}/batch={batch:06d}"
+    def _run_folder(self, batch: int) -> str:
+        return f"{self.path}/runs/batch={batch:06d}"
+
+    def _finished(self) -> dict[int, str]:
+        """Finished runs and their folders of current versions, oldest first."""
+        marks = matching_paths(self.spark, f"{self.path}/current/batch=*/_SUCCESS")
+        folders = [mark.rsplit("/", 1)[0] for mark in marks]
+        return {_batch_number(folder): folder for folder in folders}
 
     def runs(self) -> list[int]:
         """Finished runs, oldest first."""
-        marks = matching_paths(self.spark, f"{self.path}/current/batch=*/_SUCCESS")
-        return [int(mark.split("/")[-2].removeprefix("batch=")) for mark in marks]
+        return list(self._finished())
 
-    def _last(self) -> int:
-        done = self.runs()
+    def _newest(self) -> tuple[int, str]:
+        done = self._finished()
         if not done:
             raise ValueError(f"no finished run in {self.path}")
-        return done[-1]
+        return max(done.items())
+
+    # ---------------------------------------------------- bucketed current part
+
+    def _table_name(self, folder: str) -> str:
+        return "history_" + hashlib.md5(folder.encode()).hexdigest()
+
+    def _write_current(self, versions: DataFrame, batch: int) -> None:
+        folder = f"{self.path}/current/batch={batch:06d}.{self.buckets}"
+        if not self.buckets:
+            write_table(versions, folder)
+            return
+        table = self._table_name(folder)
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        (
+            versions.write.mode("overwrite")
+            .bucketBy(self.buckets, scd2.KEY)
+            .option("path", folder)
+            .saveAsTable(table)
+        )
+        # the folder is the table; catalogs of other sessions are told when they read it
+        self.spark.sql(f"DROP TABLE {table}")
+
+    def _scan_current(self, folder: str) -> DataFrame:
+        """The current versions, with Spark told about the buckets."""
+        buckets = int(folder.rsplit(".", 1)[1])
+        plain = self.spark.read.parquet(folder)
+        if not buckets:
+            return plain
+        table = self._table_name(folder)
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in plain.schema.fields)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+            f"CLUSTERED BY ({scd2.KEY}) INTO {buckets} BUCKETS LOCATION '{folder}'"
+        )
+        return self.spark.table(table)
+
+    # ------------------------------------------------------------------ public
 
     def read_current(self) -> DataFrame:
-        rows = self.spark.read.parquet(self._folder("current", self._last()))
+        rows = self._scan_current(self._newest()[1])
         # a literal lets a filter on the flag drop this branch, or the other, unread
         return rows.withColumn("is_current", F.lit(True))
 
     def read(self) -> DataFrame:
         """All versions, under the column set of the newest run."""
-        current, last = self.read_current(), self._last()
+        current, last = self.read_current(), self._newest()[0]
         closed = [
             path
             for path in matching_paths(self.spark, f"{self.path}/runs/batch=*/is_current=false")
-            if int(path.split("/")[-2].removeprefix("batch=")) <= last
+            if _batch_number(path.rsplit("/", 1)[0]) <= last
         ]
         if not closed:
             return current
@@ -89,7 +144,7 @@ class HistoryStore:
         """First load."""
         if self.runs():
             raise ValueError(f"{self.path} already holds a table")
-        write_table(versions, self._folder("current", 0))
+        self._write_current(self._by_bucket(versions), 0)
 
     def apply(self, delta: DataFrame) -> None:
         """Apply a delta: keep what it closes, rewrite the current versions.
@@ -97,16 +152,24 @@ class HistoryStore:
         The delta is computed once; the new current versions are made from the
         written copy.
         """
-        last = self._last()
-        run = self._folder("runs", last + 1)
+        last, folder = self._newest()
+        run = self._run_folder(last + 1)
         delta.write.mode("overwrite").partitionBy("is_current").parquet(run)
         written = self.spark.read.schema(delta.schema).parquet(run).select(*delta.columns)
-        closed = written.where(~F.col("is_current")).select(scd2.VERSION_KEY)
-        current = self.spark.read.parquet(self._folder("current", last))
-        kept = sync_schema(current.join(closed, scd2.VERSION_KEY, "left_anti"), delta)
-        write_table(
-            kept.unionByName(written.where("is_current")), self._folder("current", last + 1)
+        closed = written.where(~F.col("is_current")).select(
+            scd2.KEY, F.col(scd2.VERSION_KEY).alias("_closed")
         )
+        # a key has one current version, so at most one closed row meets it
+        current = self._scan_current(folder).join(closed, scd2.KEY, "left")
+        kept = current.where(~F.col("_closed").eqNullSafe(F.col(scd2.VERSION_KEY)))
+        opened = self._by_bucket(written.where("is_current"))
+        self._write_current(sync_schema(kept, delta).unionByName(opened), last + 1)
+        if self.buckets:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(folder)}")
+
+    def _by_bucket(self, versions: DataFrame) -> DataFrame:
+        """One task per bucket, so that each writes one file."""
+        return versions.repartition(self.buckets, scd2.KEY) if self.buckets else versions
 
     def load(
         self, rows: DataFrame, spec: scd2.Spec, options: scd2.Options = scd2.DEFAULTS
@@ -116,3 +179,8 @@ class HistoryStore:
             self.apply(scd2.delta(rows, self.read(), spec, options))
         else:
             self.start(scd2.initial(rows, spec, options))
+
+
+def _batch_number(folder: str) -> int:
+    """The run number in ``.../batch=<n>`` or ``.../batch=<n>.<buckets>``."""
+    return int(folder.rsplit("batch=", 1)[1].split(".")[0])
