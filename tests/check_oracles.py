@@ -52,6 +52,19 @@ def duck_result(con, sql):
     return table(names, done.fetchall())
 
 
+# Spark type -> DuckDB type, where they are spelled differently.
+SPELLINGS = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_differences(df, con, sql):
+    """Columns whose types differ, as {name: (spark, duckdb)}."""
+    ours = {c: SPELLINGS.get(t, t.upper()) for c, t in df.dtypes}
+    theirs = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (ours.get(c), theirs.get(c)) for c in {*ours, *theirs} if ours.get(c) != theirs.get(c)}
+
+
 def difference(left, right):
     """A short description of how two results differ, or None."""
     (names_a, rows_a), (names_b, rows_b) = left, right

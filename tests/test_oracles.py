@@ -4,7 +4,7 @@ import os
 from pathlib import Path
 
 import pytest
-from check_oracles import difference, duck, duck_result, spark_result
+from check_oracles import difference, duck, duck_result, spark_result, type_differences
 
 import __spark_entry__ as entry
 
@@ -25,8 +25,9 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    got = spark_result(QUERIES[name](spark, SF_DIR))
-    assert difference(got, duck_result(con, ORACLES[name])) is None
+    df = QUERIES[name](spark, SF_DIR)
+    assert type_differences(df, con, ORACLES[name]) == {}
+    assert difference(spark_result(df), duck_result(con, ORACLES[name])) is None
 
 
 def test_entry_has_rows(spark):

@@ -86,7 +86,7 @@ def dq_at_least_one(t: Tables) -> DataFrame:
     return quality.at_least_one(t.orders.withColumn("large", large), "large")
 
 
-@job("""SELECT min(kind) AS lowest, max(kind) AS highest FROM (SELECT sign(l_quantity) AS kind FROM lineitem)
+@job("""SELECT min(kind) AS lowest, max(kind) AS highest FROM (SELECT CAST(sign(l_quantity) AS INTEGER) AS kind FROM lineitem)
 HAVING count(DISTINCT kind) = 1""")
 def dq_not_constant(t: Tables) -> DataFrame:
     lines = t.lineitem.select(F.signum("l_quantity").cast("int").alias("kind"))
@@ -107,7 +107,7 @@ def dq_unique(t: Tables) -> DataFrame:
     return quality.unique_where(t.orders, "o_custkey", "o_orderstatus = 'F'")
 
 
-@job("""SELECT page_id, url, NULL AS page FROM pages
+@job("""SELECT page_id, url, CAST(NULL AS VARCHAR) AS page FROM pages
 WHERE url LIKE 'https%' AND nullif(split_part(split_part(url, 'page=', 2), '&', 1), '') IS NULL""")
 def dq_not_null(t: Tables) -> DataFrame:
     pages = t.pages.select("page_id", "url", urls.get_url_parameter("url", "page").alias("page"))

@@ -178,9 +178,10 @@ def last_day_rollup(t: Tables) -> DataFrame:
 _KINDS = ("click", "error", "purchase", "signup", "view")
 
 
-@job(f"""SELECT user_id, '[' || {" || ',' || ".join(f"count(*) FILTER (event_type = '{k}')" for k in _KINDS)}
-  || ',' || count(*) || ',' || min(event_id) || ',' || max(event_id) || ']' AS profile, 8 AS num_elements
-FROM events GROUP BY user_id""")
+@job(f"""SELECT *, len(string_split(profile, ',')) AS num_elements FROM (
+SELECT user_id, '[' || {" || ',' || ".join(f"count(*) FILTER (event_type = '{k}')" for k in _KINDS)}
+  || ',' || count(*) || ',' || min(event_id) || ',' || max(event_id) || ']' AS profile
+FROM events GROUP BY user_id)""")
 def array_build(t: Tables) -> DataFrame:
     """Per user: counts by type, the total appended, first and last id concatenated."""
     per_user = t.events.groupBy("user_id").agg(
