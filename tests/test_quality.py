@@ -160,7 +160,7 @@ def test_ranges(spark):
 
 @pytest.mark.parametrize("gaps", ["allowed", "not_allowed", "required"])
 @pytest.mark.parametrize("zero", [False, True])
-def test_both_range_plans_agree(spark, gaps, zero):
+def test_all_range_plans_agree(spark, gaps, zero):
     """Random ranges with repeats, nulls, hot bounds and one dominant partition."""
     rng = random.Random(11)
     data = []
@@ -169,10 +169,25 @@ def test_both_range_plans_agree(spark, gaps, zero):
         hi = rng.choice([None, lo, (lo or 0) + rng.randrange(-1, 4), rng.randrange(60)])
         data.append((rng.choice(["hot", "hot", "b", None]), lo, hi))
     df = spark.createDataFrame(data, "k string, lo int, hi int")
-    by_window, by_ranges = (
-        rows(quality.mutually_exclusive_ranges(df, "lo", "hi", "k", gaps, zero, most)) for most in (1000, 0)
+    # 1000 rows: a window per partition; 110: a window per range; 0: aggregates
+    by_window, by_ranges, by_aggregates = (
+        rows(quality.mutually_exclusive_ranges(df, "lo", "hi", "k", gaps, zero, most)) for most in (1000, 110, 0)
     )
-    assert by_window == by_ranges and by_window
+    assert by_window == by_ranges == by_aggregates and by_window
+    whole = [rows(quality.mutually_exclusive_ranges(df, "lo", "hi", None, gaps, zero, most)) for most in (1000, 0)]
+    assert whole[0] == whole[1]
+
+
+def test_range_plans_are_chosen_by_size(spark):
+    df = spark.range(200).select(F.lit("p").alias("k"), F.col("id").alias("lo"), (F.col("id") + 1).alias("hi"))
+
+    def plan(most):
+        got = quality.mutually_exclusive_ranges(df, "lo", "hi", "k", max_partition_rows=most)
+        return got._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "Union" not in plan(200) and "_range" not in plan(200)
+    assert "Union" in plan(199) and "Join" not in plan(199)
+    assert "Join" in plan(10)
 
 
 def test_suite(spark):

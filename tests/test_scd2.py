@@ -343,6 +343,16 @@ def test_usagers_fetch_the_wilaya_code_of_their_own_source(spark):
     assert len(got) == 5
 
 
+def test_repeated_lookup_keys(spark):
+    def read(table):
+        twice = "union all select 1, 'again'" if table == "cz_wilaya" else ""
+        return spark.sql(f"select 1 as ID, 'w' as code_wilaya union all select 2, 'x' {twice}")
+
+    assert rows(checks.repeated_lookup_keys(warehouse.DIM_USAGERS, read)) == [("CZ", "wilaya", "1", 2)]
+    with pytest.raises(ValueError):
+        checks.repeated_lookup_keys(SPEC, read)
+
+
 def test_table_checks_look_dates_up_in_the_calendar(spark):
     spec = warehouse.FACT_FACTURES
     base = scd2.initial(feed(spark, ("A", 1, "a", 0, None), ("A", 2, "b", 1, None)), SPEC)
@@ -411,6 +421,13 @@ def test_hot_key_with_most_delete_rows_is_split(spark, without_broadcasts):
     assert rows(closing.select(scd2.KEY, "_closed_after")) == rows(expected)
 
 
+def test_store_path_may_hold_a_quote(spark):
+    store = HistoryStore(spark, new_folder(spark, "it's"))
+    store.load(feed(spark, ("A", 1, "a", 0, None)), SPEC)
+    store.load(feed(spark, ("A", 1, "b", 1, None)), SPEC)
+    assert len(short(store.read())) == 2
+
+
 def test_a_store_without_buckets_gives_the_same_table(spark):
     changes = [("A", 1, "a", 0, None), ("A", 2, "b", 0, None)], [("A", 1, "c", 1, None), ("A", 2, "b", 2, 2)]
     tables = []

@@ -193,7 +193,7 @@ def dq_ranges_not_allowed(t: Tables) -> DataFrame:
 
 @job(_ranges_sql(_ORDER_RANGES, "<", "less_than", "<", "less_than"))
 def dq_ranges_required(t: Tables) -> DataFrame:
-    """The same ranges through the range-partitioned plan, whatever the group sizes."""
+    """The same ranges through the plan made of aggregates, whatever the group sizes."""
     return quality.mutually_exclusive_ranges(
         _order_ranges(t), "lo", "hi", "k", gaps="required", max_partition_rows=0
     )

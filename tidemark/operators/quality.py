@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import as_timestamp, dateadd, moment
 from ..functions.text import slugify
 from .columns import quoted
-from .neighbours import with_neighbour
+from .neighbours import default_ranges, largest_group, range_bounds, range_of, with_neighbour
 from .sets import replicate, tagged_counts
 
 
@@ -292,14 +292,15 @@ def mutually_exclusive_ranges(
     partition_by: str | Column | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    max_partition_rows: int = 1_000_000,
+    max_partition_rows: int = 10_000_000,
 ) -> DataFrame:
     """Ranges that are empty, overlap the next one or break the gap rule.
 
     One window per partition does when the largest partition is known to have
-    at most ``max_partition_rows`` rows. Beyond that (or without a partition
-    column) the next lower bound is found through ``with_neighbour``, which
-    never gives a whole partition to one task.
+    at most ``max_partition_rows`` rows. Beyond that, or without a partition
+    column, partitions are cut into ranges of the lower bound with a window
+    each. Where even a range is larger, because one lower bound is repeated too
+    often, the next lower bound comes from aggregates.
     """
     if gaps not in _GAP_RULES:
         raise ValueError(f"gaps must be one of {sorted(_GAP_RULES)}, not {gaps!r}")
@@ -310,11 +311,7 @@ def mutually_exclusive_ranges(
         _expression(lower_bound_column).alias("lower_bound"),
         _expression(upper_bound_column).alias("upper_bound"),
     )
-    if keys and _largest_group(ranges, keys) <= max_partition_rows:
-        linked = _next_bound_by_window(ranges, keys)
-    else:
-        linked = _next_bound_by_ranges(ranges, keys)
-
+    linked = _next_bounds(ranges, keys, max_partition_rows)
     gap_name, gap_rule = _GAP_RULES[gaps]
     lower, upper, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     length_name = "less_than_or_equal_to" if zero_length_range_allowed else "less_than"
@@ -331,25 +328,30 @@ def mutually_exclusive_ranges(
     return replicate(failing, "_rows") if "_rows" in failing.columns else failing
 
 
-def _largest_group(df: DataFrame, keys: list[str]) -> int:
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n").alias("n")).first()["n"] or 0
-
-
-def _next_bound_by_window(ranges: DataFrame, keys: list[str]) -> DataFrame:
-    order = Window.partitionBy(*keys).orderBy(
-        F.col("lower_bound").asc_nulls_last(), F.col("upper_bound").asc_nulls_first()
-    )
-    return ranges.withColumns(
-        {
-            "next_lower_bound": F.lead("lower_bound").over(order),
-            "is_last_record": F.lead(F.lit(1)).over(order).isNull(),
-        }
-    )
+def _next_bounds(ranges: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
+    """Add next_lower_bound and is_last_record, choosing the plan by counted sizes."""
+    then_by = F.col("upper_bound").asc_nulls_first()
+    if keys and largest_group(ranges, keys) <= max_rows:
+        order = Window.partitionBy(*keys).orderBy(F.col("lower_bound").asc_nulls_last(), then_by)
+        return ranges.withColumns(
+            {
+                "next_lower_bound": F.lead("lower_bound").over(order),
+                "is_last_record": F.lead(F.lit(1)).over(order).isNull(),
+            }
+        )
+    bounds = range_bounds(ranges, "lower_bound", default_ranges(ranges))
+    if largest_group(ranges, [*keys, range_of(ranges, "lower_bound", bounds)]) <= max_rows:
+        return with_neighbour(
+            ranges, "lower_bound", keys, "next", "next_lower_bound", "is_last_record",
+            bounds=bounds, then_by=[then_by],
+        )
+    return _next_bounds_from_aggregates(ranges, keys, bounds)
 
 
-def _next_bound_by_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
-    """The same two columns from aggregates, for ``_rows`` equal rows at a time.
+def _next_bounds_from_aggregates(
+    ranges: DataFrame, keys: list[str], bounds: list[float]
+) -> DataFrame:
+    """The same two columns without a window over rows, for ``_rows`` equal rows at a time.
 
     Rows sharing a lower bound follow each other, so only the one with the
     largest upper bound looks at the next distinct lower bound; for the others
@@ -361,7 +363,7 @@ def _next_bound_by_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
     )
     per_bound = per_row.groupBy(*keys, "lower_bound").agg(F.max("upper_bound").alias("_top"))
     following = with_neighbour(
-        per_bound, "lower_bound", keys, direction="next", name="_following", missing="_is_last"
+        per_bound, "lower_bound", keys, "next", "_following", "_is_last", bounds=bounds
     )
     tops = following.select(
         *[F.col(k).alias(f"_{k}") for k in keys],

@@ -52,8 +52,10 @@ class HistoryStore:
     The current versions are bucketed by key, with the number of buckets kept in
     the folder name. Joining changes to them, and taking closed versions out of
     them, then moves the changes to the buckets and never the table itself.
-    ``buckets`` should be at least the number of shuffle partitions, which is
-    its default; 0 writes plain files.
+    ``buckets`` defaults to the number of shuffle partitions and should be no
+    smaller; take more where a bucket would outgrow a task. 0 writes plain files.
+
+    One writer at a time; any number of readers.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
@@ -112,10 +114,13 @@ class HistoryStore:
         if not buckets:
             return plain
         table = self._table_name(folder)
-        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in plain.schema.fields)
+        columns = ", ".join(
+            f"{quoted(f.name)} {f.dataType.simpleString()}" for f in plain.schema.fields
+        )
+        location = folder.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-            f"CLUSTERED BY ({scd2.KEY}) INTO {buckets} BUCKETS LOCATION '{folder}'"
+            f"CLUSTERED BY ({scd2.KEY}) INTO {buckets} BUCKETS LOCATION '{location}'"
         )
         return self.spark.table(table)
 
