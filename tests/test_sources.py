@@ -186,11 +186,31 @@ def test_stream_applies_new_files_and_skips_replayed_batches(spark):
     # nothing new: nothing happens
     run()
     assert store.runs() == [0, 1]
-    # a lost checkpoint replays batch 0, which the store has already
+    # a lost checkpoint reads everything again: nothing in it is newer than the store
     run("other-checkpoint")
     assert versions(store) == expected
 
 
+def test_stream_goes_on_from_a_store_loaded_in_batch(spark):
+    """The stream's batch numbers start at 0 whatever the store's runs are."""
+    root = new_folder(spark, "stream")
+    store = HistoryStore(spark, f"{root}/history")
+    store.load(batch(spark, (1, "a", 0, None)), SPEC)
+    store.load(batch(spark, (1, "b", 1, None)), SPEC)
+    batch(spark, (1, "c", 2, None)).coalesce(1).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(batch(spark, (1, "a", 0, None)).schema).parquet(f"{root}/in")
+    scd2_stream(stream, store, SPEC, f"{root}/checkpoint").awaitTermination()
+    assert store.read_current().first().x == "c" and store.runs() == [0, 1, 2]
+
+
+def test_a_loaded_token_is_not_loaded_again(spark):
+    store = HistoryStore(spark, new_folder(spark, "tokens"))
+    store.load(batch(spark, (1, "a", 0, None)), SPEC, token="first")
+    assert store.has_loaded("first") and not store.has_loaded("second")
+    store.load(batch(spark, (1, "b", 1, None)), SPEC, token="first")
+    assert versions(store) == [("A_1", "a", 1, None, True)]
+
+
 def test_stream_takes_a_late_source(spark):
     """No watermark: a row older than what the store holds is still applied."""
     root = new_folder(spark, "stream")

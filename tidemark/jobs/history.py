@@ -118,7 +118,7 @@ def scd2_collect(t: Tables) -> DataFrame:
 
 @job(f"{_ROWS}, newest AS (SELECT * FROM change_rows {_NEWEST}) SELECT {_OPENED} FROM newest")
 def scd2_initial(t: Tables) -> DataFrame:
-    return scd2.initial(scd2.with_keys(scd2_collect(t), EVENTS), EVENTS)
+    return scd2.initial(event_rows(t), EVENTS)
 
 
 @job(f"{_ROWS} SELECT * FROM change_rows {_NEWEST}")

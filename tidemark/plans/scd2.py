@@ -84,7 +84,8 @@ class Spec:
 class Options:
     """Deliberate departures from the default behaviour.
 
-    use_watermark            False: take every given row as fresh (stream batches)
+    use_watermark            False: take every given row as fresh (stream batches) and
+                             ignore those older than the version they meet
     watermark_per_source     one limit per source, so a late source is not skipped
     skip_deleted_on_initial  no current versions for keys already deleted
     delete_wins              a key changed and deleted in one run stays closed
@@ -281,11 +282,16 @@ def changes(
         lambda a, b: a | b,
         [~F.col(f"s.{quoted(c)}").eqNullSafe(F.col(f"t.{quoted(c)}")) for c in spec.tracked],
     )
+    is_deleted = is_open & F.col("_closed_any").isNotNull()
+    if not options.use_watermark:
+        older = F.col(f"s.{UPDATED}") <= F.col(f"t.{UPDATED}")
+        differs = differs & ~F.coalesce(older, F.lit(False))
+        is_deleted = is_open & F.col("_closed_after").isNotNull()
     return joined.withColumns(
         {
             "is_new": has_row & ~in_target & alive,
             "is_changed": has_row & is_open & differs,
-            "is_deleted": is_open & F.col("_closed_any").isNotNull(),
+            "is_deleted": is_deleted,
             "is_reopened": F.lit(options.reopen_deleted) & has_row & in_target & ~is_open & alive,
         }
     )

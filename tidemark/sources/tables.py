@@ -43,7 +43,7 @@ class HistoryStore:
     closed them. Only the current versions are written anew::
 
         runs/batch=<n>/is_current=<flag>/    what run n closed and opened
-        current/batch=<n>.<buckets>/         all current versions after run n
+        current/batch=<n>.<buckets>.<input>/ all current versions after run n
 
     The current folder is written last, and its writer's success mark makes the
     run count. Readers follow the newest marked run, so a failed run leaves the
@@ -89,10 +89,10 @@ class HistoryStore:
     # ---------------------------------------------------- bucketed current part
 
     def _table_name(self, folder: str) -> str:
-        return "history_" + hashlib.md5(folder.encode()).hexdigest()
+        return f"history_{_digest(folder)}"
 
-    def _write_current(self, versions: DataFrame, batch: int) -> None:
-        folder = f"{self.path}/current/batch={batch:06d}.{self.buckets}"
+    def _write_current(self, versions: DataFrame, batch: int, token: str | None) -> None:
+        folder = f"{self.path}/current/batch={batch:06d}.{self.buckets}.{_digest(token or '-')}"
         if not self.buckets:
             write_table(versions, folder)
             return
@@ -109,11 +109,13 @@ class HistoryStore:
 
     def _scan_current(self, folder: str) -> DataFrame:
         """The current versions, with Spark told about the buckets."""
-        buckets = int(folder.rsplit(".", 1)[1])
+        buckets = int(folder.rsplit(".", 2)[1])
+        table = self._table_name(folder)
+        if buckets and self.spark.catalog.tableExists(table):
+            return self.spark.table(table)
         plain = self.spark.read.parquet(folder)
         if not buckets:
             return plain
-        table = self._table_name(folder)
         columns = ", ".join(
             f"{quoted(f.name)} {f.dataType.simpleString()}" for f in plain.schema.fields
         )
@@ -141,17 +143,19 @@ class HistoryStore:
         ]
         if not closed:
             return current
-        old = self.spark.read.option("mergeSchema", True).parquet(*closed)
-        old = sync_schema(old, current).withColumn("is_current", F.lit(False))
+        # with the schema given, no footer of an old run is read for planning, and
+        # columns that came later are null
+        stored = current.drop("is_current").schema
+        old = self.spark.read.schema(stored).parquet(*closed).withColumn("is_current", F.lit(False))
         return current.unionByName(old)
 
-    def start(self, versions: DataFrame) -> None:
+    def start(self, versions: DataFrame, token: str | None = None) -> None:
         """First load."""
         if self.runs():
             raise ValueError(f"{self.path} already holds a table")
-        self._write_current(self._by_bucket(versions), 0)
+        self._write_current(self._by_bucket(versions), 0, token)
 
-    def apply(self, delta: DataFrame) -> None:
+    def apply(self, delta: DataFrame, token: str | None = None) -> None:
         """Apply a delta: keep what it closes, rewrite the current versions.
 
         The delta is computed once; the new current versions are made from the
@@ -168,7 +172,7 @@ class HistoryStore:
         current = self._scan_current(folder).join(closed, scd2.KEY, "left")
         kept = current.where(~F.col("_closed").eqNullSafe(F.col(scd2.VERSION_KEY)))
         opened = self._by_bucket(written.where("is_current"))
-        self._write_current(sync_schema(kept, delta).unionByName(opened), last + 1)
+        self._write_current(sync_schema(kept, delta).unionByName(opened), last + 1, token)
         if self.buckets:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(folder)}")
 
@@ -176,16 +180,33 @@ class HistoryStore:
         """One task per bucket, so that each writes one file."""
         return versions.repartition(self.buckets, scd2.KEY) if self.buckets else versions
 
+    def has_loaded(self, token: str) -> bool:
+        """Whether a finished run carries this token."""
+        return any(f.endswith(f".{_digest(token)}") for f in self._finished().values())
+
     def load(
-        self, rows: DataFrame, spec: scd2.Spec, options: scd2.Options = scd2.DEFAULTS
+        self,
+        rows: DataFrame,
+        spec: scd2.Spec,
+        options: scd2.Options = scd2.DEFAULTS,
+        token: str | None = None,
     ) -> None:
-        """One run of the pipeline: the first load, or the delta against the table."""
+        """One run of the pipeline: the first load, or the delta against the table.
+
+        ``token`` names the input: if a finished run carries it, nothing is done.
+        """
+        if token is not None and self.has_loaded(token):
+            return
         if self.runs():
-            self.apply(scd2.delta(rows, self.read(), spec, options))
+            self.apply(scd2.delta(rows, self.read(), spec, options), token)
         else:
-            self.start(scd2.initial(rows, spec, options))
+            self.start(scd2.initial(rows, spec, options), token)
+
+
+def _digest(text: str) -> str:
+    return hashlib.md5(text.encode()).hexdigest()
 
 
 def _batch_number(folder: str) -> int:
-    """The run number in ``.../batch=<n>`` or ``.../batch=<n>.<buckets>``."""
+    """The run number in ``.../batch=<n>`` with or without further parts."""
     return int(folder.rsplit("batch=", 1)[1].split(".")[0])

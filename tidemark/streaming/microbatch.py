@@ -1,7 +1,9 @@
 """The SCD2 pipeline as a ``foreachBatch`` sink.
 
-The stream's checkpoint knows which rows have been read, so no watermark filter
-is applied: a late source is not skipped. Deletes are looked up in the batch.
+The stream's checkpoint knows which rows have been read, so no limit on the
+change time is applied to a batch: a late source is not skipped. Instead each
+row is held against its own key, and older rows than the current version's are
+ignored. Deletes are looked up in the batch.
 """
 
 from dataclasses import replace
@@ -22,16 +24,13 @@ def scd2_stream(
 ) -> StreamingQuery:
     """Apply each micro-batch of keyed change rows to the store, then stop.
 
-    Batch numbers are those of the store's runs: a batch replayed after a
-    failure finds its number among the finished runs and is skipped.
+    A batch carries the checkpoint and its number as a token, so one that is
+    replayed after a failure is applied once.
     """
     options = replace(options, use_watermark=False)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        done = store.runs()
-        if done and done[-1] >= batch_id:
-            return
-        store.load(batch, spec, options)
+        store.load(batch, spec, options, token=f"{checkpoint}#{batch_id}")
 
     return (
         rows.writeStream.foreachBatch(apply)
