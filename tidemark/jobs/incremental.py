@@ -5,8 +5,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import date_trunc
 from ..session import new_folder
-from ..sources import periods
+from ..sources import catalog, periods
+from ..sources.tables import write_table
 from .registry import Tables, registrar, rows_counted
 
 QUERIES: dict = {}
@@ -26,11 +28,11 @@ FROM edges, (VALUES ('hour'), ('day'), ('week'), ('month')) AS p(period)""")
 def period_boundaries(t: Tables) -> DataFrame:
     """Where a resumed load goes on, and how many periods are left, per period length."""
     loaded = t.events.where("ts < timestamp_ntz'2024-01-16 00:00:00'")
-    found = [
-        periods.boundaries(t.spark, period, START, STOP, loaded, "ts")
-        for period in ("hour", "day", "week", "month")
+    hours = periods.boundaries(t.spark, "hour", START, STOP, loaded, "ts")
+    longer = [
+        periods.boundaries(t.spark, period, hours.start, STOP) for period in ("day", "week", "month")
     ]
-    rows = [(b.period, str(b.start), str(b.stop), b.count) for b in found]
+    rows = [(b.period, str(b.start), str(b.stop), b.count) for b in (hours, *longer)]
     return t.spark.createDataFrame(
         rows, "period string, start string, stop string, num_periods long"
     ).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "stop")})
@@ -73,8 +75,42 @@ def period_rollup_load(t: Tables) -> DataFrame:
     path, events = new_folder(t.spark, "rollup"), t.events
 
     def daily(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "event_type").agg(rows_counted("n"), F.max("ts").alias("ts"))
+        day = date_trunc("day", "ts").alias("day")
+        return rows.groupBy(day, "event_type").agg(rows_counted("n"), F.max("ts").alias("ts"))
 
     periods.insert_by_period(events, path, "ts", START, STOP, "week", model=daily)
     loaded = periods.read_loaded(t.spark, path, "day timestamp_ntz, event_type string, n long")
     return loaded.groupBy("day", "event_type").agg(F.sum("n").alias("num_rows"))
+
+
+@job("""SELECT o_orderstatus, o_orderpriority, count(*) AS num_rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total,
+min(CAST(o_orderdate AS DATE)) AS first_day FROM orders GROUP BY 1, 2""")
+def typed_csv_load(t: Tables) -> DataFrame:
+    """Orders through a CSV file, read back under a declared schema with two overrides."""
+    path = new_folder(t.spark, "csv")
+    t.orders.write.csv(path, header=True)
+    declared = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.orders.schema.fields)
+    loaded = catalog.read_typed_csv(
+        t.spark, path, declared, {"o_totalprice": "decimal(18,2)", "o_custkey": "string"}
+    )
+    return loaded.groupBy("o_orderstatus", "o_orderpriority").agg(
+        rows_counted(),
+        F.sum("o_totalprice").cast("decimal(28,2)").alias("total"),
+        F.min(F.col("o_orderdate").cast("date")).alias("first_day"),
+    )
+
+
+@job("""SELECT c_nationkey, count(*) AS num_orders, max(o_orderdate) AS last_order
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
+def rebuild(t: Tables) -> DataFrame:
+    """A table written, then replaced as a whole."""
+    path = new_folder(t.spark, "rebuild")
+    write_table(t.customer.groupBy("c_nationkey").agg(rows_counted("num_customers")), path)
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    write_table(
+        orders.groupBy("c_nationkey").agg(
+            rows_counted("num_orders"), F.max("o_orderdate").alias("last_order")
+        ),
+        path,
+    )
+    return t.spark.read.parquet(path)

@@ -120,13 +120,15 @@ def union_where(t: Tables) -> DataFrame:
 
 
 def _event_slices(t: Tables) -> None:
-    """Three time slices of the events as temporary views."""
-    edges = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
-    for low, high in zip(edges, edges[1:]):
-        rows = t.events.where(
-            f"ts >= timestamp_ntz'{low} 00:00:00' and ts < timestamp_ntz'{high} 00:00:00'"
-        )
-        rows.createOrReplaceTempView(f"events_{low.replace('-', '')}")
+    """Three time slices that make up the events, as temporary views."""
+    first, second = "timestamp_ntz'2024-01-11 00:00:00'", "timestamp_ntz'2024-01-21 00:00:00'"
+    slices = {
+        "events_20240101": f"ts < {first}",
+        "events_20240111": f"ts >= {first} and ts < {second}",
+        "events_20240121": f"ts >= {second}",
+    }
+    for name, condition in slices.items():
+        t.events.where(condition).createOrReplaceTempView(name)
 
 
 _SLICES = """
