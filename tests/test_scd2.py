@@ -284,6 +284,27 @@ def test_store_follows_the_columns_of_the_newest_run(spark):
         [(1, True, 1), (1, False, 1), (None, True, 1), (None, False, 1)], key=repr)
 
 
+def test_a_column_added_to_the_spec_reaches_the_table(spark):
+    wider = scd2.Spec(
+        name="things", entity="things", sources=("A", "B"), id_column="id",
+        columns={"id": "id", "x": "x", "z": "z"}, tracked=("x", "z"),
+    )
+
+    def wide(*changes):
+        narrow = [(i, x, None, s, at(u), at(d)) for s, i, x, u, d in changes]
+        frame = spark.createDataFrame(narrow, SCHEMA).withColumn("z", F.col("x"))
+        return scd2.with_keys(frame, wider)
+
+    store = HistoryStore(spark, new_folder(spark, "wider"))
+    store.load(feed(spark, ("A", 1, "a", 0, None), ("A", 2, "b", 0, None)), SPEC)
+    store.load(wide(("A", 1, "a", 1, None), ("A", 2, None, 1, None), ("A", 3, "c", 1, None)), wider)
+    got = store.read()
+    assert got.columns == scd2.version_columns(wider)
+    assert sorted(((r.src_id, r.x, r.z, r.is_current) for r in got.collect()), key=repr) == sorted(
+        [("A_1", "a", None, False), ("A_1", "a", "a", True), ("A_2", "b", None, False),
+         ("A_2", None, None, True), ("A_3", "c", "c", True)], key=repr)
+
+
 def test_upsert_and_schema_sync(spark):
     target = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (None, "n", 0.0)], "k int, v string, old double")
     delta = spark.createDataFrame([(2, "B", True), (3, "C", False)], "k int, v string, added boolean")

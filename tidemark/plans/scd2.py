@@ -258,7 +258,8 @@ def changes(
 
     Flags: is_new, is_changed, is_deleted, is_reopened. Each side of the joins
     has one row per key, so no key can be hot; the target is read in two disjoint
-    parts, the current versions and the bare keys of the closed ones.
+    parts, the current versions and the bare keys of the closed ones. A column
+    the target does not have yet counts as null there.
     """
     valid = rows.where(F.col(KEY).isNotNull())
     if options.use_watermark:
@@ -269,7 +270,13 @@ def changes(
     batch = latest_per_key(fresh)
     packed = batch.select(KEY, F.struct(*batch.columns).alias("s"))
     touching = packed.join(closing_times(rows, target, options), KEY, "full")
-    current = target.where("is_current").select(KEY, F.struct(*version_columns(spec)).alias("t"))
+    added = {
+        c: F.lit(None).cast(batch.schema[c].dataType)
+        for c in spec.business_columns
+        if c not in target.columns
+    }
+    open_versions = target.where("is_current").withColumns(added)
+    current = open_versions.select(KEY, F.struct(*version_columns(spec)).alias("t"))
     old_keys = (
         target.where(~F.col("is_current")).select(KEY).distinct().withColumn("_old", F.lit(True))
     )
