@@ -111,14 +111,17 @@ def insert_by_period(
     for index in range(first, last, periods_per_job):
         end = min(index + periods_per_job, last)
         rows = model(source.where(in_period(timestamp_field, limits, index, end)))
-        start = limits.edge(index)
         if end - index > 1:
             number = period_index(timestamp_field, limits)
-            start = dateadd(period, number, moment(limits.start))
+            rows = rows.withColumn(PERIOD_COLUMN, dateadd(period, number, moment(limits.start)))
+            # whole files per period instead of one per task and period; Spark splits
+            # a period that is much larger than the others
+            rows = rows.hint("rebalance", F.col(PERIOD_COLUMN))
+        else:
+            rows = rows.withColumn(PERIOD_COLUMN, limits.edge(index))
         seen = Observation()
         (
-            rows.withColumn(PERIOD_COLUMN, start)
-            .observe(seen, F.count(F.lit(1)).alias("rows"))
+            rows.observe(seen, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PERIOD_COLUMN)
