@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import columns, lookups, neighbours, reshape, series, sets
+from tidemark.session import small_enough_to_broadcast
 
 
 def test_star(spark):
@@ -169,6 +170,14 @@ def test_series_and_spines(spark):
         series.date_spine(spark, "day", "2018-01-01", "2018-01-01")
 
 
+def test_broadcast_check_counts_rows_and_bytes(spark):
+    df = spark.createDataFrame([(1, "x" * 1000), (2, None)], "k int, v string")
+    assert small_enough_to_broadcast(df, 2)
+    assert not small_enough_to_broadcast(df, 1)
+    assert not small_enough_to_broadcast(df, 2, max_bytes=1000)
+    assert small_enough_to_broadcast(df.limit(0), 0, max_bytes=0)
+
+
 def test_lookup_join_keeps_unmatched_and_broadcasts_only_small_tables(spark):
     facts = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     lookup = spark.createDataFrame([(1, "one"), (3, "three")], "k int, name string")

@@ -2,8 +2,11 @@
 
 import tempfile
 import uuid
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the operators count on; a cluster would set them in its defaults.
 SETTINGS = {
@@ -55,6 +58,16 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found or [])
 
 
-def small_enough_to_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Whether the table has at most ``max_rows`` rows; counted without reading a column."""
-    return df.count() <= max_rows
+def small_enough_to_broadcast(
+    df: DataFrame, max_rows: int, max_bytes: int = 64 * 1024 * 1024
+) -> bool:
+    """Whether the table has at most that many rows and bytes (of its values as text).
+
+    The rows are counted first, without reading a column; bytes are only added
+    up for a table that passes.
+    """
+    if df.count() > max_rows:
+        return False
+    sizes = [F.coalesce(F.octet_length(df[c].cast("string")), F.lit(0)) + 8 for c in df.columns]
+    total = df.agg(F.sum(reduce(add, sizes).cast("long")).alias("bytes")).first()["bytes"]
+    return (total or 0) <= max_bytes
