@@ -272,6 +272,20 @@ def test_failed_run_leaves_the_table_and_is_repeated(spark):
         store.start(scd2.initial(feed(spark, *first), SPEC))
 
 
+def test_leftovers_go_under_any_overwrite_mode(spark):
+    """A failed run closed A_1; its repeat closes nothing."""
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        store = HistoryStore(spark, new_folder(spark, "dynamic"))
+        store.load(feed(spark, ("A", 1, "a", 0, None)), SPEC)
+        failed = scd2.delta(feed(spark, ("A", 1, "x", 1, None)), store.read(), SPEC)
+        failed.write.partitionBy("is_current").parquet(f"{store.path}/runs/batch=000001")
+        store.load(feed(spark, ("A", 2, "b", 1, None)), SPEC)
+        assert short(store.read()) == [("A_1", "a", 0, None, True), ("A_2", "b", 1, None, True)]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
 def test_store_follows_the_columns_of_the_newest_run(spark):
     store = HistoryStore(spark, new_folder(spark, "evolve"))
     store.load(feed(spark, ("A", 1, "a", 0, None), ("A", 2, "b", 0, None)), SPEC)

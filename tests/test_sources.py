@@ -121,6 +121,18 @@ def test_no_row_is_lost_or_doubled(spark, per_job, period):
     assert got.count() == expected == got.distinct().count()
 
 
+def test_full_refresh_clears_the_target_under_any_overwrite_mode(spark):
+    path, source = new_folder(spark, "periods"), seed(spark)
+    options = {"timestamp_field": "created_at", "start_date": "2018-01-01", "period": "month"}
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        periods.insert_by_period(source, path, stop_date="2018-06-01", **options)
+        periods.insert_by_period(source, path, stop_date="2018-03-01", full_refresh=True, **options)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert ids(spark, path, source) == [2, 3]
+
+
 def test_edges_of_the_window(spark):
     limits = periods.boundaries(spark, "day", "2024-01-01", "2024-01-03")
     assert limits.count == 2 and limits.stop == dt.datetime(2024, 1, 2, 23, 59, 59, 999000)

@@ -103,9 +103,13 @@ def insert_by_period(
     if first is None:
         first = 0
         empty = model(source.where(F.lit(False)))
-        empty.withColumn(PERIOD_COLUMN, F.lit(None).cast("timestamp_ntz")).write.mode(
-            "overwrite"
-        ).partitionBy(PERIOD_COLUMN).parquet(path)
+        (
+            empty.withColumn(PERIOD_COLUMN, F.lit(None).cast("timestamp_ntz"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(PERIOD_COLUMN)
+            .parquet(path)
+        )
     written: dict[int, int] = {}
     last = limits.count if max_periods is None else min(limits.count, first + max_periods)
     for index in range(first, last, periods_per_job):

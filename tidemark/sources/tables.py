@@ -163,7 +163,13 @@ class HistoryStore:
         """
         last, folder = self._newest()
         run = self._run_folder(last + 1)
-        delta.write.mode("overwrite").partitionBy("is_current").parquet(run)
+        # static: what a failed attempt left is removed, whatever the session's mode
+        (
+            delta.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("is_current")
+            .parquet(run)
+        )
         written = self.spark.read.schema(delta.schema).parquet(run).select(*delta.columns)
         closed = written.where(~F.col("is_current")).select(
             scd2.KEY, F.col(scd2.VERSION_KEY).alias("_closed")
