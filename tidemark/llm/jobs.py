@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .licenses import license_scan
 from .repetition import repetition_rules
 from .secrets import secret_scan
+from .simhash import simhash_near_duplicates
 
 QUERIES, ORACLES = {}, {}
 
@@ -35,3 +36,8 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
