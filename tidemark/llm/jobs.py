@@ -2,7 +2,10 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .contamination import ORACLE as CONTAMINATION_SQL
+from .contamination import contaminated
 from .licenses import license_scan
+from .packing import pack
 from .repetition import repetition_rules
 from .secrets import secret_scan
 from .simhash import simhash_near_duplicates
@@ -41,3 +44,16 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+@query
+def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op6_contamination"] = CONTAMINATION_SQL
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), length=2048)
