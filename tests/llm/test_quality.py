@@ -1,0 +1,72 @@
+"""The additive model: shape functions, interactions, held-out accuracy, defined results."""
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tidemark.llm import features, quality
+from tidemark.llm.words import blocks
+
+
+def test_learns_shapes_and_an_interaction():
+    rng = np.random.default_rng(0)
+    x = rng.uniform(-1, 1, (4000, 4))
+    y = ((x[:, 0] * x[:, 1] > 0) & (np.abs(x[:, 2]) < 0.8)).astype(float)
+    model = quality.Additive.fit(x[:3000], y[:3000])
+    assert (0, 1) in model.pairs
+    assert ((model.score(x[3000:]) > 0.5) == y[3000:]).mean() > 0.93
+
+
+def test_score_is_the_sum_of_looked_up_values():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(500, 3))
+    model = quality.Additive.fit(x, (x[:, 0] + x[:, 1] > 0).astype(float))
+    for row, raw in zip(x[:50], model.raw(x[:50]), strict=True):
+        want = model.base
+        for i, value in enumerate(row):
+            want += model.tables[i][sum(value >= e for e in model.edges[i])]
+        for (a, b), values in zip(model.pairs, model.pair_tables, strict=True):
+            want += values[sum(row[a] >= e for e in model.pair_edges[a]), sum(row[b] >= e for e in model.pair_edges[b])]
+        assert raw == pytest.approx(want)
+
+
+def test_features_do_not_depend_on_the_block(nasty):
+    texts = pa.array([t for t, in nasty.select("text").collect()], pa.string())
+    small = np.concatenate([features.features(b) for b in blocks(texts, 200)])
+    whole = np.concatenate([features.features(b) for b in blocks(texts)])
+    assert np.allclose(small, whole, atol=1e-9)
+    assert not whole[[not (t or "").split() for t in texts.to_pylist()]].any()
+
+
+def test_held_out_accuracy_and_folds(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality.train(docs, labels)
+    scores = quality.quality_scores(docs, model).join(labels, "doc_id").toPandas()
+    held = scores[[zlib.crc32(str(i).encode()) % 4 == 2 for i in scores.doc_id]]
+    assert len(held) > 50 and ((held.predicted == 1) == (held.quality == 1)).mean() > 0.97
+    used = quality.sample(labels, "quality", 4, 2, 50, "doc_id").toPandas()
+    assert len(used) == 50 and all(zlib.crc32(str(i).encode()) % 4 != 2 for i in used.id)
+
+
+def test_held_out_labels_do_not_matter(spark, real):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    turned = labels.withColumn("quality", quality.F.when(quality.fold("doc_id", 4) == 2, 1 - labels.quality).otherwise(labels.quality))
+    runs = [quality.quality_scores(real, quality.train(real, x)).toPandas().sort_values("doc_id") for x in (labels, turned)]
+    assert (runs[0].score.to_numpy() == runs[1].score.to_numpy()).all()
+
+
+def test_defined_results(spark, nasty):
+    labels = spark.createDataFrame(
+        [(i, i % 2, None) for i in range(60)] + [(7, 0, 1), (None, 1, 1), (9, None, 0)], "doc_id long, quality int, toxic int"
+    )
+    model = quality.train(nasty, labels)
+    scores = quality.quality_scores(nasty, model)
+    got = scores.collect()
+    assert len(got) == nasty.count() and all(0 <= r.score <= 1 for r in got)
+    assert all(r.predicted == int(r.score >= 0.7) for r in got)
+    none = quality.train(nasty, labels.limit(0))
+    assert {r.score for r in quality.quality_scores(nasty, none).collect()} == {0.5}
+    assert quality.quality_scores(nasty.limit(0), model).count() == 0

@@ -6,6 +6,7 @@ from .contamination import ORACLE as CONTAMINATION_SQL
 from .contamination import contaminated
 from .licenses import license_scan
 from .packing import pack
+from .quality import fold, quality_scores, train
 from .repetition import repetition_rules
 from .secrets import secret_scan
 from .simhash import simhash_near_duplicates
@@ -57,3 +58,11 @@ ORACLES["op6_contamination"] = CONTAMINATION_SQL
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), length=2048)
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"), "quality", folds=4, held_out=2)
+    scores = quality_scores(docs, model, threshold=0.7)
+    return scores.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
