@@ -1,0 +1,100 @@
+"""Maximal segments against brute force, extreme-value calibration, held-out accuracy."""
+
+import math
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tidemark.llm import toxicity
+from tidemark.llm.words import blocks
+
+
+def brute_segments(scores):
+    """The best scoring run, then the same on both sides of it."""
+    best = None
+    for i in range(len(scores)):
+        total = 0.0
+        for j in range(i, len(scores)):
+            total += scores[j]
+            if total > 1e-12 and (best is None or total > best[2] + 1e-9):
+                best = (i, j + 1, total)
+    if best is None:
+        return []
+    left = brute_segments(scores[: best[0]])
+    right = [(s + best[1], e + best[1], v) for s, e, v in brute_segments(scores[best[1] :])]
+    return [*left, best, *right]
+
+
+def test_segments_are_all_maximal_ones():
+    rng = random.Random(2)
+    for _ in range(400):
+        scores = [rng.choice([-1.37, -0.61, -0.23, 0.41, 1.13, 2.71]) + rng.random() / 50 for _ in range(rng.randrange(1, 25))]
+        got = toxicity.segments(np.array(scores))
+        want = brute_segments(scores)
+        assert [(s, e) for s, e, _ in got] == [(s, e) for s, e, _ in want]
+        assert [v for *_, v in got] == pytest.approx([v for *_, v in want])
+
+
+def test_decay_solves_its_equation():
+    scores, weights = np.array([-1.0, -0.5, 2.0]), np.array([70.0, 25.0, 5.0])
+    x = toxicity.decay(scores, weights)
+    assert x > 0 and (weights / 100) @ np.exp(x * scores) == pytest.approx(1)
+
+
+def test_poisson_surprise():
+    means = np.array([0.01, 0.5, 0.7, 3.0, 9.0])
+    want = [1 - sum(math.exp(-m) * m**k / math.factorial(k) for k in range(r)) for r, m in enumerate(means, 1)]
+    got = toxicity.poisson_surprise(means)
+    assert got[:4] == pytest.approx([-math.log(p) for p in want[:4]], rel=1e-6) and got[4] == 0
+
+
+def test_long_texts_are_scanned_whole():
+    model = toxicity.Model(np.full(toxicity.BUCKETS, -1, np.float32))
+    text = "fine " * 60_000 + "awful awful fine awful " + "fine " * 10
+    block = next(blocks(pa.array(["awful"])))
+    model.scores[toxicity.cells(block)[0][0, 0]] = 5
+    found = model.passages(next(blocks(pa.array([text]))))
+    assert [(s, e) for s, e, *_ in found[0]] == [(60_000, 60_004)]
+
+
+def planted(n, seed):
+    rng = random.Random(seed)
+    vocab = [f"{a}{b}" for a in ("ka", "lo", "mi", "ter", "vans", "quo") for b in ("ne", "ri", "stam", "ul", "da", "po", "x")]
+    bad = ["blorghest", "snavtik", "grumplo"]
+    rows = []
+    for i in range(n):
+        words = [rng.choice(vocab) for _ in range(rng.choice([8, 40, 200]))]
+        toxic = int(rng.random() < 0.3)
+        for _ in range(toxic * rng.choice([1, 2, 3])):
+            words.insert(rng.randrange(len(words)), rng.choice(bad) + rng.choice(["", "", "en", "s"]))
+        rows.append((i, " ".join(words), toxic))
+    return rows
+
+
+def test_planted_words_and_their_inflections(spark):
+    rows = planted(1200, 4)
+    docs = spark.createDataFrame([(i, t, 1.0) for i, t, _ in rows], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    got = {r.doc_id: r for r in toxicity.toxicity_scores(docs, model).collect()}
+    held = [(i, y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    right = sum(got[i].predicted == y for i, y in held) / len(held)
+    assert right > 0.97
+    assert all((r.score >= 0.5) == bool(r.predicted) and 0 <= r.score <= 1 for r in got.values())
+    words = {i: t.split() for i, t, _ in rows}
+    assert all(p.e_value <= toxicity.SIGNIFICANT for r in got.values() for p in r.passages)
+    told = [" ".join(words[i][p.first : p.end]) for i, r in got.items() for p in r.passages]
+    assert sum(any(b in t for b in ("blorghest", "snavtik", "grumplo")) for t in told) > 0.95 * len(told) > 0
+
+
+def test_defined_results(spark, nasty):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(7, 0), (None, 1), (9, None)], "doc_id long, toxic int")
+    model = toxicity.train(nasty, labels)
+    got = toxicity.toxicity_scores(nasty, model).collect()
+    assert len(got) == nasty.count() and all(0 <= r.score <= 1 for r in got)
+    none = toxicity.train(nasty, labels.limit(0))
+    assert {r.score for r in toxicity.toxicity_scores(nasty, none).collect()} == {0.5}
+    assert toxicity.toxicity_scores(nasty.limit(0), model).count() == 0

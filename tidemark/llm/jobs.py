@@ -1,7 +1,9 @@
 """The registered queries of the operators on the test tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import toxicity
 from .contamination import ORACLE as CONTAMINATION_SQL
 from .contamination import contaminated
 from .licenses import license_scan
@@ -66,3 +68,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs, table(spark, sf_dir, "labels"), "quality", folds=4, held_out=2)
     scores = quality_scores(docs, model, threshold=0.7)
     return scores.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", folds=5, held_out=0)
+    scores = toxicity.toxicity_scores(docs, model, threshold=0.5)
+    return scores.select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages")
+    )
