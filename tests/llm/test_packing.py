@@ -57,5 +57,26 @@ def test_similar_documents_lie_together(real):
     assert same > 1.2 * chance
 
 
+def test_pieces_have_the_ids_of_the_text():
+    """Punctuation, apostrophes, combining marks, digits, other scripts and white space."""
+    import random
+
+    import pyarrow as pa
+
+    from tidemark.llm.words import blocks
+
+    rng = random.Random(3)
+    parts = ["don't", "'s", "\"'ll", "A", "İ", "e\u0301", "\u0301", "=\u0338", ",", "(", "x9", "12", "\u00a0", "\x1f", " ", "\n",
+             "学校", "Straße", "Σας", "ﬁ", "_", "l'eau", "!?", "'", "\u2028", "🙂", "<|endoftext|>", "<|ENDofText|>", "\x00", "K"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    tokens = packing.Encoder(packing.default_vocabulary())
+    want = [x.ids + [1] for x in tokens.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    got = []
+    for block in blocks(pa.array(texts), 500):
+        ids, ends = tokens.encode(block, tokens.words(block))
+        got += [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)]
+    assert got == want
+
+
 def test_empty_table(nasty):
     assert packing.pack(nasty.limit(0)).count() == 0

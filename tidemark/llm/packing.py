@@ -25,13 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import saved
-from .words import SOLID, Block, Words, map_rows, ragged
+from .words import LOWER, SOLID, Block, Words, byte_class, map_rows, ragged
 
 #: Dimensions and bits of each in the curve's grid.
 DIMENSIONS, BITS = 4, 6
 END = 1
-#: Words whose ids a task remembers.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers at least before it starts anew.
+REMEMBERED = 1_000_000
+#: 1 for ASCII letters, 2 for ASCII punctuation but the apostrophe.
+_KINDS = byte_class((0x41, 0x5A), (0x61, 0x7A)) + 2 * byte_class(
+    (0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)
+).astype(np.uint8)
 #: Bytes of token ids that a task packs at most, in the mean.
 TASK_BYTES = 64 << 20
 VOCABULARY = "word_bpe_49k.json"
@@ -44,36 +48,86 @@ def default_vocabulary() -> str:
 
 
 class Encoder:
-    """Token ids of words; the tokenizer drops white space, so words are encoded on their own."""
+    """Token ids of words, remembered by their hashes.
+
+    The tokenizer lower-cases, drops white space and never joins letters with
+    punctuation (but for the apostrophe), so a text's ids are those of its pieces
+    between white space, and between ASCII letters and punctuation, in lower case.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = {t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.wide = np.uint32 if self.tokenizer.get_vocab_size() > 1 << 16 else np.uint16
-        self.known: dict[int, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.begins, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.wide)
+
+    def words(self, block: Block) -> Words:
+        data = LOWER[block.data]
+        kind = _KINDS[data]
+        return Words(block, data, SOLID, np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1)
+
+    def learn(self, block: Block, words: Words, unique: np.ndarray, first: np.ndarray) -> None:
+        """Encode the unique words that are not known yet."""
+        if len(self.hashes) > REMEMBERED:
+            self.forget()
+        at = np.searchsorted(self.hashes, unique)
+        known = np.zeros(len(unique), bool)
+        inner = at < len(self.hashes)
+        known[inner] = self.hashes[at[inner]] == unique[inner]
+        new = first[~known]
+        if not len(new):
+            return
+        raw = LOWER[block.data].tobytes()
+        spans = zip(words.starts[new].tolist(), words.ends[new].tolist(), strict=True)
+        encoded = self.tokenizer.encode_batch_fast([raw[s:e].decode("utf-8", "replace") for s, e in spans], add_special_tokens=False)
+        ids = [x.ids for x in encoded]
+        counts = np.array([len(x) for x in ids])
+        begins = len(self.ids) + np.cumsum(counts) - counts
+        self.ids = np.concatenate((self.ids, np.fromiter((i for x in ids for i in x), self.wide, int(counts.sum()))))
+        self.hashes = np.insert(self.hashes, at[~known], unique[~known])
+        self.begins = np.insert(self.begins, at[~known], begins)
+        self.counts = np.insert(self.counts, at[~known], counts)
 
     def encode(self, block: Block, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block, each document's closed by the end token, and its offsets."""
         unique, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
-        own = [self.known.get(h) for h in unique.tolist()]
-        new = [i for i, ids in enumerate(own) if ids is None]
-        spans = zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist(), strict=True)
-        raw = block.data.tobytes()
-        encoded = self.tokenizer.encode_batch([raw[s:e].decode("utf-8", "replace") for s, e in spans], add_special_tokens=False)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-        for i, x in zip(new, encoded, strict=True):
-            own[i] = self.known[int(unique[i])] = np.array(x.ids, self.wide).tobytes()
-        own.append(np.array([END], self.wide).tobytes())
-        flat = np.frombuffer(b"".join(own), self.wide)
-        sizes = np.array([len(x) for x in own]) // flat.itemsize
-        begins = np.cumsum(sizes) - sizes
+        self.learn(block, words, unique, first)
+        at = np.searchsorted(self.hashes, unique)
         # the end token is one more word after each document's last
+        ids = np.append(self.ids, self.wide(END))
+        begins, counts = np.append(self.begins[at], len(self.ids)), np.append(self.counts[at], 1)
         word = np.insert(inverse, words.of[1:], len(unique))
-        counts = sizes[word]
-        ends = np.cumsum(counts)[words.of[1:] + np.arange(len(block))]
-        return flat[ragged(begins[word], counts)], np.concatenate(([0], ends))
+        sizes = counts[word]
+        ends = np.cumsum(sizes)[words.of[1:] + np.arange(len(block))]
+        ids, ends = ids[ragged(begins[word], sizes)], np.concatenate(([0], ends))
+        lower = LOWER[block.data].tobytes()
+        if any(a in lower for a in self.added):
+            # an added token's text, whatever its case: such documents are encoded whole
+            parts = []
+            for d in range(len(block)):
+                own = ids[ends[d] : ends[d + 1]]
+                if any(a in lower[block.offsets[d] : block.offsets[d + 1]] for a in self.added):
+                    text = block.text(d).decode("utf-8", "replace")
+                    own = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids + [END], self.wide)
+                parts.append(own)
+            ids, ends = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+        return ids, ends
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder of a vocabulary file; later tasks find its words known."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def vectors(words: Words) -> np.ndarray:
@@ -154,11 +208,11 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make():
-        encoder = Encoder(vocabulary or default_vocabulary())
+        tokens = encoder(vocabulary or default_vocabulary())
 
         def work(block: Block, doc_ids):
-            words = Words(block, block.data, SOLID)
-            ids, ends = encoder.encode(block, words)
+            words = tokens.words(block)
+            ids, ends = tokens.encode(block, words)
             offsets = ends * ids.itemsize
             values = pa.Array.from_buffers(
                 pa.binary(), len(block), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids.tobytes())]
@@ -179,7 +233,7 @@ def pack(
 
     ``length`` is a power of two.
     """
-    wide = Encoder(vocabulary or default_vocabulary()).wide
+    wide = encoder(vocabulary or default_vocabulary()).wide
     rows = saved(tokenized(docs, vocabulary, id_col, text_col), "token-ids")
     cuts = [i / (1 << BITS) for i in range(1, 1 << BITS)]
     dims = [f"v{k}" for k in range(DIMENSIONS)]

@@ -110,10 +110,11 @@ class Block:
     def text(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
-    def spans(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def spans(self, inside: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of maximal runs of marked bytes, and where each document's begin.
 
-        The third array has one more entry than documents. No run crosses a document.
+        The third array has one more entry than documents. No run crosses a document
+        or goes on at one of the positions ``cuts``.
         """
         n = len(self.data)
         if not n:
@@ -123,6 +124,8 @@ class Block:
         begins[1:] &= ~inside[:-1]
         stops[:-1] &= ~inside[1:]
         edges = self.offsets[(self.offsets > 0) & (self.offsets < n)]
+        if cuts is not None:
+            edges = np.concatenate((edges, cuts))
         begins[edges] |= inside[edges]
         stops[edges - 1] |= inside[edges - 1]
         starts = np.flatnonzero(begins)
@@ -136,9 +139,9 @@ class Block:
 class Words:
     """The words of a block: starts, ends, hashes; ``of`` says where each document's begin."""
 
-    def __init__(self, block: Block, data: np.ndarray, kind: np.ndarray):
+    def __init__(self, block: Block, data: np.ndarray, kind: np.ndarray, cuts: np.ndarray | None = None):
         self.block = block
-        self.starts, self.ends, self.of = block.spans(kind[data])
+        self.starts, self.ends, self.of = block.spans(kind[data], cuts)
         self.sums = byte_prefix(data)
         self.hashes = span_hash(self.sums, self.starts, self.ends)
 
