@@ -12,6 +12,7 @@ from .quality import fold, quality_scores, train
 from .repetition import repetition_rules
 from .secrets import secret_scan
 from .simhash import simhash_near_duplicates
+from .suffixes import remove_repeats
 
 QUERIES, ORACLES = {}, {}
 
@@ -78,3 +79,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(
         "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages")
     )
+
+
+@query
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), least=100).drop("kept")
