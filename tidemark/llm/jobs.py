@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import pages, toxicity
 from .contamination import ORACLE as CONTAMINATION_SQL
 from .contamination import contaminated
 from .licenses import license_scan
@@ -84,3 +84,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), least=100).drop("kept")
+
+
+@query
+def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "pages")
+    return pages.main_texts(rows, pages.train(rows))
