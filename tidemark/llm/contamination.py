@@ -20,6 +20,8 @@ kept. Items equal in id and text count once; repeated documents each get rows.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
 from math import ceil, floor
 
 import numpy as np
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .words import ALNUM, LOWER, Block, Words, map_rows
+from .words import ALNUM, LOWER, Block, Words, keep_rows, map_rows
 
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 SHINGLE, SHARE = 5, 0.8
@@ -98,6 +100,31 @@ class Sketches:
         return np.concatenate(pairs)
 
 
+def passes(benchmark: DataFrame, item_col: str, text_col: str, pass_bytes: int) -> Iterator[DataFrame]:
+    """The distinct items, in as many parts as hold about ``pass_bytes`` of text each."""
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("words")).distinct()
+    size = items.agg(F.sum(F.coalesce(F.octet_length("words"), F.lit(0)) + 16).cast("long")).first()[0] or 0
+    parts = max(1, -(-size // pass_bytes))
+    turn = F.pmod(F.xxhash64("item", "words"), F.lit(parts))
+    for k in range(parts):
+        yield items.where(turn == k).orderBy("item", "words")
+
+
+def verified(sketches: Sketches, block: Block, share: float) -> Iterator[tuple[int, int, int, int]]:
+    """Document, item, shared shingles and the item's shingles of all pairs that hold enough."""
+    data = LOWER[block.data]
+    pairs = sketches.candidates(Words(block, data, ALNUM))
+    known: dict = {}
+    for doc, item in pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))].tolist():
+        length, own = sketches.sets[item]
+        if (doc, length) not in known:
+            text = data[block.offsets[doc] : block.offsets[doc + 1]].tobytes()
+            known = {(doc, length): shingles(text, length)[1]}
+        shared = len(own & known[doc, length])
+        if shared >= ceil(share * len(own) - 1e-9):
+            yield doc, item, shared, len(own)
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -115,19 +142,12 @@ def contaminated(
     The items are the stated query set: each pass searches all documents for as
     many items as have about ``pass_bytes`` of text.
     """
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("words")).distinct()
-    size = items.agg(F.sum(F.coalesce(F.octet_length("words"), F.lit(0)) + 16).cast("long")).first()[0] or 0
-    passes = max(1, -(-size // pass_bytes))
-    turn = F.pmod(F.xxhash64("item", "words"), F.lit(passes))
-    found = [search(docs, items.where(turn == k), shingle, share, id_col, text_col) for k in range(passes)]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionAll(more)
-    return out.withColumnsRenamed({"doc": id_col, "item": item_col})
+    found = [search(docs, own, shingle, share, id_col, text_col) for own in passes(benchmark, item_col, item_text_col, pass_bytes)]
+    return reduce(DataFrame.unionAll, found).withColumnsRenamed({"doc": id_col, "item": item_col})
 
 
 def search(docs: DataFrame, items: DataFrame, shingle: int, share: float, id_col: str, text_col: str) -> DataFrame:
-    rows = items.orderBy("item", "words").collect()  # one pass's items
+    rows = items.collect()  # one pass's items
     ids = pa.array([r.item for r in rows], to_arrow_type(items.schema["item"].dataType))
     texts = [r.words for r in rows]
     doc_kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema["item"].dataType.simpleString()
@@ -136,17 +156,7 @@ def search(docs: DataFrame, items: DataFrame, shingle: int, share: float, id_col
         sketches = Sketches(texts, shingle, share)
 
         def work(block: Block, doc_ids):
-            data = LOWER[block.data]
-            pairs = sketches.candidates(Words(block, data, ALNUM))
-            good, known = [], {}
-            for doc, item in pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))].tolist():
-                length, own = sketches.sets[item]
-                if (doc, length) not in known:
-                    text = data[block.offsets[doc] : block.offsets[doc + 1]].tobytes()
-                    known = {(doc, length): shingles(text, length)[1]}
-                shared = len(own & known[doc, length])
-                if shared >= ceil(share * len(own) - 1e-9):
-                    good.append((doc, item, shared, len(own)))
+            good = list(verified(sketches, block, share))
             if good:
                 doc, item, shared, total = map(np.array, zip(*good, strict=True))
                 yield {"doc": doc_ids.take(pa.array(doc)), "item": ids.take(pa.array(item)), "n_shared": shared,
@@ -158,11 +168,34 @@ def search(docs: DataFrame, items: DataFrame, shingle: int, share: float, id_col
     return map_rows(docs, schema, make, id_col, text_col)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold no benchmark item. Rows with a null id are judged by their text."""
-    marked = docs.withColumn("_row", F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(options.get("text_col", "text"), F.lit(""))).alias("text")))
-    hits = contaminated(marked, benchmark, id_col="_row", **options).select("_row").distinct()
-    return marked.join(hits, marked["_row"].eqNullSafe(hits["_row"]), "left_anti").drop("_row")
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    shingle: int = SHINGLE,
+    share: float = SHARE,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    pass_bytes: int = PASS_BYTES,
+) -> DataFrame:
+    """The documents, with all their columns, that hold no benchmark item."""
+    for items in passes(benchmark, item_col, item_text_col, pass_bytes):
+        docs = without(docs, [r.words for r in items.collect()], shingle, share, text_col)
+    return docs
+
+
+def without(docs: DataFrame, texts: list[str | None], shingle: int, share: float, text_col: str) -> DataFrame:
+    def make():
+        sketches = Sketches(texts, shingle, share)
+
+        def work(block: Block) -> np.ndarray:
+            clean = np.ones(len(block), bool)
+            clean[[doc for doc, *_ in verified(sketches, block, share)]] = False
+            return clean
+
+        return work
+
+    return keep_rows(docs, make, text_col)
 
 
 ORACLE = r"""

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .features import NAMES, features
-from .words import Block, blocks, map_blocks
+from .words import Block, blocks, keep_rows, map_blocks
 
 #: Labelled rows to learn from at most.
 MAX_ROWS = 20_000
@@ -202,3 +202,8 @@ def quality_scores(
         return work
 
     return map_blocks(docs, "score double, predicted int", make, id_col, text_col)
+
+
+def keep_good(docs: DataFrame, model: Additive, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, that the model does not reject."""
+    return keep_rows(docs, lambda: lambda block: model.score(features(block)) >= threshold, text_col)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .words import LEADS, Block, byte_class, map_blocks
+from .words import LEADS, Block, blocks, byte_class, map_blocks
 
 # The three base kinds, in the order in which they are listed.
 KINDS = ("assign", "access", "hex")
@@ -152,3 +152,40 @@ def secret_scan(
         f"{counts}base_sha256 string, spans string, found array<struct<kind:string,start:bigint,end:bigint>>",
         make, id_col, text_col,
     )
+
+
+def redact(
+    docs: DataFrame, mark: str = "[secret]", vocabulary: str | None = None, text_col: str = "text", size_col: str | None = "n_chars"
+) -> DataFrame:
+    """The documents with every run of found spans replaced by a mark.
+
+    ``size_col``, where the table has it, gets the new length of a changed text.
+    Texts without a span, nulls included, stay as they are.
+    """
+    at = docs.columns.index(text_col)
+    size_at = docs.columns.index(size_col) if size_col in docs.columns else None
+
+    def run(batches):
+        encoding = load_encoding(vocabulary or default_vocabulary())
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            sizes = batch.column(size_at).to_pylist() if size_at is not None else None
+            for block in blocks(batch.column(at)):
+                for d, spans in enumerate(spans_of(block, encoding)):
+                    if not spans:
+                        continue
+                    row, raw, parts, end = block.first + d, block.text(d), [], 0
+                    for _, s, e in sorted(spans, key=lambda x: x[1:]):
+                        if s >= end:
+                            parts += [raw[end:s], mark.encode()]
+                        end = max(end, e)
+                    texts[row] = b"".join([*parts, raw[end:]]).decode("utf-8", "replace")
+                    if sizes is not None:
+                        sizes[row] = len(texts[row])
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, columns[at].type)
+            if sizes is not None:
+                columns[size_at] = pa.array(sizes, columns[size_at].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)

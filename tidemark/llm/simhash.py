@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, unite
-from .tables import saved
+from .tables import numbered, saved
 from .words import LOWER, SOLID, Block, map_blocks, ragged
 
 #: The Golay code: length, covering radius, generator polynomial.
@@ -266,3 +266,14 @@ def simhash_near_duplicates(
     return out.select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One document of each group, the one of the smallest id; of equal rows one stays."""
+    rows, shared = numbered(docs, id_col, text_col)
+    found = simhash_near_duplicates(rows, shingle, max_bits, "_d", text_col)
+    first = found.where("_d = component_id").select("_d").distinct()
+    kept = rows.join(first, "_d", "left_semi")
+    return (kept.dropDuplicates(["_d"]) if shared else kept).select(*docs.columns)

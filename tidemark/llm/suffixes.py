@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import saved
+from .tables import numbered, saved
 from .words import BLOCK, U64, Block, blocks, buffers, byte_prefix, mix, powers, ragged, span_hash
 
 #: Bytes of a seed; windows in a fragment at most.
@@ -345,23 +345,6 @@ def merge_rows(least: int):
     return run
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, d, text): d is a number that orders the documents as their ids do."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    whole = docs.schema[id_col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
-    odd = rows.groupBy("id").count().where("count > 1 OR id IS NULL")
-    if whole and odd.isEmpty():
-        return rows.select("id", F.col("id").cast("bigint").alias("d"), "text")
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    keys = rows.select("id", "h").distinct().withColumn("none", F.col("id").isNull())
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = keys.repartitionByRange(parts, "none", "id", "h").sortWithinPartitions("none", "id", "h")
-    # ranges are numbered in their order
-    keys = saved(keys.select("id", "h", F.monotonically_increasing_id().alias("d")), "document-numbers")
-    same = F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.h") == F.col("b.h"))
-    return rows.alias("a").join(keys.alias("b"), same).select("a.id", "b.d", "a.text")
-
-
 def packed(batches):
     """Map task: texts compressed, for the way through a shuffle."""
     import zstandard
@@ -463,7 +446,9 @@ def repeated_spans(rows: DataFrame, packed_rows: DataFrame, least: int) -> DataF
 
 def remove_repeats(docs: DataFrame, least: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, ``kept`` (bytes), kept_sha256."""
-    rows = numbered(docs, id_col, text_col)
+    rows, _ = numbered(docs, id_col, text_col)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = rows.select(F.col(id_col).alias("id"), F.col("_d").alias("d"), text.alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     packed_rows = rows.mapInArrow(packed, f"id {kind}, d long, packed binary")
     spans = repeated_spans(rows, packed_rows, least)

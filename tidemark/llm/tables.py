@@ -25,3 +25,23 @@ def salted_join(rows: DataFrame, by_key: DataFrame, key: str, spread: str, salts
     numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     right = by_key.withColumn("_salt", numbers)
     return left.join(right, [key, "_salt"]).drop("_salt")
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """The rows with ``_d``, a number that orders documents as their ids do, and whether rows may share one.
+
+    Where ids are whole numbers, unique and never null, it is the id. Else null
+    ids come last, different texts of one id are ordered by their hash, and rows
+    equal in id and text share a number.
+    """
+    whole = docs.schema[id_col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
+    if whole and docs.groupBy(id_col).count().where((F.col("count") > 1) | F.col(id_col).isNull()).isEmpty():
+        return docs.withColumn("_d", F.col(id_col).cast("bigint")), False
+    rows = docs.withColumns({"_id": F.col(id_col), "_h": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))})
+    keys = rows.select("_id", "_h").distinct().withColumn("none", F.col("_id").isNull())
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = keys.repartitionByRange(parts, "none", "_id", "_h").sortWithinPartitions("none", "_id", "_h")
+    # ranges are numbered in their order
+    keys = saved(keys.select("_id", "_h", F.monotonically_increasing_id().alias("_d")), "document-numbers")
+    same = F.col("a._id").eqNullSafe(F.col("b._id")) & (F.col("a._h") == F.col("b._h"))
+    return rows.alias("a").join(keys.alias("b"), same).select("a.*", "b._d").drop("_id", "_h"), True

@@ -256,3 +256,17 @@ def map_rows(
                     )
 
     return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+
+
+def keep_rows(docs: DataFrame, make: Callable[[], Callable[[Block], np.ndarray]], text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, for which the function of blocks says true."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        work = make()
+        for batch in batches:
+            keep = [work(block) for block in blocks(batch.column(at))]
+            if keep:
+                yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return docs.mapInArrow(run, docs.schema)
