@@ -34,7 +34,7 @@ from .quality import MAX_ROWS, sample
 from .tables import saved
 from .words import ALNUM, LOWER, Block, Words, blocks, map_blocks, map_rows, span_hash
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
 #: Bytes of a word's stems.
 STEMS = (4, 5, 6, 7, 8)
 #: What the prior counts for, as a share of the smaller class's tokens; standard errors and drift taken off;
@@ -241,36 +241,46 @@ def train(
 
     def measure(batches):
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(0)):
                 own = batch.slice(block.first, len(block))
-                side = np.array(own.column(3).to_pylist(), int)
+                side = np.array(own.column(2).to_pylist(), int)
                 several, levels, times = [], [], []
                 cell, of = cells(block)
                 values = [word_scores(h.scores, cell) for h in halves]
                 for d in range(len(block)):
                     mine = values[side[d]][of[d] : of[d + 1]]
-                    several.append([x[2] for x in segments(mine)])
-                    level, many = np.unique(np.round(mine, 1), return_counts=True)
+                    several.append(sorted((x[2] for x in segments(mine)), reverse=True)[:SUMMED])
+                    level, many = np.unique(np.round(mine, 1).astype(float), return_counts=True)
                     levels.append(level.tolist())
                     times.append(many.tolist())
                 yield pa.RecordBatch.from_arrays(
-                    [own.column(0), own.column(2), pa.array(np.diff(of)), pa.array(several, pa.list_(pa.float64())),
+                    [own.column(1), pa.array(np.diff(of)), pa.array(several, pa.list_(pa.float64())),
                      pa.array(levels, pa.list_(pa.float64())), pa.array(times, pa.list_(pa.int64()))],
-                    names=["id", "y", "n", "several", "level", "times"],
+                    names=["y", "n", "several", "level", "times"],
                 )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, y double, n long, several array<double>, level array<double>, times array<long>"
-    rows = known.mapInArrow(measure, schema).toPandas().sort_values("id")
-    y, n = (rows[c].to_numpy(float) for c in ("y", "n"))
-    best = np.array([max(x, default=0.0) for x in rows["several"]])
-    # how word scores are distributed in clean texts
-    own = rows[rows["y"] == 0]
-    levels, at = np.unique(np.concatenate(own["level"].to_list()), return_inverse=True)
-    model.decay = decay(levels, np.bincount(at, np.concatenate(own["times"].to_list())) + 1e-3)
+    schema = "y double, n long, several array<double>, level array<double>, times array<long>"
+    measured = saved(known.select("text", "y", "half").mapInArrow(measure, schema), "measured-texts")
+    # how word scores are distributed in clean texts: a row for each tenth
+    own = measured.where("y = 0")
+    levels = own.select(F.explode(F.arrays_zip("level", "times")).alias("x")).select("x.*")
+    levels = levels.groupBy("level").agg(F.sum("times").alias("times")).orderBy("level").toPandas()
+    # the highest score counts as met once more, so that texts without any give a decay too
+    values, times = levels["level"].to_numpy(float), levels["times"].to_numpy(float)
+    model.decay = decay(np.append(values, max(float(model.scores.max()), 0.1)), np.append(times, 1.0))
     # of exponentially distributed n * exp(-decay * best) in clean texts
-    model.scale = 1 / np.mean((np.maximum(n, 1) * np.exp(-model.decay * best))[y == 0])
-    model.curve = logistic(model.evidence(rows["several"].to_list(), n), y)
+    best = F.coalesce(F.try_element_at("several", F.lit(1)), F.lit(0.0))
+    chance = own.agg(F.avg(F.greatest("n", F.lit(1)) * F.exp(-model.decay * best))).first()[0]
+    model.scale = 1 / chance
+
+    def judge(batches):
+        for batch in batches:
+            found = model.evidence([x.as_py() for x in batch.column(2)], batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c.copy()) for c in found.T)], names=["y", "a", "b", "c"])
+
+    rows = measured.select("y", "n", "several").mapInArrow(judge, "y double, a double, b double, c double")
+    rows = rows.orderBy("y", "a", "b", "c").toPandas()  # at most max_rows
+    model.curve = logistic(rows[["a", "b", "c"]].to_numpy(float), rows["y"].to_numpy(float))
     return model
 
 
