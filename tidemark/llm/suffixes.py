@@ -39,7 +39,7 @@ from .words import BLOCK, U64, Block, blocks, buffers, byte_prefix, mix, powers,
 #: Bytes of a seed; windows in a fragment at most.
 SEED, RUN = 32, 120
 #: Fragments of one anchor in a shard at most; bytes of a shard.
-SHARD_ROWS, SHARD_BYTES = 5_000, 1 << 20
+SHARD_ROWS, SHARD_BYTES = 1_000, 1 << 20
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
