@@ -224,3 +224,50 @@ def test_range_id_counts_bounds(spark):
 def test_neighbours_refuse_text(spark):
     with pytest.raises(TypeError):
         neighbours.with_neighbour(spark.createDataFrame([("a",)], "v string"), "v")
+
+
+def test_order_lists(spark):
+    from pyspark.errors import AnalysisException, ParseException
+
+    df = spark.createDataFrame(
+        [(1, "old", 1, None), (1, "new", 2, "b"), (1, "newer", 2, "a"), (2, "x", None, "c"), (2, "y", 5, "d")],
+        "k int, `the name` string, ts int, `a,b` string",
+    )
+
+    def first(order, keys="k"):
+        return [r[1] for r in reshape.deduplicate(df, keys, order).orderBy("k").collect()]
+
+    assert first("ts desc, `a,b`") == ["newer", "x"]
+    assert first("ts desc nulls last, `a,b` desc") == ["new", "y"]
+    assert first("ts NULLS FIRST") == ["old", "x"]
+    assert first("a,b") == ["newer", "x"]  # a column's name as it is
+    assert first("the name") == ["new", "x"]
+    assert first(["coalesce(ts, 9) desc", "upper(`the name`) desc"]) == ["newer", "x"]
+    assert first(F.col("ts").desc_nulls_last()) in (["new", "y"], ["newer", "y"])
+    assert reshape.deduplicate(df, "k, ts % 2", "ts").count() == 4
+    for wrong in ("ts descending", "ts desc desc", "ts nulls middle", "ts,,k"):
+        with pytest.raises((AnalysisException, ParseException, ValueError)):
+            first(wrong)
+
+
+def test_listagg_puts_null_keys_last(spark):
+    df = spark.createDataFrame([(1, 3, "c"), (1, None, "n"), (1, 1, "a"), (1, 2, "b"), (1, 2, "a")], "g int, o int, s string")
+
+    def text(**options):
+        return reshape.listagg_by(df, "g", "s", **options).first()["listagg"]
+
+    assert text(order_by="o") == "a,a,b,c,n" and text(order_by="o", limit=2) == "a,a"
+    assert text(order_by="o desc") == "n,c,a,b,a" and text(order_by="o desc nulls last") == "c,a,b,a,n"
+    assert text(order_by="o desc", limit=3) == "n,c,a"
+    assert text(order_by="s desc, o nulls first") == "n,c,b,a,a"
+    assert text(order_by="s desc", distinct=True) == "n,c,b,a"
+
+
+def test_value_lists_of_empty_tables(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 9), ("a", 5)], "v string, n int")
+    assert reshape.column_value_list(df, "v", "max(n) desc") == ["b", "a"]
+    assert reshape.column_value_list(df, "v", "v desc, num_rows") == ["b", "a"]
+    assert reshape.column_value_list(df.limit(0), "v", default=["z"]) == ["z"]
+    assert reshape.column_value_list(df.limit(0), "v") == []
+    with pytest.raises(ValueError, match="bound"):
+        reshape.column_value_list(df, "v", bound=1)

@@ -59,6 +59,37 @@ def listagg_distinct(t: Tables) -> DataFrame:
     )
 
 
+@job("""SELECT l_orderkey, string_agg(CAST(l_linenumber AS VARCHAR), ','
+ORDER BY nullif(l_returnflag, 'N') NULLS LAST, l_shipdate DESC, CAST(l_linenumber AS VARCHAR)) AS lines
+FROM lineitem GROUP BY 1""")
+def listagg_nulls(t: Tables) -> DataFrame:
+    """Lines by return flag, those that were not returned last, newest shipment first."""
+    return reshape.listagg_by(
+        t.lineitem, "l_orderkey", "l_linenumber", order_by="nullif(l_returnflag, 'N'), l_shipdate desc", alias="lines"
+    )
+
+
+@job("""SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ','
+ORDER BY nullif(o_orderpriority, '3-MEDIUM') DESC NULLS FIRST, CAST(o_orderkey AS VARCHAR)) AS last_orders
+FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey
+  ORDER BY nullif(o_orderpriority, '3-MEDIUM') DESC NULLS FIRST, o_orderkey) <= 4) GROUP BY 1""")
+def listagg_desc(t: Tables) -> DataFrame:
+    """Four orders of each customer in descending order; null is the largest value."""
+    return reshape.listagg_by(
+        t.orders, "o_custkey", "o_orderkey", order_by="nullif(o_orderpriority, '3-MEDIUM') desc", limit=4,
+        alias="last_orders",
+    )
+
+
+@job("""SELECT p_brand AS value, count(*) AS num_rows FROM part
+GROUP BY 1 ORDER BY max(CASE WHEN p_size < 40 THEN p_size END) DESC NULLS LAST, min(p_partkey), p_brand LIMIT 12""")
+def column_values_by_max(t: Tables) -> DataFrame:
+    """Values ordered by aggregates of their rows."""
+    return reshape.column_values(
+        t.part, "p_brand", "max(case when p_size < 40 then p_size end) desc nulls last, min(p_partkey)", max_records=12
+    )
+
+
 @job("""SELECT p_brand AS value, count(*) AS num_rows FROM part WHERE p_size >= 10
 GROUP BY 1 ORDER BY count(*) DESC, p_brand LIMIT 10""")
 def column_values_topk(t: Tables) -> DataFrame:

@@ -162,6 +162,19 @@ def deduplicate(t: Tables) -> DataFrame:
     return reshape.deduplicate(t.events, ["user_id", "event_type"], "ts desc")
 
 
+@job("""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY l_partkey, l_suppkey % 7
+  ORDER BY nullif(l_returnflag, 'N') DESC NULLS LAST, l_quantity DESC, l_shipdate, l_orderkey, l_linenumber) AS rn
+FROM lineitem) WHERE rn = 1""")
+def deduplicate_two_orders(t: Tables) -> DataFrame:
+    """Several keys, directions, expressions and null placements."""
+    return reshape.deduplicate(
+        t.lineitem,
+        "l_partkey, l_suppkey % 7",
+        "nullif(l_returnflag, 'N') desc nulls last, l_quantity desc, l_shipdate, l_orderkey, l_linenumber",
+    )
+
+
 @job("""SELECT user_id, count(*) FILTER (event_type = 'click') AS click,
 count(*) FILTER (event_type = 'error') AS error, count(*) FILTER (event_type = 'purchase') AS purchase,
 count(*) FILTER (event_type = 'signup') AS signup, count(*) FILTER (event_type = 'view') AS "view"

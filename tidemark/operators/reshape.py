@@ -1,26 +1,18 @@
 """Deduplication, pivot, unpivot, ordered text aggregation, value lists."""
 
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import orders
 from ..functions.aggregates import aggregate, compare, listagg
 from ..functions.text import slugify
 from .columns import filtered_columns, quoted
 
 
-def sort_key(order) -> Column:
-    """A Column as is; ``"name"`` or ``"name desc"`` with nulls as the largest value."""
-    if isinstance(order, Column):
-        return order
-    name, _, direction = order.partition(" ")
-    if direction.strip().lower() == "desc":
-        return F.col(name).desc_nulls_first()
-    return F.col(name).asc_nulls_last()
-
-
 def tie_breakers(df: DataFrame, used: Iterable[str] = ()) -> list[Column]:
     """Every sortable column not in ``used``, to make an order total."""
     used = set(used)
@@ -34,19 +26,30 @@ def tie_breakers(df: DataFrame, used: Iterable[str] = ()) -> list[Column]:
 def deduplicate(df: DataFrame, partition_by, order_by) -> DataFrame:
     """The first row of each partition under ``order_by``.
 
-    Ties fall to the remaining columns. Each task keeps one row per key before
-    the shuffle, so a hot key does not travel.
+    Both are comma-separated lists of columns or expressions, Columns, or lists
+    of either; an order item may end in ``asc``, ``desc``, ``nulls first`` or
+    ``nulls last``, and null is the largest value by default. Ties fall to the
+    remaining columns. Each task keeps one row per key before the shuffle, so a
+    hot key does not travel.
     """
-    keys = [partition_by] if isinstance(partition_by, (str, Column)) else list(partition_by)
-    orders = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-    taken = {k for k in keys if isinstance(k, str)}
-    taken |= {o.partition(" ")[0] for o in orders if isinstance(o, str)}
+    given = [partition_by] if isinstance(partition_by, (str, Column)) else list(partition_by)
+    keys = [
+        c for k in given
+        for c in ([k] if isinstance(k, Column) else [orders.expression(p, df.columns) for p in listed(k, df.columns)])
+    ]
+    taken = {p for k in given if isinstance(k, str) for p in listed(k, df.columns)}
+    taken |= orders.names(order_by, df.columns)
     window = Window.partitionBy(*keys).orderBy(
-        *[sort_key(o) for o in orders], *tie_breakers(df, taken)
+        *orders.order_list(order_by, df.columns), *tie_breakers(df, taken)
     )
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def listed(text: str, columns: Iterable[str]) -> list[str]:
+    """A column's name as it is, else the items of a list."""
+    return [text] if text in set(columns) else orders.split_list(text)
+
+
 def pivot_columns(
     column,
     values: Sequence,
@@ -136,33 +139,45 @@ def listagg_by(
 ) -> DataFrame:
     """Text aggregation that collects only the rows it prints.
 
+    ``order_by`` is an order list as in ``deduplicate``; ties fall to the values.
     Copies (``distinct``) and rows past ``limit`` are dropped by partial
     aggregation or a ranked window before any group is gathered.
     """
     groups = [group_by] if isinstance(group_by, str) else list(group_by)
-    orders = [] if order_by is None else [order_by] if isinstance(order_by, str) else list(order_by)
-    needed = list(dict.fromkeys([*groups, measure, *orders]))
-    rows = df.select(*needed)
+    items = [] if order_by is None else [order_by] if isinstance(order_by, str) else list(order_by)
+    order = [k for item in items for k in orders.keys(item, df.columns)]
+    if distinct and {k.what for k in order} - {measure, *groups}:
+        raise ValueError("a distinct list can only be ordered by its own values")
+    sorting = [k.column(df.columns).alias(f"_order{i}") for i, k in enumerate(order)]
+    rows = df.select(*groups, measure, *sorting)
     if distinct:
-        if set(orders) - {measure, *groups}:
-            raise ValueError("a distinct list can only be ordered by its own values")
         rows = rows.distinct()
     if limit is not None:
-        rank = Window.partitionBy(*groups).orderBy(*[sort_key(o) for o in (*orders, measure)])
+        ranked = [k.sorted(F.col(f"_order{i}")) for i, k in enumerate(order)]
+        rank = Window.partitionBy(*groups).orderBy(*ranked, F.col(quoted(measure)).asc_nulls_last())
         rows = rows.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= limit)
-    return rows.groupBy(*groups).agg(
-        listagg(measure, delimiter, orders or None, limit).alias(alias)
-    )
+    by = [replace(k, what=f"_order{i}") for i, k in enumerate(order)]
+    return rows.groupBy(*groups).agg(listagg(measure, delimiter, by or None, limit).alias(alias))
 
 
 def column_values(
     df: DataFrame, column: str, order_by=None, max_records: int | None = None, where=None
 ) -> DataFrame:
-    """Distinct values of a column, the most frequent first, ties by value."""
+    """Distinct values of a column, the most frequent first, ties by value.
+
+    ``order_by`` is an order list over ``value`` (or the column's name),
+    ``num_rows`` and aggregates of the value's rows, as in ``"max(ts) desc"``.
+    """
     rows = df if where is None else df.where(where)
-    counted = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("num_rows"))
-    order = [F.col("num_rows").desc()] if order_by is None else [sort_key(order_by)]
-    ranked = counted.orderBy(*order, F.col("value").asc_nulls_last())
+    order = [] if isinstance(order_by, Column) else orders.keys(order_by or "num_rows desc")
+    known = {"value": "value", column: "value", "num_rows": "num_rows"}
+    extra = {k.what: f"_order{i}" for i, k in enumerate(order) if k.what not in known}
+    counted = rows.groupBy(F.col(column).alias("value")).agg(
+        F.count(F.lit(1)).alias("num_rows"),
+        *[orders.expression(what).alias(name) for what, name in extra.items()],
+    )
+    by = [k.sorted(F.col({**known, **extra}[k.what])) for k in order] or [order_by]
+    ranked = counted.orderBy(*by, F.col("value").asc_nulls_last()).drop(*extra.values())
     return ranked if max_records is None else ranked.limit(max_records)
 
 
@@ -177,8 +192,9 @@ def column_value_list(
 ) -> list:
     """The values as a Python list, for building pivots.
 
-    ``df`` is None where the table does not exist: ``default`` is then returned
-    if given. More than ``bound`` values raise, rather than fill the driver.
+    ``default`` is returned, if given, where the table does not exist (``df`` is
+    None) or has no value. More than ``bound`` values raise, rather than fill the
+    driver.
     """
     if df is None:
         if default is None:
@@ -187,5 +203,7 @@ def column_value_list(
     want = bound + 1 if max_records is None else max_records
     rows = column_values(df, column, order_by, want, where).select("value").take(want)
     if max_records is None and len(rows) > bound:
-        raise ValueError(f"{column} has more than {bound} distinct values")
+        raise ValueError(f"{column} has more than {bound} distinct values; pass a larger bound to get them")
+    if not rows and default is not None:
+        return default
     return [r["value"] for r in rows]
