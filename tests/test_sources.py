@@ -232,3 +232,20 @@ def test_stream_takes_a_late_source(spark):
         stream = spark.readStream.schema(batch(spark, *changes).schema).parquet(f"{root}/in")
         scd2_stream(stream, store, SPEC, f"{root}/checkpoint").awaitTermination()
     assert versions(store) == [("A_1", "a", 6, None, True), ("A_2", "late", 2, None, True)]
+
+
+def test_no_batch_leaves_a_deleted_key_current(spark):
+    """Deleted in the first batch, by the change itself, and before a newer live row."""
+    root = new_folder(spark, "stream")
+    store = HistoryStore(spark, f"{root}/history")
+    batches = [
+        [(1, "a", 0, 0), (2, "b", 0, None), (3, "c", 0, None), (4, "d", 0, None)],
+        [(2, "B", 2, 2), (3, "c", 2, 2), (3, "C", 3, None), (5, "e", 2, 2)],
+        [(1, "z", 5, None), (4, "D", 5, None), (4, "D", 6, 6), (5, "E", 4, None)],
+    ]
+    for changes in batches:
+        batch(spark, *changes).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(batch(spark, *changes).schema).parquet(f"{root}/in")
+        scd2_stream(stream, store, SPEC, f"{root}/checkpoint").awaitTermination()
+    current = sorted((r.src_id, r.x) for r in store.read_current().collect())
+    assert current == [("A_1", "z"), ("A_3", "C"), ("A_5", "E")]

@@ -175,19 +175,64 @@ def scd2_apply(t: Tables) -> DataFrame:
     return store.read()
 
 
-_LATE_ROWS = "(SELECT * FROM change_rows WHERE _ab_cdc_updated_at >= TIMESTAMP '2024-01-16')"
+# micro-batches: the days up to each edge, as they arrive
+_EDGES = ("2024-01-11", "2024-01-21", "2024-02-15")
+
+
+def _stream_step(k: int, low: str, high: str) -> str:
+    """The table after one more batch. Only the batch's own deletes count, and a key
+    whose newest row is one stays closed."""
+    rows = f"""(SELECT * FROM change_rows WHERE _ab_cdc_updated_at >= TIMESTAMP '{low}'
+      AND _ab_cdc_updated_at < TIMESTAMP '{high}')"""
+    return f""",
+newest{k} AS (SELECT * FROM {rows} {_NEWEST}),
+deletes{k} AS (
+  SELECT t.src_id, min(r._ab_cdc_deleted_at) FILTER (r._ab_cdc_deleted_at >= t.valid_from) AS after,
+         max(r._ab_cdc_deleted_at) AS latest
+  FROM history{k - 1} t JOIN {rows} r ON t.src_id = r.src_id
+  WHERE t.is_current AND r._ab_cdc_deleted_at IS NOT NULL GROUP BY t.src_id),
+changed{k} AS (
+  SELECT s.* FROM newest{k} s JOIN history{k - 1} t ON s.src_id = t.src_id AND t.is_current
+  WHERE (s.event_type IS DISTINCT FROM t.event_type OR s.value IS DISTINCT FROM t.value)
+    AND s._ab_cdc_updated_at > t._ab_cdc_updated_at),
+opened{k} AS (
+  SELECT s.* FROM newest{k} s WHERE s._ab_cdc_deleted_at IS NULL
+    AND s.src_id NOT IN (SELECT src_id FROM history{k - 1})
+  UNION ALL
+  SELECT s.* FROM changed{k} s LEFT JOIN deletes{k} d ON s.src_id = d.src_id
+  WHERE s._ab_cdc_deleted_at IS NULL AND (d.latest IS NULL OR d.latest < s._ab_cdc_updated_at)),
+closed{k} AS (
+  SELECT t.* REPLACE (
+      CASE WHEN c.src_id IS NOT NULL THEN least(c._ab_cdc_updated_at, d.after) ELSE d.after END AS valid_to,
+      FALSE AS is_current)
+  FROM history{k - 1} t LEFT JOIN changed{k} c ON t.src_id = c.src_id
+  LEFT JOIN deletes{k} d ON t.src_id = d.src_id
+  WHERE t.is_current AND (c.src_id IS NOT NULL OR d.after IS NOT NULL)),
+history{k} AS (
+  SELECT * FROM history{k - 1} WHERE surrogate_key NOT IN (SELECT surrogate_key FROM closed{k})
+  UNION ALL SELECT * FROM closed{k} UNION ALL SELECT {_OPENED} FROM opened{k})"""
+
+
+_STREAM = f"""{_ROWS},
+first_rows AS (
+  SELECT * FROM change_rows WHERE _ab_cdc_updated_at < TIMESTAMP '{_EDGES[0]}' {_NEWEST}),
+history0 AS (SELECT {_OPENED} FROM first_rows WHERE _ab_cdc_deleted_at IS NULL)""" + "".join(
+    _stream_step(k, low, high) for k, (low, high) in enumerate(zip(_EDGES, _EDGES[1:], strict=False), 1)
+)
 
 
-@job(f"{_steps(_LATE_ROWS)} SELECT * FROM history", name="scd2_stream")
+@job(f"{_STREAM} SELECT * FROM history{len(_EDGES) - 1}", name="scd2_stream")
 def scd2_stream_batches(t: Tables) -> DataFrame:
-    """The same two steps as micro-batches of a file stream; deletes come from the batch."""
+    """The feed as micro-batches of a file stream; deletes come from the batch."""
     feed, table = new_folder(t.spark, "event-feed"), new_folder(t.spark, "event-stream")
     store, rows = HistoryStore(t.spark, f"{table}/history"), event_rows(t)
-    late = F.col(scd2.UPDATED) >= F.expr(SPLIT)
-    for arrived in (before_split(rows), rows.where(late)):
+    time, low = F.col(scd2.UPDATED), "2000-01-01"
+    for high in _EDGES:
+        arrived = rows.where((time >= F.lit(low).cast("timestamp_ntz")) & (time < F.lit(high).cast("timestamp_ntz")))
         arrived.write.mode("append").parquet(feed)
         stream = t.spark.readStream.schema(rows.schema).parquet(feed)
         scd2_stream(stream, store, EVENTS, f"{table}/checkpoint").awaitTermination()
+        low = high
     return store.read()
 
 

@@ -3,7 +3,9 @@
 The stream's checkpoint knows which rows have been read, so no limit on the
 change time is applied to a batch: a late source is not skipped. Instead each
 row is held against its own key, and older rows than the current version's are
-ignored. Deletes are looked up in the batch.
+ignored. Deletes are looked up in the batch, and no later batch looks at them
+again, so nothing that a batch knows to be deleted is left current: keys whose
+newest row is a delete are not opened, on the first load or later.
 """
 
 from dataclasses import replace
@@ -27,10 +29,14 @@ def scd2_stream(
     A batch carries the checkpoint and its number as a token, so one that is
     replayed after a failure is applied once.
     """
-    options = replace(options, use_watermark=False)
+    options = replace(options, use_watermark=False, skip_deleted_on_initial=True, delete_wins=True)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.load(batch, spec, options, token=f"{checkpoint}#{batch_id}")
+        kept = batch.persist()  # its rows and its deletes are two reads
+        try:
+            store.load(kept, spec, options, token=f"{checkpoint}#{batch_id}")
+        finally:
+            kept.unpersist()
 
     return (
         rows.writeStream.foreachBatch(apply)
