@@ -1,9 +1,12 @@
 import datetime as dt
+from dataclasses import replace
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import sets
 from tidemark.plans import scd2
 from tidemark.session import matching_paths, new_folder, path_exists, shared_folder
@@ -60,6 +63,54 @@ def test_typed_csv(spark, tmp_path):
     assert got.where("name is null").count() == 1 and got.where("amount is null").count() == 1
 
 
+def test_typed_csv_goes_by_the_header(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text("b,extra,A\nbee,9,1\n,8,2\n")
+    got = catalog.read_typed_csv(spark, str(path), "a int, b string")
+    assert got.columns == ["a", "b"] and rows(got) == [(1, "bee"), (2, None)]
+    with pytest.raises(ValueError, match="c"):
+        catalog.read_typed_csv(spark, str(path), "a int, c string")
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,x\n")
+    (folder / "2.csv").write_text("b,a\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        catalog.read_typed_csv(spark, str(folder), "a int, b string").collect()
+
+
+def test_kinds_of_saved_tables(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS listing_test")
+    try:
+        spark.sql(f"CREATE TABLE listing_test.t_outside (x int) USING parquet LOCATION '{tmp_path}/outside'")
+        spark.sql("CREATE VIEW listing_test.t_seen AS SELECT 1 AS x")
+        found = catalog.relations_by_pattern(spark, "listing_%", "T_%")
+        assert [(r.name, r.kind) for r in found] == [("t_outside", "external"), ("t_seen", "view")]
+        assert found == [replace(r, catalog="") for r in catalog.relations_by_prefix(spark, "listing_test", "t_", database="spark_catalog")]
+        assert catalog.read_relations(spark, found)["listing_test.t_seen"].collect() == [(1,)]
+        assert [r.name for r in catalog.relations_by_pattern(spark, "listing_test", "%", "%seen")] == ["t_outside"]
+    finally:
+        spark.sql("DROP DATABASE listing_test CASCADE")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,512]"):
+        cluster = SimpleNamespace(conf=Conf(), sparkContext=SimpleNamespace(master=master))
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(cluster)
+
+
+def test_scratch_is_removed(spark):
+    since = session.scratch_count()
+    folder = new_folder(spark, "gone")
+    spark.range(1).write.parquet(folder)
+    session.remove_scratch(spark, since)
+    assert not path_exists(spark, folder) and session.scratch_count() == since
+
+
 def test_scratch_folders_lie_in_the_shared_folder(spark):
     folder = new_folder(spark, "x")
     assert folder.startswith(shared_folder(spark)) and not path_exists(spark, folder)
@@ -105,6 +156,18 @@ def test_load_resumes_and_repairs_the_last_period(spark):
     assert ids(spark, path, source) == [2, 3, 4, 5, 6, 7, 8, 9]
 
 
+@pytest.mark.parametrize("per_job", [1, 4])
+def test_a_period_that_is_empty_now_loses_its_rows(spark, per_job):
+    path, source = new_folder(spark, "periods"), seed(spark)
+    options = {"timestamp_field": "created_at", "start_date": "2018-01-01", "stop_date": "2018-06-01", "period": "month"}
+    periods.insert_by_period(source, path, **options)
+    # the newest row has left the source, so its period is written again without it
+    periods.insert_by_period(source.where("id <> 6"), path, periods_per_job=per_job, **options)
+    assert ids(spark, path, source) == [2, 3, 4, 5]
+    periods.insert_by_period(source.where("id not in (5, 6)"), path, periods_per_job=per_job, **options)
+    assert ids(spark, path, source) == [2, 3, 4]
+
+
 @pytest.mark.parametrize("per_job", [1, 3, 50])
 @pytest.mark.parametrize("period", ["day", "week", "month", "quarter"])
 def test_no_row_is_lost_or_doubled(spark, per_job, period):

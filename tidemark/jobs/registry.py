@@ -13,10 +13,13 @@ class Tables:
         self.spark = spark
         self._dir = str(sf_dir).rstrip("/")
 
+    def path(self, name: str) -> str:
+        return f"{self._dir}/{name}.parquet"
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self.spark.read.parquet(self.path(name))
 
 
 def registrar(queries: dict, oracles: dict) -> Callable:

@@ -1,11 +1,14 @@
 """Reshaping jobs: star, unions, deduplication, pivots, unpivots, series, keys."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys, text
 from ..functions.numbers import safe_add
 from ..operators import columns, reshape, series, sets
+from ..session import new_folder
 from ..sources import catalog
 from .registry import Tables, exact_sum, registrar, rows_counted
 
@@ -156,6 +159,28 @@ def union_by_prefix(t: Tables) -> DataFrame:
 # ------------------------------------------------------ one row per group, pivots
 
 
+@job("""SELECT 'listed_nation' AS name, 'table' AS kind, count(*) AS num_rows FROM nation
+UNION ALL SELECT 'listed_orders', 'external', count(*) FROM orders
+UNION ALL SELECT 'listed_placed', 'view', count(*) FROM orders WHERE o_orderstatus = 'O'""")
+def relations_listing(t: Tables) -> DataFrame:
+    """Saved tables, external tables and views, found by pattern and read, with their kind."""
+    spark, schema = t.spark, "tidemark_listing"
+    spark.sql(f"DROP DATABASE IF EXISTS {schema} CASCADE")
+    # the managed table lies in the shared folder too
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{new_folder(spark, schema)}'")
+    t.nation.write.saveAsTable(f"{schema}.listed_nation")
+    spark.catalog.createTable(f"{schema}.listed_orders", t.path("orders"), "parquet")
+    spark.sql(f"CREATE VIEW {schema}.listed_placed AS SELECT * FROM {schema}.listed_orders WHERE o_orderstatus = 'O'")
+    spark.sql(f"CREATE VIEW {schema}.other AS SELECT 1 AS x")
+    found = catalog.relations_by_pattern(spark, "tidemark_list%", "LISTED%")
+    counts = [
+        spark.table(r.full_name).select(F.lit(r.name).alias("name"), F.lit(r.kind).alias("kind")).groupBy("name", "kind").agg(rows_counted())
+        for r in found
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
+
 @job("""SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) = 1""")
 def deduplicate(t: Tables) -> DataFrame:

@@ -1,5 +1,7 @@
 """Session settings and shared scratch space."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import reduce
@@ -29,18 +31,48 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) is a temporary one made.
+    A local master without one gets a temporary folder, removed when Python ends.
+    On a cluster the setting is required: a folder on one machine would lose data.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+_scratch: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path not used before, inside the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Remove the folders handed out by ``new_folder``, from the given one on.
+
+    For the end of a run: results that were read from them are lost.
+    """
+    for path in _scratch[since:]:
+        remove_path(spark, path)
+    del _scratch[since:]
+
+
+def scratch_count() -> int:
+    return len(_scratch)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on the file system it names, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -58,6 +90,13 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found or [])
 
 
+def child_paths(spark: SparkSession, folder: str) -> list[str]:
+    """What lies directly in a folder, whose name may hold any characters."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
+    return sorted(status.getPath().toString() for status in found)
+
+
 def small_enough_to_broadcast(
     df: DataFrame, max_rows: int, max_bytes: int = 64 * 1024 * 1024
 ) -> bool:

@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_timestamp, check_part, dateadd, datediff, moment
-from ..session import path_exists
+from ..session import child_paths, matching_paths, path_exists, remove_path
 
 PERIOD_COLUMN = "period_start"
 
@@ -123,6 +124,7 @@ def insert_by_period(
             rows = rows.hint("rebalance", F.col(PERIOD_COLUMN))
         else:
             rows = rows.withColumn(PERIOD_COLUMN, limits.edge(index))
+        before = _files(spark, path, limits, index, end)
         seen = Observation()
         (
             rows.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -132,9 +134,22 @@ def insert_by_period(
             .parquet(path)
         )
         written[index] = seen.get["rows"]
+        # dynamic overwrite leaves a period alone that has no rows any more
+        kept = set(before) & set(_files(spark, path, limits, index, end))
+        for folder in {before[file] for file in kept}:
+            remove_path(spark, folder)
     return written
 
 
+def _files(spark: SparkSession, path: str, limits: Boundaries, index: int, end: int) -> dict[str, str]:
+    """The files of some periods, each with its folder."""
+    edges = [limits.edge(i).cast("string").alias(f"e{i}") for i in range(index, end)]
+    wanted = set(spark.range(1).select(*edges).first())
+    folders = matching_paths(spark, f"{path}/{PERIOD_COLUMN}=*")
+    own = [f for f in folders if unquote(f.rsplit(f"{PERIOD_COLUMN}=", 1)[1]) in wanted]
+    return {file: folder for folder in own for file in child_paths(spark, folder)}
+
+
 def read_loaded(spark: SparkSession, path: str, schema) -> DataFrame:
     """The loaded rows without the period column."""
     return spark.read.schema(schema).parquet(path).drop(PERIOD_COLUMN)
