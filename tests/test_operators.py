@@ -194,7 +194,7 @@ def test_lookup_join_keeps_unmatched_and_broadcasts_only_small_tables(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
-@pytest.mark.parametrize("kind", ["long", "double", "date", "timestamp_ntz", "decimal(10,2)"])
+@pytest.mark.parametrize("kind", ["long", "double", "date", "timestamp_ntz", "decimal(10,2)", "string", "binary", "array"])
 @pytest.mark.parametrize("direction", ["previous", "next"])
 def test_neighbours_match_a_single_window(spark, kind, direction):
     rng = random.Random(7)
@@ -202,8 +202,12 @@ def test_neighbours_match_a_single_window(spark, kind, direction):
     df = spark.createDataFrame([*values, ("q", None), ("r", 5)], "p string, n long")
     cast = {
         "date": F.date_add(F.lit("2000-01-01").cast("date"), F.col("n").cast("int")),
+        "string": F.concat(F.when(F.col("n") % 2 == 0, F.lit("éa common beginning ")).otherwise(F.lit("")), F.col("n").cast("string")),
+        "binary": F.col("n").cast("string").cast("binary"),
+        "array": F.when(F.col("n").isNotNull(), F.array(F.col("n") % 3, "n")),
         "timestamp_ntz": F.timestamp_add("SECOND", F.col("n"), F.lit("1969-12-31").cast("timestamp_ntz")),
-    }.get(kind, F.col("n").cast(kind))
+    }
+    cast = cast[kind] if kind in cast else F.col("n").cast(kind)
     df = df.select("p", cast.alias("v"))
     for keys in ([], ["p"]):
         distinct = df if keys else df.select("v").distinct()
@@ -221,9 +225,11 @@ def test_range_id_counts_bounds(spark):
     assert all(n == sum(b <= v for b in bounds) for v, n in got)
 
 
-def test_neighbours_refuse_text(spark):
-    with pytest.raises(TypeError):
-        neighbours.with_neighbour(spark.createDataFrame([("a",)], "v string"), "v")
+def test_as_many_ranges_as_asked_for(spark):
+    df = spark.range(60_000).select(F.col("id").alias("v"))
+    assert len(neighbours.range_bounds(df, "v", 20_000)) > 19_000
+    got = neighbours.with_neighbour(df, "v", name="x", ranges=20_000)
+    assert got.where("x <> v - 1 or (x is null) <> (v = 0)").count() == 0
 
 
 def test_order_lists(spark):

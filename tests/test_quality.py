@@ -160,7 +160,8 @@ def test_ranges(spark):
 
 @pytest.mark.parametrize("gaps", ["allowed", "not_allowed", "required"])
 @pytest.mark.parametrize("zero", [False, True])
-def test_all_range_plans_agree(spark, gaps, zero):
+@pytest.mark.parametrize("kind", ["int", "string", "date"])
+def test_all_range_plans_agree(spark, gaps, zero, kind):
     """Random ranges with repeats, nulls, hot bounds and one dominant partition."""
     rng = random.Random(11)
     data = []
@@ -169,6 +170,10 @@ def test_all_range_plans_agree(spark, gaps, zero):
         hi = rng.choice([None, lo, (lo or 0) + rng.randrange(-1, 4), rng.randrange(60)])
         data.append((rng.choice(["hot", "hot", "b", None]), lo, hi))
     df = spark.createDataFrame(data, "k string, lo int, hi int")
+    if kind == "string":
+        df = df.selectExpr("k", "lpad(lo, 9, 'a long beginning') as lo", "lpad(hi, 9, 'a long beginning') as hi")
+    if kind == "date":
+        df = df.selectExpr("k", "date_add(date'2020-01-01', lo) as lo", "date_add(date'2020-01-01', hi) as hi")
     # 1000 rows: a window per partition; 110: a window per range; 0: aggregates
     by_window, by_ranges, by_aggregates = (
         rows(quality.mutually_exclusive_ranges(df, "lo", "hi", "k", gaps, zero, most)) for most in (1000, 110, 0)

@@ -211,6 +211,13 @@ def dq_ranges_global(t: Tables) -> DataFrame:
     return quality.mutually_exclusive_ranges(spans, "lo", "hi")
 
 
+@job(_ranges_sql("SELECT p_name AS lo, p_brand || p_name AS hi FROM part", "<=", "less_than_or_equal_to", "<", "less_than", keyed=False))
+def dq_ranges_text(t: Tables) -> DataFrame:
+    """Ranges between texts, without a partition column."""
+    spans = t.part.select(F.col("p_name").alias("lo"), F.concat("p_brand", "p_name").alias("hi"))
+    return quality.mutually_exclusive_ranges(spans, "lo", "hi")
+
+
 @job("""SELECT l_orderkey, previous_l_orderkey FROM (
   SELECT l_orderkey, lag(l_orderkey) OVER (ORDER BY l_orderkey) AS previous_l_orderkey FROM lineitem)
 WHERE NOT (l_orderkey = previous_l_orderkey + 1)""")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_timestamp, dateadd, moment
 from ..functions.text import slugify
+from ..session import written
 from .columns import quoted
 from .neighbours import default_ranges, largest_group, range_bounds, range_of, with_neighbour
 from .sets import replicate, tagged_counts
@@ -260,6 +261,8 @@ def sequential_values(
     counted = model.groupBy(F.col(column_name).alias("_value")).agg(
         F.count(F.lit(1)).alias("_rows")
     )
+    # cuts, edges, rows and copies all read it: the table itself is read once
+    counted = written(counted, "counted-values")
     linked = with_neighbour(
         counted.select("_value"), "_value", direction="previous", name="_previous", ranges=ranges
     )
@@ -296,8 +299,9 @@ def mutually_exclusive_ranges(
 ) -> DataFrame:
     """Ranges that are empty, overlap the next one or break the gap rule.
 
-    One window per partition does when the largest partition is known to have
-    at most ``max_partition_rows`` rows. Beyond that, or without a partition
+    Bounds may have any sortable type, and all plans give the same rows. One
+    window per partition does when the largest partition is known to have at
+    most ``max_partition_rows`` rows. Beyond that, or without a partition
     column, partitions are cut into ranges of the lower bound with a window
     each. Where even a range is larger, because one lower bound is repeated too
     often, the next lower bound comes from aggregates.

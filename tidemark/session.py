@@ -45,6 +45,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written once to the shared folder and read from there."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _scratch: list[str] = []
 
 
