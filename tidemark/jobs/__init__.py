@@ -1,8 +1,8 @@
 """The registered queries on the test tables, each next to its SQL oracle."""
 
-from . import aggregates, history, incremental, quality, reshape, scalars, warehouse
+from . import aggregates, declared, history, incremental, quality, reshape, scalars, warehouse
 
-_MODULES = (history, warehouse, reshape, aggregates, scalars, quality, incremental)
+_MODULES = (history, warehouse, reshape, aggregates, scalars, quality, incremental, declared)
 
 
 def queries() -> dict:

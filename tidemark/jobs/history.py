@@ -34,6 +34,7 @@ SPLIT = "timestamp_ntz'2024-01-16 00:00:00'"
 def event_feed(t: Tables) -> DataFrame:
     """All sources in one scan, before keys are built."""
     return t.events.select(
+        "event_id",
         (F.col("user_id") * 31 + F.col("event_id") % 31).alias("id"),
         "event_type",
         "value",
@@ -175,6 +176,15 @@ def scd2_apply(t: Tables) -> DataFrame:
     return store.read()
 
 
+@job("""SELECT 'R' || (user_id % 5) AS src, count(*) AS num_rows FROM events WHERE event_id % 17 = 0 GROUP BY 1""")
+def scd2_rejected(t: Tables) -> DataFrame:
+    """Rows without an id, as the store keeps them apart, per source."""
+    store = HistoryStore(t.spark, new_folder(t.spark, "event-rejects"))
+    known = event_feed(t).withColumn("id", F.when(F.col("event_id") % 17 != 0, F.col("id")))
+    store.load(scd2.with_keys(known, EVENTS), EVENTS)
+    return store.rejected().groupBy("src").agg(rows_counted())
+
+
 # micro-batches: the days up to each edge, as they arrive
 _EDGES = ("2024-01-11", "2024-01-21", "2024-02-15")
 

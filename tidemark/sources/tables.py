@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import quoted
@@ -44,6 +44,7 @@ class HistoryStore:
 
         runs/batch=<n>/is_current=<flag>/    what run n closed and opened
         current/batch=<n>.<buckets>.<input>/ all current versions after run n
+        rejected/batch=<n>/                  rows without an id in the input of run n
 
     The current folder is written last, and its writer's success mark makes the
     run count. Readers follow the newest marked run, so a failed run leaves the
@@ -196,17 +197,35 @@ class HistoryStore:
         spec: scd2.Spec,
         options: scd2.Options = scd2.DEFAULTS,
         token: str | None = None,
-    ) -> None:
+    ) -> int:
         """One run of the pipeline: the first load, or the delta against the table.
 
         ``token`` names the input: if a finished run carries it, nothing is done.
+        Rows without an id match nothing; they are kept in ``rejected/`` under the
+        run's number, and their number is returned.
         """
         if token is not None and self.has_loaded(token):
-            return
-        if self.runs():
+            return 0
+        done = self.runs()
+        seen = Observation()
+        (
+            scd2.null_key_rows(rows)
+            .observe(seen, F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite")
+            .parquet(self._rejected_folder(done[-1] + 1 if done else 0))
+        )
+        if done:
             self.apply(scd2.delta(rows, self.read(), spec, options), token)
         else:
             self.start(scd2.initial(rows, spec, options), token)
+        return seen.get["rows"]
+
+    def _rejected_folder(self, batch: int) -> str:
+        return f"{self.path}/rejected/batch={batch:06d}"
+
+    def rejected(self) -> DataFrame:
+        """The rows without an id that the newest run left out."""
+        return self.spark.read.parquet(self._rejected_folder(self._newest()[0]))
 
 
 def _digest(text: str) -> str:
