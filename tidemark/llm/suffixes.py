@@ -181,7 +181,7 @@ def fragment_rows(least: int):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             parts = []
-            for block in blocks(batch.column(1), BLOCK // 2):
+            for block in blocks(batch.column(1), BLOCK):
                 low, size, anchor, content = fragments(block, least)
                 doc = np.searchsorted(block.offsets, low, "right") - 1
                 parts.append((anchor << 8 | size, content, ids[block.first + doc], low - block.offsets[doc]))

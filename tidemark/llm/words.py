@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 U64 = np.uint64
 
 
