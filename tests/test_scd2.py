@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.plans import checks, scd2, warehouse
-from tidemark.session import new_folder
+from tidemark.session import matching_paths, new_folder
 from tidemark.sources.tables import HistoryStore, sync_schema, upsert_by_key, write_table
 
 SPEC = scd2.Spec(
@@ -473,3 +473,15 @@ def test_a_store_without_buckets_gives_the_same_table(spark):
         # another reader does not need to know the number of buckets
         tables.append(short(HistoryStore(spark, store.path).read()))
     assert tables[0] == tables[1] and len(tables[0]) == 3
+
+
+def test_small_runs_leave_one_file_per_bucket_and_few_snapshots(spark):
+    store = HistoryStore(spark, new_folder(spark, "small-runs"), 4)
+    store.load(feed(spark, *[("A", i, "a", 0, None) for i in range(400)]), SPEC)
+    for day in range(1, 8):
+        store.load(feed(spark, *[("A", i, f"x{day}", day, None) for i in (day, day + 50)]), SPEC)
+        folders = list(store._finished().values())
+        files = [len(matching_paths(spark, f"{folder}/part-*")) for folder in folders]
+        assert files == [0] * max(0, len(folders) - store.snapshots) + [4] * min(len(folders), store.snapshots)
+    assert store.runs() == list(range(8)) and store.read_current().count() == 400
+    assert store.read().count() == 400 + 14

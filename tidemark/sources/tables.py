@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.columns import quoted
 from ..plans import scd2
-from ..session import matching_paths
+from ..session import child_paths, matching_paths, remove_path
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -56,10 +56,16 @@ class HistoryStore:
     ``buckets`` defaults to the number of shuffle partitions and should be no
     smaller; take more where a bucket would outgrow a task. 0 writes plain files.
 
+    The data of the newest ``snapshots`` current folders is kept, for readers that
+    began before the last run; that of older ones is removed.
+
     One writer at a time; any number of readers.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, snapshots: int = 3):
+        if snapshots < 1:
+            raise ValueError("at least the newest snapshot has to stay")
+        self.snapshots = snapshots
         self.spark = spark
         self.path = path.rstrip("/")
         if buckets is None:
@@ -175,13 +181,25 @@ class HistoryStore:
         closed = written.where(~F.col("is_current")).select(
             scd2.KEY, F.col(scd2.VERSION_KEY).alias("_closed")
         )
-        # a key has one current version, so at most one closed row meets it
-        current = self._scan_current(folder).join(closed, scd2.KEY, "left")
+        # a key has one current version, so at most one closed row meets it; merged by
+        # bucket even where few are closed, so that a bucket stays one file
+        current = self._scan_current(folder).join(closed.hint("merge"), scd2.KEY, "left")
         kept = current.where(~F.col("_closed").eqNullSafe(F.col(scd2.VERSION_KEY)))
         opened = self._by_bucket(written.where("is_current"))
         self._write_current(sync_schema(kept, delta).unionByName(opened), last + 1, token)
         if self.buckets:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(folder)}")
+        self._drop_snapshots()
+
+    def _drop_snapshots(self) -> None:
+        """Remove the data of old snapshots; their marks stay, as they say which runs and inputs are done."""
+        folders = list(self._finished().values())[: -self.snapshots]
+        for folder in reversed(folders):
+            data = [f for f in child_paths(self.spark, folder) if not f.endswith("/_SUCCESS")]
+            if not data:
+                break  # removed by an earlier run, as are those before it
+            for file in data:
+                remove_path(self.spark, file)
 
     def _by_bucket(self, versions: DataFrame) -> DataFrame:
         """One task per bucket, so that each writes one file."""
