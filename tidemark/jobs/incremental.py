@@ -28,14 +28,10 @@ FROM edges, (VALUES ('hour'), ('day'), ('week'), ('month')) AS p(period)""")
 def period_boundaries(t: Tables) -> DataFrame:
     """Where a resumed load goes on, and how many periods are left, per period length."""
     loaded = t.events.where("ts < timestamp_ntz'2024-01-16 00:00:00'")
-    hours = periods.boundaries(t.spark, "hour", START, STOP, loaded, "ts")
-    longer = [
-        periods.boundaries(t.spark, period, hours.start, STOP) for period in ("day", "week", "month")
+    rows = [
+        periods.boundary_row(t.spark, period, START, STOP, loaded, "ts") for period in ("hour", "day", "week", "month")
     ]
-    rows = [(b.period, str(b.start), str(b.stop), b.count) for b in (hours, *longer)]
-    return t.spark.createDataFrame(
-        rows, "period string, start string, stop string, num_periods long"
-    ).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "stop")})
+    return reduce(DataFrame.unionAll, rows)
 
 
 @job("""SELECT period, event_type, count(*) AS num_rows FROM (

@@ -47,17 +47,30 @@ def boundaries(
     It starts at the newest row of ``target``, or at ``start_date`` when there
     is none; it stops a millisecond before ``stop_date``, or now.
     """
+    row = boundary_row(spark, period, start_date, stop_date, target, timestamp_field).first()
+    return Boundaries(row["start"], row["stop"], check_part(period), max(row["num_periods"], 0))
+
+
+def boundary_row(
+    spark: SparkSession,
+    period: str,
+    start_date,
+    stop_date=None,
+    target: DataFrame | None = None,
+    timestamp_field: str | None = None,
+) -> DataFrame:
+    """(period, start, stop, num_periods) as a plan of one row."""
     period = check_part(period)
-    seen = None
-    if target is not None:
-        seen = target.agg(F.max(timestamp_field).alias("t")).first()["t"]
-    start = moment(start_date if seen is None else seen)
-    stop = F.localtimestamp()
-    if stop_date is not None:
-        stop = dateadd("millisecond", -1, moment(stop_date))
-    edges = spark.range(1).select(start.alias("start"), stop.alias("stop"))
-    row = edges.select("start", "stop", (datediff("start", "stop", period) + 1).alias("n")).first()
-    return Boundaries(row["start"], row["stop"], period, max(row["n"], 0))
+    start = moment(start_date)
+    if target is None:
+        edges = spark.range(1).select(start.alias("start"))
+    else:
+        edges = target.agg(F.coalesce(F.max(as_timestamp(timestamp_field)), start).alias("start"))
+    stop = F.localtimestamp() if stop_date is None else dateadd("millisecond", -1, moment(stop_date))
+    edges = edges.withColumn("stop", stop)
+    return edges.select(
+        F.lit(period).alias("period"), "start", "stop", (datediff("start", "stop", period) + 1).alias("num_periods")
+    )
 
 
 def in_period(
