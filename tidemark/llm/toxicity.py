@@ -2,8 +2,8 @@
 
 A word's tokens are itself and its stems, the first few bytes of it at several
 lengths, so that inflected words that were never seen whole are known by their
-stem. Every token has a score: the log-odds of toxic against clean texts, with
-the tokens of all documents as Dirichlet prior, less some standard errors and a
+stem. Every token has a score: the log-odds of toxic against clean texts that hold it,
+with its frequency in all documents as Dirichlet prior, less some standard errors and a
 small drift, so that chance scores below zero. A word scores as its best stem
 if that is above zero, else as itself. A linear-time scan finds all maximal
 scoring segments of a document. Extreme-value statistics say how often
@@ -58,7 +58,7 @@ def cells(block: Block) -> tuple[np.ndarray, np.ndarray]:
 
 
 def log_odds(toxic: np.ndarray, clean: np.ndarray, background: np.ndarray) -> np.ndarray:
-    """A score per bucket from word counts of both classes and of all documents."""
+    """A score per bucket from the documents of both classes, and of the whole corpus, that hold it."""
     prior = PRIOR * min(toxic.sum(), clean.sum()) * (background + 1) / (background + 1).sum()
     a, b = toxic + prior, clean + prior
     odds = np.log(a / (a.sum() - a)) - np.log(b / (b.sum() - b))
@@ -185,16 +185,17 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 50
     return w
 
 
-def word_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, bucket, n): tokens per bucket; the id column is a class or a constant."""
+def document_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, bucket, n): documents that hold a token of the bucket; the id column is a class or a constant."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make():
         def work(block: Block, ids):
             cell, of = cells(block)
             labels, label = np.unique(np.array(ids.to_pylist()), return_inverse=True)
-            key = np.repeat(label, np.diff(of))[:, None] * BUCKETS + cell
-            key, n = np.unique(key[cell >= 0], return_counts=True)
+            # a token counts once in a document, however often that repeats it
+            held = np.unique((np.repeat(np.arange(len(block)), np.diff(of))[:, None] * BUCKETS + cell)[cell >= 0])
+            key, n = np.unique(label[held // BUCKETS] * BUCKETS + held % BUCKETS, return_counts=True)
             yield {"id": pa.array(labels[key // BUCKETS], ids.type), "bucket": key % BUCKETS, "n": n}
 
         return work
@@ -222,12 +223,14 @@ def train(
 ) -> Model:
     """Learn from the labelled sample, with the words of all documents as prior."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.lit(0).alias("all"))
-    background = table_of(word_counts(texts, "all", "text"))
+    background = table_of(document_counts(texts, "all", "text"))
     wanted = F.broadcast(sample(labels, label, folds, held_out, max_rows, id_col))  # max_rows bounds it
     half = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half")
-    known = saved(texts.join(wanted, "id").select("id", "text", "y", half).dropDuplicates(["id"]), "labelled-texts")
+    # copies of a text teach as one
+    known = texts.join(wanted, "id").groupBy("text").agg(F.min(F.struct("id", "y")).alias("x")).select("x.*", "text")
+    known = saved(known.select("id", "text", "y", half), "labelled-texts")
     group = (F.col("y") * 2 + F.col("half")).cast("int").alias("group")
-    by_group = saved(word_counts(known.select(group, "text"), "group", "text"), "class-tokens")
+    by_group = saved(document_counts(known.select(group, "text"), "group", "text"), "class-tokens")
     # rows: clean, toxic; columns: halves of the sample
     counts = np.stack([table_of(by_group.where(F.col("id") == g)) for g in range(4)]).reshape(2, 2, BUCKETS)
     whole = counts.sum(axis=1)
