@@ -27,6 +27,7 @@ one id are ordered by their hash. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from .words import BLOCK, U64, Block, blocks, buffers, byte_prefix, mix, powers,
 #: Bytes of a seed; windows in a fragment at most.
 SEED, RUN = 32, 120
 #: Fragments of one anchor in a shard at most; bytes of a shard.
-SHARD_ROWS, SHARD_BYTES = 1_000, 1 << 20
+SHARD_ROWS, SHARD_BYTES = 1_000, 1 << 19
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -174,6 +175,12 @@ def batch_of(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in columns.values()], names=list(columns))
 
 
+def sliced(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of so many rows, so that neither side holds all of it at once."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows)
+
+
 def fragment_rows(least: int):
     """Map task: documents (d, text) to fragments; those the task has seen are marked as copies."""
 
@@ -181,7 +188,7 @@ def fragment_rows(least: int):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             parts = []
-            for block in blocks(batch.column(1), BLOCK):
+            for block in blocks(batch.column(1), BLOCK // 4):
                 low, size, anchor, content = fragments(block, least)
                 doc = np.searchsorted(block.offsets, low, "right") - 1
                 parts.append((anchor << 8 | size, content, ids[block.first + doc], low - block.offsets[doc]))
@@ -195,8 +202,9 @@ def fragment_rows(least: int):
             for some in (~copy, copy & ~same):
                 # copies are dealt by content and place, as they need no company
                 spread = key[some] if not copy[some].any() else mix(d[some].view(U64) + low[some].astype(U64)).view(np.int64)
-                yield batch_of(key=key[some], content=content[some], d=d[some], low=low[some],
-                               copy=copy[some], spread=spread >> 8)
+                found = batch_of(key=key[some], content=content[some], d=d[some], low=low[some],
+                                 copy=copy[some], spread=spread >> 8)
+                yield from sliced(found, 50_000)
 
     return run
 
@@ -350,7 +358,7 @@ def packed(batches):
     import zstandard
 
     press = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in (part for whole in batches for part in sliced(whole, 2_000)):
         data, offsets = buffers(batch.column(2))
         zipped = [press.compress(data[a:b].tobytes()) for a, b in zip(offsets, offsets[1:], strict=False)]
         yield batch_of(id=batch.column(0), d=batch.column(1), packed=pa.array(zipped, pa.binary()))
@@ -363,7 +371,7 @@ def cut_rows(least: int):
         import zstandard
 
         unpress = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, 500)):
             wanted = batch.column(2)
             size = wanted.value_lengths().to_numpy()
             flat = wanted.flatten()
@@ -386,7 +394,7 @@ def removed_rows(batches):
     import zstandard
 
     unpress = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in (part for whole in batches for part in sliced(whole, 1_000)):
         sizes, removed, runs, kept, digests = [], [], [], [], []
         for raw, spans in zip(batch.column(1), batch.column(2), strict=True):
             text = unpress.decompress(raw.as_py())
