@@ -282,7 +282,7 @@ def train(
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c.copy()) for c in found.T)], names=["y", "a", "b", "c"])
 
     rows = measured.select("y", "n", "several").mapInArrow(judge, "y double, a double, b double, c double")
-    rows = rows.orderBy("y", "a", "b", "c").toPandas()  # at most max_rows
+    rows = rows.toPandas().sort_values(["y", "a", "b", "c"])  # at most max_rows, in one order for equal sums
     model.curve = logistic(rows[["a", "b", "c"]].to_numpy(float), rows["y"].to_numpy(float))
     return model
 
