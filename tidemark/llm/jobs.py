@@ -17,7 +17,15 @@ from .suffixes import remove_repeats
 QUERIES, ORACLES = {}, {}
 
 
+#: Spark hands Python so many rows at a time by default; of whole texts, this many.
+DEFAULT_ROWS, TEXT_ROWS = "10000", "2000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. Unless the session says otherwise, texts go to Python in smaller batches."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == DEFAULT_ROWS:
+        spark.conf.set(rows, TEXT_ROWS)
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import numbered, saved
-from .words import BLOCK, U64, Block, blocks, buffers, byte_prefix, mix, powers, ragged, span_hash
+from .words import U64, Block, blocks, buffers, byte_prefix, mix, powers, ragged, span_hash
 
 #: Bytes of a seed; windows in a fragment at most.
 SEED, RUN = 32, 120
@@ -188,7 +188,7 @@ def fragment_rows(least: int):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             parts = []
-            for block in blocks(batch.column(1), BLOCK // 4):
+            for block in blocks(batch.column(1)):
                 low, size, anchor, content = fragments(block, least)
                 doc = np.searchsorted(block.offsets, low, "right") - 1
                 parts.append((anchor << 8 | size, content, ids[block.first + doc], low - block.offsets[doc]))

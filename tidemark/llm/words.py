@@ -4,11 +4,13 @@ Operators get their texts through ``mapInArrow``. A text column is a buffer of
 bytes with offsets; all word boundaries and hashes of a block of documents come
 from a few array operations on it, without a Python string per word. Blocks
 hold about ``BLOCK`` bytes (one longer text is a block of its own), so memory
-depends on the longest text and not on the size of a batch.
+depends on the longest text and not on the size of a batch. Workers live through
+many tasks, so what a batch has freed is given back to the machine after it.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import cached_property
 
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 U64 = np.uint64
 
 
@@ -203,6 +205,15 @@ def blocks(column: pa.Array, size: int = BLOCK) -> Iterator[Block]:
         own = offsets[first : last + 1]
         yield Block(data[own[0] : own[-1]], own - own[0], first)
         first = last
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the machine, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+    pa.default_memory_pool().release_unused()
 
 
 def map_blocks(
