@@ -29,6 +29,16 @@ def texts(page):
     ("<TABLE><tr><td>1<td>2<tr><td>3</TABLE>", ["1", "2", "3"]),
     ("<p>&am<b>p;</b>", ["&amp;"]),
     ("<", ["<"]), ("<p", []), ("a<b", ["a"]),
+    ("<article><p>a <svg class=icon/> b</p><p>c <svg class='x' /> d</article>", ["a b", "c d"]),
+    ("<p>a<svg><title>no</title><path d=x /><text>one</text><text>two</text></svg>b</p><p>c", ["a one two b", "c"]),
+    ("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be, <math alt=y /> so</p>d", ["let x=2 be, so", "d"]),
+    ("<p>a <svg> b</p><p>c <math> d</p><p>e", ["a b", "c d", "e"]),
+    ("<p>a</p><object data=x><p>instead</p></object><p>b", ["a", "instead", "b"]),
+    ("<p>a</p><object data=x><p>b</p><noscript><p>c</p>", ["a", "b", "c"]),
+    ("<p>a<xmp>1 <b> &lt; 2</xmp>b<xmp>open", ["a", "1 <b> &lt; 2", "b", "open"]),
+    ("<template><p>no<template>no</template><p>no</template><p>a<template><p>b", ["a", "b"]),
+    ("<svg><style/><script href=x /></svg><p>a</p><iframe src=x /><p>b</p><iframe>no", ["a", "b"]),
+    ("<p>a</p><textarea>never closed <p>no", ["a"]),
 ])
 def test_blocks(page, want):
     assert texts(page) == want
@@ -107,6 +117,16 @@ def test_other_kinds_of_blocks(labeller):
     assert [t for (_, t, _), p in zip(found, chance, strict=True) if p >= 0.5] == ["Title here", "First words of it.", "Second words of it."]
 
 
+def test_drawings_and_formulas_cost_no_text(labeller):
+    parts = ["Title here", "First words of it.", "Let x=2 be so.", "Said in another way.", "Last words of it."]
+    page = f"""<html><head><title>T</title></head><body><nav><ul><li><a href=a>Home</a></li></ul></nav><article><h1>{parts[0]}</h1>
+    <p>First <svg class=icon/> words of it.</p><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be so.</p>
+    <object data=x><p>{parts[3]}</p></object><p>{parts[4]}</p></article><footer>Copyright us</footer></body></html>"""
+    found = pages.read_blocks(page)
+    chance = labeller.probabilities([pages.block_vectors(found)])[0]
+    assert [t for (_, t, _), p in zip(found, chance, strict=True) if p >= 0.5] == parts
+
+
 def test_defined_results(spark, labeller):
     long = "<article>" + "<p>one two three.</p>" * 4000 + "<p>" + "x" * 100_000 + "</article>"
     rows = [(1, "u", None), (2, None, ""), (None, "v", "<p>"), (3, "w", long), (3, "w", long)]

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from functools import lru_cache
 from zlib import crc32
 
@@ -40,10 +41,17 @@ CELLS = 1 << 15
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup "
-    "option p pre section select summary table tbody td tfoot th thead title tr ul".split()
+    "option p pre section select summary table tbody td tfoot th thead title tr ul xmp".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template iframe object svg math textarea xmp noembed noframes".split())
+#: Elements whose content is no markup and not shown; without an end tag they reach to the end of the page.
+RAW_TAGS = frozenset("script style iframe textarea noembed noframes".split())
+#: Elements of other languages, in which '/>' ends an element; a drawing's elements that are not shown.
+FOREIGN_TAGS, UNSEEN_TAGS = frozenset(("svg", "math")), frozenset(("title", "desc", "metadata"))
+#: Elements that only hold others; in a block's path they count by their names alone.
+HOLDING_TAGS = frozenset("object noscript svg math".split())
+#: Elements that part words without ending a block.
+PARTING_TAGS = frozenset("br svg text mtr mtd".split())
 #: Elements that end an open element of the same kind, and what keeps them from reaching further out.
 CLOSES = {
     "p": ("p",), "li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "option": ("option",),
@@ -80,14 +88,16 @@ def read_blocks(page: str) -> list[tuple[tuple, str, int]]:
     out: list[tuple[tuple, str, int]] = []
     stack: list[tuple[str, tuple]] = []
     parts: list[str] = []
-    linked = at = links = 0
+    linked = at = 0
+    inside, ends = {"a": 0, "svg": 0, "math": 0}, {}
 
     def close():
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append((tuple(stack), text, min(linked, len(text))))
+                path = (("div", own) if tag in HOLDING_TAGS else (tag, own) for tag, own in stack if own or tag not in HOLDING_TAGS)
+                out.append((tuple(path), text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
@@ -95,16 +105,40 @@ def read_blocks(page: str) -> list[tuple[tuple, str, int]]:
         nonlocal linked
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if links:
+        if inside["a"]:
             linked += len(text.strip())
 
+    def push(tag: str, attributes: str):
+        if tag in inside:
+            inside[tag] += 1
+        stack.append((tag, names(attributes) if "=" in attributes else ()))
+
     def pop_to(k: int):
-        nonlocal links
         if any(tag in BLOCK_TAGS for tag, _ in stack[k:]):
             close()
-        links -= sum(tag == "a" for tag, _ in stack[k:])
+        for tag, _ in stack[k:]:
+            if tag in inside:
+                inside[tag] -= 1
         del stack[k:]
 
+    def end_of(tag: str, start: int) -> tuple[int, int] | None:
+        """Where the end tag of an element stands; the tags of each kind are looked for once."""
+        if tag not in ends:
+            tags = list(re.compile(rf"<(/?){re.escape(tag)}(?![\w:-])[^>]*>", re.I).finditer(page))
+            if tag == "template":  # may hold others
+                ends[tag], begun = {}, []
+                for m in tags:
+                    if not m.group(1):
+                        begun.append(m.start())
+                    elif begun:
+                        ends[tag][begun.pop()] = m.span()
+            else:
+                ends[tag] = [m.span() for m in tags if m.group(1)]
+        if tag == "template":
+            return ends[tag].get(start)
+        k = bisect_left(ends[tag], (at, 0))
+        return ends[tag][k] if k < len(ends[tag]) else None
+
     size = len(page)
     while at < size:
         m = _TOKEN.search(page, at)
@@ -125,17 +159,37 @@ def read_blocks(page: str) -> list[tuple[tuple, str, int]]:
             else:
                 if tag in BLOCK_TAGS:
                     close()
+            if tag in PARTING_TAGS:
+                parts.append(" ")
             continue
+        ended = m.group(3).endswith("/")
+        foreign = tag in FOREIGN_TAGS or inside["svg"] or inside["math"]
         if tag in RAW_TAGS:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
+            if not (ended and foreign):
+                end = end_of(tag, m.start())
+                at = end[1] if end else at if ended else size
             parts.append(" ")
             continue
+        if tag in PARTING_TAGS:
+            parts.append(" ")
         if tag in VOID_TAGS:
             if tag in BLOCK_TAGS:
                 close()
-            elif tag == "br":
+            continue
+        if ended and foreign:
+            continue
+        if tag == "template" and "shadowroot" not in m.group(3).lower() or inside["svg"] and tag in UNSEEN_TAGS:
+            end = end_of(tag, m.start())
+            if end:
+                at = end[1]
                 parts.append(" ")
+                continue
+        if tag == "xmp" and (end := end_of(tag, m.start())):  # its content is text, whatever it looks like
+            close()
+            push(tag, m.group(3))
+            parts.append(page[at : end[0]])
+            pop_to(len(stack) - 1)
+            at = end[1]
             continue
         if tag in CLOSES:
             for k in range(len(stack) - 1, -1, -1):
@@ -153,8 +207,7 @@ def read_blocks(page: str) -> list[tuple[tuple, str, int]]:
                     break
         if tag in BLOCK_TAGS:
             close()
-        links += tag == "a"
-        stack.append((tag, names(m.group(3)) if "=" in m.group(3) else ()))
+        push(tag, m.group(3))
     close()
     return out
 
