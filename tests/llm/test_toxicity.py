@@ -51,6 +51,36 @@ def test_poisson_surprise():
     assert got[:4] == pytest.approx([-math.log(p) for p in want[:4]], rel=1e-6) and got[4] == 0
 
 
+def test_poisson_surprise_of_many():
+    """Against the sum of the probabilities of fewer events, far from and next to the mean."""
+    log_fewer = lambda m, r: [k * math.log(m) - m - math.lgamma(k + 1) for k in range(r, r + 4000)]
+    for r, m in ((65, 30.0), (300, 100.0), (300, 299.0), (5000, 4990.0)):
+        terms = log_fewer(m, r)
+        want = -(max(terms) + math.log(sum(math.exp(x - max(terms)) for x in terms)))
+        got = toxicity.poisson_surprise(np.full(r, m))
+        assert len(got) == r and got[-1] == pytest.approx(want, rel=1e-6)
+
+
+def test_many_mild_passages_count_together():
+    """300 segments that chance makes 100 of: none is rare, all together are."""
+    model = toxicity.Model(np.zeros(toxicity.BUCKETS, np.float32), curve=np.array([-3.0, 0.0, 3.0]))
+    mild = math.log(10_000 / 100)
+    few, many = model.evidence([[mild] * 64, [mild] * 300], np.array([10_000, 10_000]))
+    assert few[2] == 0 and many[2] == 6.0 and few[1] == many[1] < 0
+    assert model.probability(np.stack([few, many])).round(2).tolist() == [0.05, 1.0]
+
+
+def test_long_texts_of_mild_words(spark):
+    """A text of several hundred mild words is toxic, one with few of them in as many words is not."""
+    block = next(blocks(pa.array(["meh"])))
+    model = toxicity.Model(np.full(toxicity.BUCKETS, -1, np.float32), 1.0, 1.0, np.array([-3.0, 0.0, 3.0]))
+    model.scores[toxicity.cells(block)[0][0, 0]] = 4
+    texts = ["meh " + "fine " * 9, ("meh " + "fine " * 9) * 400, ("meh " + "fine " * 199) * 20]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.toxicity_scores(docs, model).collect()}
+    assert [got[d].predicted for d in range(3)] == [0, 1, 0] and not got[1].passages
+
+
 def test_long_texts_are_scanned_whole():
     model = toxicity.Model(np.full(toxicity.BUCKETS, -1, np.float32))
     text = "fine " * 60_000 + "awful awful fine awful " + "fine " * 10

@@ -40,8 +40,8 @@ STEMS = (4, 5, 6, 7, 8)
 #: What the prior counts for, as a share of the smaller class's tokens; standard errors and drift taken off;
 #: range of a word's score.
 PRIOR, ERRORS, DRIFT, LOW, HIGH = 0.3, 2.0, 1.0, -1.0, 12.0
-#: E-value below which a segment is significant; best segments that a text's sum statistic may take.
-SIGNIFICANT, SUMMED = 0.05, 64
+#: E-value below which a segment is significant.
+SIGNIFICANT = 0.05
 
 
 def cells(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -113,20 +113,19 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, float(high - low)) for s, e, low, high, _ in found]
 
 
-_RANK = np.arange(1, SUMMED + 1)
-#: log r!
-_FACTORIALS = np.cumsum(np.log(_RANK))
-
-
 def poisson_surprise(means: np.ndarray) -> np.ndarray:
     """-log of the probability of at least r events at the r-th of ascending means."""
-    r, e = _RANK[: len(means)], np.maximum(means, 1e-30)
-    tail = np.ones(len(e))
-    term = np.ones(len(e))
-    for k in range(1, 40):
-        term = term * e / (r + k)
+    rank = np.arange(1, len(means) + 1)
+    rare = means < rank
+    r, e = rank[rare], np.maximum(means[rare], 1e-30)
+    tail, term, k = np.ones(len(e)), np.ones(len(e)), 0
+    while (term > 1e-9 * tail).any():  # shrinks by less than e / r at each step
+        k += 1
+        term *= e / (r + k)
         tail += term
-    return np.where(e < r, e - r * np.log(e) + _FACTORIALS[: len(e)] - np.log(tail), 0.0)
+    out = np.zeros(len(means))
+    out[rare] = e - r * np.log(e) + np.cumsum(np.log(rank))[rare] - np.log(tail)
+    return out
 
 
 @dataclass
@@ -154,14 +153,14 @@ class Model:
         return out
 
     def evidence(self, scores: list[list[float]], sizes: np.ndarray) -> np.ndarray:
-        """Columns: 1, the surprise of the best segment, that of the best ones together.
+        """Columns: 1, the surprise of the best segment, that of the best ones together, of any number.
 
         In a chance text the segments of at most an E-value e are Poisson distributed with
         mean e, so r of them have the probability of r or more Poisson events.
         """
         out = np.ones((len(scores), 3))
         for d, own in enumerate(scores):
-            e = self.e_value(np.sort(own)[::-1][:SUMMED] if len(own) else [0.0], sizes[d])
+            e = self.e_value(np.sort(own)[::-1] if len(own) else [0.0], sizes[d])
             surprise = poisson_surprise(e)
             out[d, 1:] = -np.log(max(e[0], 1e-30)), surprise.max()
         out[:, 1:] = np.clip(out[:, 1:], -15, 60) / 10
@@ -252,7 +251,7 @@ def train(
                 values = [word_scores(h.scores, cell) for h in halves]
                 for d in range(len(block)):
                     mine = values[side[d]][of[d] : of[d + 1]]
-                    several.append(sorted((x[2] for x in segments(mine)), reverse=True)[:SUMMED])
+                    several.append(sorted((x[2] for x in segments(mine)), reverse=True))
                     level, many = np.unique(np.round(mine, 1).astype(float), return_counts=True)
                     levels.append(level.tolist())
                     times.append(many.tolist())
