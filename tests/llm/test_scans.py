@@ -1,7 +1,9 @@
 """Licence scan, secret scan and repetition rules against brute force."""
 
 import hashlib
+import itertools
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -97,6 +99,26 @@ def test_random_strings(spark):
     assert {r.text: [tuple(x) for x in r.found] for r in rows} == texts
 
 
+def test_names_are_told_in_linear_time():
+    slow = re.compile(rb"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+[0-9]{0,4}")
+    for size in range(9):
+        for run in itertools.product(b"aB1", repeat=size):
+            assert bool(secrets.CAMEL.fullmatch(bytes(run))) == bool(slow.fullmatch(bytes(run))), bytes(run)
+    letters = b"abcdefghijklmnopqrstuvwxyz"
+    begun = time.process_time()
+    for run, known in ((letters.upper() + letters + b"0123456789+/", False), (letters * 400 + b"9x", False),
+                       (b"aBcD" * 2500 + b"+/9x", False), (letters * 400 + b"2024", True), ((letters + b"HTTP") * 400, True)):
+        assert secrets.is_known(run) == known
+    assert time.process_time() - begun < 1
+
+
+def test_long_runs_are_scanned(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    runs = [letters.upper() + letters + "0123456789+/", letters * 400 + "9x", "kZ8w+Q3xJ/7bT1mVpR5yLd0HsGfUeXaC"]
+    df = spark.createDataFrame([(0, " ".join(runs))], "doc_id long, text string")
+    assert secrets.secret_scan(df).first().spans.endswith(f"random:{len(runs[0]) + len(runs[1]) + 2}:{sum(map(len, runs)) + 2}")
+
+
 def test_spans_are_sorted_and_joined(nasty):
     for r in secrets.secret_scan(nasty).collect():
         order = {"assign": 0, "access": 1, "hex": 2, "random": 3}

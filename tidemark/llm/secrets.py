@@ -39,7 +39,8 @@ DIGEST = re.compile(rb"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0
 UUID = re.compile(rb"[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}", re.I)
 #: Words of letters or of digits, joined by separators or by a capital: names, paths, dates.
 IDENTIFIER = re.compile(rb"[+/_=-]*(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+|[A-Za-z])(?:[+/_=-]+|$))+")
-CAMEL = re.compile(rb"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+[0-9]{0,4}")
+#: Words of two letters at least, which capitals may begin, then few digits. Possessive: nothing is tried twice.
+CAMEL = re.compile(rb"(?=[A-Za-z])(?:[A-Z]*+[a-z]{2,}+)*+(?:[A-Z]{2,}+)?+[0-9]{0,4}+")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
