@@ -70,3 +70,18 @@ def test_defined_results(spark, nasty):
     none = quality.train(nasty, labels.limit(0))
     assert {r.score for r in quality.quality_scores(nasty, none).collect()} == {0.5}
     assert quality.quality_scores(nasty.limit(0), model).count() == 0
+
+
+def test_one_text_of_an_id_teaches(spark, monkeypatch):
+    """Rows that share a labelled id stay on the executors, and their order doesn't matter."""
+    rows = [(i, f"Words of text {i}, " * (1 + i % 7), i % 2) for i in range(40)]
+    docs = [(i, t) for i, t, _ in rows] + [(5, "another text " * k) for k in range(1, 60)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality.Additive, "fit", classmethod(lambda cls, x, y: seen.append((x, y))))
+    collected, to_pandas = [], type(labels).toPandas
+    monkeypatch.setattr(type(labels), "toPandas", lambda df: collected.append(to_pandas(df)) or collected[-1])
+    for own in (docs, docs[::-1]):
+        quality.train(spark.createDataFrame(own, "doc_id long, text string").coalesce(1), labels, held_out=-1)
+    assert [len(x) for x in collected] == [40, 40]
+    assert np.array_equal(seen[0][0], seen[1][0]) and np.array_equal(seen[0][1], seen[1][1])

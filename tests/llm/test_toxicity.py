@@ -128,3 +128,13 @@ def test_defined_results(spark, nasty):
     none = toxicity.train(nasty, labels.limit(0))
     assert {r.score for r in toxicity.toxicity_scores(nasty, none).collect()} == {0.5}
     assert toxicity.toxicity_scores(nasty.limit(0), model).count() == 0
+
+
+def test_one_text_of_an_id_teaches(spark, monkeypatch):
+    rows = planted(120, 6)
+    docs = [(i, t) for i, t, _ in rows] + [(5, "another text " * k) for k in range(1, 60)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    fitted, logistic = [], toxicity.logistic
+    monkeypatch.setattr(toxicity, "logistic", lambda x, y: fitted.append(len(y)) or logistic(x, y))
+    models = [toxicity.train(spark.createDataFrame(own, "doc_id long, text string").coalesce(1), labels, held_out=-1) for own in (docs, docs[::-1])]
+    assert fitted == [120, 120] and np.array_equal(models[0].scores, models[1].scores)

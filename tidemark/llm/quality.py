@@ -185,7 +185,9 @@ def train(
 
     kind = docs.schema[id_col].dataType.simpleString()
     found = rows.select("id", "text", "y").mapInArrow(run, f"id {kind}, y double, " + ", ".join(f"{c} double" for c in NAMES))
-    found = found.toPandas().drop_duplicates("id").sort_values("id")
+    # of an id's texts one teaches, whatever their order: at most max_rows rows get to the driver
+    found = found.groupBy("id").agg(F.min(F.struct("y", *NAMES)).alias("x")).select("id", "x.*")
+    found = found.toPandas().sort_values("id")
     return Additive.fit(found[list(NAMES)].to_numpy(float), found["y"].to_numpy(float))
 
 

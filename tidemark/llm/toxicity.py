@@ -225,8 +225,9 @@ def train(
     background = table_of(document_counts(texts, "all", "text"))
     wanted = F.broadcast(sample(labels, label, folds, held_out, max_rows, id_col))  # max_rows bounds it
     half = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half")
-    # copies of a text teach as one
-    known = texts.join(wanted, "id").groupBy("text").agg(F.min(F.struct("id", "y")).alias("x")).select("x.*", "text")
+    # of an id's texts one teaches, whatever their order; copies of a text teach as one
+    known = texts.join(wanted, "id").groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("x"))
+    known = known.select("id", "y", "x.text").groupBy("text").agg(F.min(F.struct("id", "y")).alias("x")).select("x.*", "text")
     known = saved(known.select("id", "text", "y", half), "labelled-texts")
     group = (F.col("y") * 2 + F.col("half")).cast("int").alias("group")
     by_group = saved(document_counts(known.select(group, "text"), "group", "text"), "class-tokens")
