@@ -2,11 +2,13 @@
 
 import hashlib
 import itertools
+import random
 import re
 import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import licenses, repetition, secrets
 
@@ -49,7 +51,11 @@ def test_license_labels(spark):
     gap = "permission is hereby granted free of charge to any human obtaining a copy of this software and associated files"
     texts = {
         "Licensed under the Apache License, Version 2.0": "apache",
-        "see: Apache License": "",
+        "see: Apache License": "apache",
+        "MIT License": "mit",
+        "Mozilla Public License 2.0": "mpl",
+        "released into the public domain": "unlicense",
+        "GNU General Public License v3": "gnu-gpl,gpl",
         "Released under the MIT License.": "mit",
         gap: "mit",
         gap.replace("hereby", "maybe"): "",
@@ -65,6 +71,32 @@ def test_license_labels(spark):
     assert got[gap].score < 1 and got[gap].places[0].first == 0
 
 
+def test_every_planted_notice_is_found(spark):
+    """Key phrases at any place of long texts full of the templates' words."""
+    rng = random.Random(3)
+    words = sorted({w for t in licenses.TEMPLATES for w in t.text.split()}) + ["zebra", "plain"]
+    texts, planted = [], []
+    for t in licenses.TEMPLATES * 3:
+        filler = [rng.choice(words) for _ in range(rng.choice([0, 5, 300]))]
+        at = rng.randrange(len(filler) + 1)
+        texts.append(" ".join(filler[:at] + [(t.keys or (t.text,))[0].upper()] + filler[at:]))
+        planted.append(t.label)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels.split(",") for r in licenses.license_scan(df).collect()}
+    assert all(label in got[i] for i, label in enumerate(planted))
+
+
+def test_blocks_without_a_word_of_the_index(spark):
+    """Neither such blocks nor odd other columns stop a scan."""
+    df = spark.createDataFrame([(1, "zzz"), (2, None), (3, "")], "doc_id long, text string").coalesce(1)
+    odd = df.select(F.struct("doc_id").alias("meta"), F.lit(1).alias("meta.x"), F.expr("interval 1 day").alias("i"), "doc_id", "text")
+    for rows in (df, odd):
+        got = {r.doc_id: (r.n_words, r.labels, r.first_word) for r in licenses.license_scan(rows).collect()}
+        assert got == {1: (1, "", None), 2: (0, "", None), 3: (0, "", None)}
+        assert {r.spans for r in secrets.secret_scan(rows).collect()} == {""}
+        assert {r.n_words for r in repetition.repetition_rules(rows).collect()} == {0, 1}
+
+
 def secret_brute(text):
     spans = []
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

@@ -2,13 +2,16 @@
 
 The index holds, for every licence template, the places of its words. The words
 of all documents decide how rare a template's words are. A file that holds all words
-of a template's key phrases is looked up by the rarest of the template's words
-that it holds: the places they imply for the template's first word are
-intersected. Places on which enough entries agree are verified: every mandatory
-key phrase stands at its place, word for word, and enough of the other words.
+of a template's key phrases is looked up by the rarest of them: the places they
+imply for the template's first word are intersected. A place on which all entries
+agree is verified: every mandatory key phrase stands at its place, word for word.
+Each verified place is labelled; the share of the other words that stand there
+too, rare ones counting more, is its score.
 
 Defined results: null and empty texts have no words, no place and score 0. A
-null id is kept. Equal texts get equal results. An empty table gives none.
+null id is kept. Equal texts get equal results. An empty table gives none. Texts
+of any length are read whole, one at a time beyond a block's size. Other columns,
+whatever their names and types, are not looked at.
 """
 
 from __future__ import annotations
@@ -62,8 +65,8 @@ TEMPLATES = (
              ("released into the public domain",)),
 )
 
-#: Rare words by which a template is entered, entries that have to agree, share of words to verify.
-ENTRIES, AGREE, SHARE = 4, 2, 0.6
+#: Rare words of its key phrases by which a template is entered. They all have to agree, as all are mandatory.
+ENTRIES = 4
 
 
 def _hashes(words: list[str]) -> np.ndarray:
@@ -99,8 +102,8 @@ class Index:
                     first = len(t.text[:at].split())
                     must[first : first + len(key.split())] = True
             self.must.append(must)
-            # the rarest words first; equal ones by their text
-            self.ranked.append(np.array(sorted(set(ids), key=lambda i: (rarity[i], self.words[i]))))
+            # the rarest mandatory words first; equal ones by their text
+            self.ranked.append(sorted(set(ids[must]), key=lambda i: (rarity[i], self.words[i])))
 
     def look_up(self, hashes: np.ndarray) -> np.ndarray:
         """The index's number of each word, -1 for words in no template."""
@@ -111,23 +114,18 @@ class Index:
         found[maybe[hit]] = at[hit]
         return found
 
-    def votes(self, t: int, docs: np.ndarray, present: np.ndarray, hits, words: Words) -> np.ndarray:
-        """Places of a template's first word on which entries agree: document, word."""
-        ids, ranked, whole = self.ids[t], self.ranked[t], self.must[t].all()
-        keep, agree = (1, 1) if whole else (ENTRIES, AGREE)
-        # in each file, the rarest of the template's words that it holds
-        held = present[docs][:, ranked]
-        entry = held & (np.cumsum(held, axis=1) <= keep)
-        out = []
-        for k in np.flatnonzero(entry.any(axis=0)):
-            word = hits[ranked[k]]
-            wanted = np.zeros(len(words.block), bool)
-            wanted[docs[entry[:, k]]] = True
-            word = word[wanted[words.doc[word]]]
-            for at in np.flatnonzero(ids == ranked[k]):
+    def votes(self, t: int, docs: np.ndarray, hits, words: Words) -> np.ndarray:
+        """Places of a template's first word on which all entries agree: document, word."""
+        wanted = np.zeros(len(words.block), bool)
+        wanted[docs] = True
+        out, entries = [], 0
+        for w in self.ranked[t][:ENTRIES]:
+            word = hits[w][wanted[words.doc[hits[w]]]]
+            for at in np.flatnonzero((self.ids[t] == w) & self.must[t]):
                 out.append(np.stack([words.doc[word], word - at], 1))
+                entries += 1
         votes, agreed = np.unique(np.concatenate(out), axis=0, return_counts=True)
-        return votes[agreed >= agree]
+        return votes[agreed == entries]
 
     def places(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Verified places: document, template, first word in the block, score."""
@@ -142,14 +140,14 @@ class Index:
             docs = np.flatnonzero(present[:, ids[self.must[t]]].all(axis=1))
             if not len(docs):
                 continue
-            doc, first = self.votes(t, docs, present, hits, words).T
+            doc, first = self.votes(t, docs, hits, words).T
             # a template may hang over the ends of its document by words that are not mandatory
             places = first[:, None] + np.arange(len(ids))
             inside = (places >= words.of[doc][:, None]) & (places < words.of[doc + 1][:, None])
             equal = inside & (number[np.where(inside, places, 0)] == ids)
             weight = self.idf[ids]
             score = equal @ weight / weight.sum()
-            good = equal[:, self.must[t]].all(axis=1) & (score >= (SHARE if self.templates[t].keys else 0))
+            good = equal[:, self.must[t]].all(axis=1)
             begin = np.maximum(first, words.of[doc])
             for to, values in zip(out, (doc, np.full(len(doc), t), begin, np.minimum(score, 1.0)), strict=True):
                 to.append(values[good])
@@ -174,8 +172,7 @@ def word_frequencies(docs: DataFrame, templates=TEMPLATES, text_col: str = "text
 
         return work
 
-    id_col = next((c for c in docs.columns if c != text_col), text_col)
-    counted = map_rows(docs, "word string, n long", make, id_col, text_col)
+    counted = map_rows(docs, "word string, n long", make, None, text_col)
     return {r["word"]: r["n"] for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 BLOCK = 1 << 18
 U64 = np.uint64
@@ -216,6 +218,19 @@ def give_back() -> None:
     pa.default_memory_pool().release_unused()
 
 
+def arrow_schema(schema: str) -> pa.Schema:
+    """The Arrow types of a schema given as text."""
+    return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def record_batch(columns: dict, types: pa.Schema) -> pa.RecordBatch:
+    """Columns as a batch of the declared types, whatever their values are, or that there are none."""
+    arrays = [
+        v.cast(kind) if isinstance(v, pa.Array) else pa.array(v, kind) for v, kind in zip(columns.values(), types.types, strict=True)
+    ]
+    return pa.RecordBatch.from_arrays(arrays, names=types.names)
+
+
 def map_blocks(
     docs: DataFrame,
     schema: str,
@@ -229,17 +244,15 @@ def map_blocks(
     names the columns after the id. The id column keeps its type.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    types = arrow_schema(schema)
 
     def run(batches):
         work = make()
         for batch in batches:
             ids = batch.column(0)
             for block in blocks(batch.column(1)):
-                out = work(block)
-                yield pa.RecordBatch.from_arrays(
-                    [ids[block.rows], *(pa.array(v) for v in out.values())],
-                    names=[id_col, *out],
-                )
+                out = record_batch(work(block), types)
+                yield pa.RecordBatch.from_arrays([ids[block.rows], *out.columns], names=[id_col, *types.names])
 
     return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"`{id_col}` {kind}, {schema}"
@@ -250,11 +263,13 @@ def map_rows(
     docs: DataFrame,
     schema: str,
     make: Callable[[], Callable[[Block, pa.Array], Iterator[dict] | None]],
-    id_col: str = "doc_id",
+    id_col: str | None = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Any number of output rows per block: ``make()`` gives a function of block and ids
-    that yields dicts of columns."""
+    that yields dicts of columns, in the schema's order. Without ``id_col`` the ids are nulls.
+    """
+    types = arrow_schema(schema)
 
     def run(batches):
         work = make()
@@ -262,11 +277,12 @@ def map_rows(
             ids = batch.column(0)
             for block in blocks(batch.column(1)):
                 for out in work(block, ids[block.rows]) or ():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(v) for v in out.values()], names=list(out)
-                    )
+                    rows = record_batch(out, types)
+                    if rows.num_rows:
+                        yield rows
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    ids = F.lit(None).cast("int").alias("id") if id_col is None else F.col(id_col)
+    return docs.select(ids, F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def keep_rows(docs: DataFrame, make: Callable[[], Callable[[Block], np.ndarray]], text_col: str = "text") -> DataFrame:
