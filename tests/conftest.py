@@ -38,8 +38,3 @@ def one(spark):
         return got[0] if len(got) == 1 else got
 
     return run
-
-
-def rows(df):
-    """The rows as plain tuples, sorted."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

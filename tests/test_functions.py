@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from frames import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException

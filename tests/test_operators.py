@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

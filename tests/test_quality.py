@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
