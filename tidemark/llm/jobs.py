@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from . import pages, toxicity
 from .contamination import ORACLE as CONTAMINATION_SQL
 from .contamination import contaminated
+from .infill import ORACLE as INFILL_SQL
+from .infill import fill_in_middle, with_restored
 from .licenses import license_scan
 from .packing import pack
 from .quality import fold, quality_scores, train
@@ -98,3 +100,13 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "pages")
     return pages.main_texts(rows, pages.train(rows))
+
+
+@query
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = with_restored(fill_in_middle(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+ORACLES["op13_infill"] = INFILL_SQL
