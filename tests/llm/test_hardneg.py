@@ -1,0 +1,90 @@
+"""Hard negatives against brute force."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import hardneg
+
+SCHEMA = "vec_id long, embedding array<float>, label int, id string, part int, score double"
+
+
+def brute(rows, every=100, scale=256, count=5):
+    """(anchor, positive, rank, negative, scores) of (id, vector, label) rows."""
+    clean = {
+        (i, y, tuple(math.floor(scale * x) for x in v))
+        for i, v, y in rows
+        if i is not None and y is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    }
+    out = set()
+    for a, y, v in clean:
+        if a % every:
+            continue
+        scored = sorted({(-sum(p * q for p, q in zip(v, w, strict=False)), i, y == z) for i, z, w in clean if i != a or y != z})
+        for p, pid, _ in [s for s in scored if s[2] and s[1] != a][:count]:
+            fits = [(i, s) for s, i, same in scored if not same and 80 * -p <= 100 * -s <= 100 * -p]
+            out |= {(a, pid, r, i, -p, -s) for r, (i, s) in enumerate(fits[:count], 1)}
+    return out
+
+
+def result(spark, rows, **options):
+    df = spark.createDataFrame([(i, v, y, "x", 1, 0.5) for i, v, y in rows], SCHEMA).repartition(3)
+    got = hardneg.hard_negatives(df, F.col("id") % options.pop("every", 100) == 0, **options).collect()
+    assert len(got) == len({tuple(r) for r in got})
+    return {tuple(r) for r in got}
+
+
+def random_rows(n, width, seed, labels=4, grid=None):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, width)).astype(np.float32)
+    if grid:
+        x = np.round(x * grid) / grid
+    return [(i, [float(c) for c in v], int(y)) for i, (v, y) in enumerate(zip(x, rng.integers(0, labels, n), strict=True))]
+
+
+@pytest.mark.parametrize("blocks", [False, True])
+def test_random_vectors(spark, monkeypatch, blocks):
+    if blocks:
+        monkeypatch.setattr(hardneg, "BLOCK_ANCHORS", 4)
+        monkeypatch.setattr(hardneg, "BLOCK_ROWS", 50)
+    rows = random_rows(600, 12, 1)
+    want = brute(rows, 20)
+    assert len(want) > 100 and result(spark, rows, every=20) == want
+
+
+def test_odd_rows(spark):
+    """Nulls, ties, copies, empty and short vectors, one label of most rows, huge components."""
+    rows = random_rows(120, 4, 2, grid=1)
+    rows += [(i, [1.0, 0.0, -1.0, 2.0], 1) for i in range(200, 260)] + rows[:30] * 2
+    rows += [(300, None, 1), (301, [1.0, None, 0.0, 0.0], 2), (302, [float("nan")] * 4, 2), (303, [1.0, float("inf")], 1),
+             (None, [1.0] * 4, 1), (304, [1.0] * 4, None), (305, [], 2), (310, [2.0], 3), (20, [3.0, 0.0, 0.0, 1.0], 2)]
+    rng = random.Random(4)
+    rng.shuffle(rows)
+    want = brute(rows, 10)
+    assert len(want) > 50 and result(spark, rows, every=10) == want
+    assert result(spark, []) == set()
+    assert result(spark, [(1, [1.0], 1)]) == set() and result(spark, [(100, [1.0], 1), (2, [1.0], 2)]) == set()
+    huge = [(0, [1e6, 1.0], 1), (1, [9e5, 3.0], 1), (2, [8.9e5, 1.0], 2), (3, [8.0e5, 5.0], 2), (4, [1e5, 0.0], 2)]
+    assert result(spark, huge) == brute(huge)
+
+
+def test_bounds_shrink_the_bitmap():
+    """Rows that cannot win are given up before all dimensions are read."""
+    rng = np.random.default_rng(5)
+    spread = (100 * 0.6 ** np.arange(32)).astype(np.int64)
+    x = rng.integers(-100, 101, (5000, 32)).astype(np.int32) * np.sign(spread + 1)
+    block = hardneg.Columns(32, np.arange(5000).tobytes(), np.zeros(5000, np.int64).tobytes(), np.ascontiguousarray(x.T, np.int32).tobytes())
+    left = []
+
+    def keep(low, high):
+        stays = high >= np.sort(low)[-5]
+        left.append(int(stays.sum()))
+        return stays
+
+    alive, score = block.scan(spread, np.arange(5000), keep)
+    assert left[0] < 2500 and left[1] < 100
+    exact = x.astype(np.int64) @ spread
+    assert set(np.sort(score)[-5:]) == set(np.sort(exact)[-5:])

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from . import pages, toxicity
 from .contamination import ORACLE as CONTAMINATION_SQL
 from .contamination import contaminated
+from .hardneg import ORACLE as HARDNEG_SQL
+from .hardneg import hard_negatives
 from .infill import ORACLE as INFILL_SQL
 from .infill import fill_in_middle, with_restored
 from .licenses import license_scan
@@ -110,3 +112,13 @@ def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_infill"] = INFILL_SQL
+
+
+@query
+def op11_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+ORACLES["op11_hardneg"] = HARDNEG_SQL
