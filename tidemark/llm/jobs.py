@@ -11,6 +11,7 @@ from .hardneg import hard_negatives
 from .infill import ORACLE as INFILL_SQL
 from .infill import fill_in_middle, with_restored
 from .licenses import license_scan
+from .ngrams import ngram_scores
 from .packing import pack
 from .quality import fold, quality_scores, train
 from .repetition import repetition_rules
@@ -122,3 +123,12 @@ def op11_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_hardneg"] = HARDNEG_SQL
+
+
+@query
+def op12_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
+    scores = ngram_scores(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
