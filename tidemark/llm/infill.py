@@ -12,7 +12,8 @@ hex SHA-256 of ``<seed>:<id>``, so a document's form never depends on its batch.
 
 Defined results: null and empty texts are plain, without lines and with an empty
 output. A null id counts as an empty one. Equal rows get equal results. An empty
-table gives none. A text of any length is worked on whole, alone in its buffer.
+table gives none. A text of any length is worked on whole, alone in its buffer; a
+task holds about a quarter of a megabyte of texts at a time, or one longer text.
 Other columns, whatever their names, are not looked at.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .words import LEADS, arrow_schema, buffers, give_back
+from .words import LEADS, arrow_schema, blocks
 
 SENTINELS = ("<P>", "<S>", "<M>")
 PLAIN, PSM, SPM = "plain", "psm", "spm"
@@ -112,17 +113,12 @@ def fill_in_middle(docs: DataFrame, method: Infill | None = None, id_col: str =
 
     def run(batches):
         for batch in batches:
-            data, offsets = buffers(batch.column(2))
-            made = [
-                method.apply(key or "", data[a:b].tobytes())
-                for key, a, b in zip(batch.column(1).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
-            ]
-            columns = list(zip(*made, strict=True)) or [[]] * 5
-            arrays = [pa.array([None if v == -1 else v for v in c], kind) for c, kind in zip(columns[:4], types.types, strict=False)]
-            output = pa.array(columns[4], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, output], names=["id", *types.names])
-            del made, columns, arrays, output
-            give_back()
+            for block in blocks(batch.column(2)):
+                keys = batch.column(1)[block.rows].to_pylist()
+                columns = list(zip(*(method.apply(key or "", block.text(i)) for i, key in enumerate(keys)), strict=True))
+                arrays = [pa.array([None if v == -1 else v for v in c], kind) for c, kind in zip(columns[:4], types.types, strict=False)]
+                output = pa.array(columns[4], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0)[block.rows], *arrays, output], names=["id", *types.names])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(id_col).cast("string").alias("key"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -136,15 +132,16 @@ def with_restored(made: DataFrame, method: Infill | None = None, name: str = "re
 
     def run(batches):
         for batch in batches:
-            texts = [
-                None if o is None else method.restore(f, o)
-                for f, o in zip(batch.column(form).to_pylist(), batch.column(output).cast(pa.binary()).to_pylist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=[*batch.schema.names, name]
-            )
-            del texts
-            give_back()
+            there = batch.column(output).is_valid().to_pylist()
+            for block in blocks(batch.column(output)):
+                part = batch.slice(block.first, len(block))
+                texts = [
+                    method.restore(f, block.text(i)) if there[block.first + i] else None
+                    for i, f in enumerate(part.column(form).to_pylist())
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=[*batch.schema.names, name]
+                )
 
     return made.mapInArrow(run, StructType([*made.schema.fields, StructField(name, StringType())]))
 
