@@ -11,7 +11,7 @@ from tidemark.operators import sets
 from tidemark.plans import scd2
 from tidemark.session import matching_paths, new_folder, path_exists, shared_folder
 from tidemark.sources import catalog, periods
-from tidemark.sources.tables import HistoryStore
+from tidemark.sources.history import HistoryStore
 from tidemark.streaming.microbatch import scd2_stream
 
 

@@ -12,7 +12,8 @@ from ..operators.lookups import lookup_left_join
 from ..plans import scd2
 from ..plans.warehouse import DIM_USAGERS, SOURCES
 from ..session import new_folder
-from ..sources.tables import HistoryStore, sync_schema, upsert_by_key, write_table
+from ..sources.history import HistoryStore
+from ..sources.tables import sync_schema, upsert_by_key, write_table
 from ..streaming.microbatch import scd2_stream
 from .registry import Tables, exact_sum, registrar, rows_counted
 
@@ -185,64 +186,78 @@ def scd2_rejected(t: Tables) -> DataFrame:
     return store.rejected().groupBy("src").agg(rows_counted())
 
 
-# micro-batches: the days up to each edge, as they arrive
+# micro-batches: the days up to each edge, but a seventh of the rows comes a batch later, and
+# of the last days a batch too early: rows are late, and deletes come before what they delete
 _EDGES = ("2024-01-11", "2024-01-21", "2024-02-15")
 
 
-def _stream_step(k: int, low: str, high: str) -> str:
-    """The table after one more batch. Only the batch's own deletes count, and a key
-    whose newest row is one stays closed."""
-    rows = f"""(SELECT * FROM change_rows WHERE _ab_cdc_updated_at >= TIMESTAMP '{low}'
-      AND _ab_cdc_updated_at < TIMESTAMP '{high}')"""
+def _batch_of(time: str, kind: str) -> str:
+    """The batch of a row. ``kind`` is what an engine calls a timestamp without a zone."""
+    day = f"CASE WHEN {time} < {kind} '{_EDGES[0]}' THEN 0 WHEN {time} < {kind} '{_EDGES[1]}' THEN 1 ELSE 2 END"
+    return f"CASE WHEN event_id % 7 = 0 THEN ({day} + 1) % 3 ELSE {day} END"
+
+
+def _stream_step(k: int) -> str:
+    """The table and what is remembered of keys after one more batch."""
     return f""",
-newest{k} AS (SELECT * FROM {rows} {_NEWEST}),
-deletes{k} AS (
-  SELECT t.src_id, min(r._ab_cdc_deleted_at) FILTER (r._ab_cdc_deleted_at >= t.valid_from) AS after,
-         max(r._ab_cdc_deleted_at) AS latest
-  FROM history{k - 1} t JOIN {rows} r ON t.src_id = r.src_id
-  WHERE t.is_current AND r._ab_cdc_deleted_at IS NOT NULL GROUP BY t.src_id),
-changed{k} AS (
-  SELECT s.* FROM newest{k} s JOIN history{k - 1} t ON s.src_id = t.src_id AND t.is_current
-  WHERE (s.event_type IS DISTINCT FROM t.event_type OR s.value IS DISTINCT FROM t.value)
-    AND s._ab_cdc_updated_at > t._ab_cdc_updated_at),
-opened{k} AS (
-  SELECT s.* FROM newest{k} s WHERE s._ab_cdc_deleted_at IS NULL
-    AND s.src_id NOT IN (SELECT src_id FROM history{k - 1})
-  UNION ALL
-  SELECT s.* FROM changed{k} s LEFT JOIN deletes{k} d ON s.src_id = d.src_id
-  WHERE s._ab_cdc_deleted_at IS NULL AND (d.latest IS NULL OR d.latest < s._ab_cdc_updated_at)),
+rows{k} AS (SELECT * EXCLUDE (batch) FROM change_rows WHERE batch = {k - 1}),
+newest{k} AS (SELECT * FROM rows{k} {_NEWEST}),
+leave{k} AS (
+  SELECT src_id, max(greatest(_ab_cdc_deleted_at, _ab_cdc_updated_at)) AS gone FROM rows{k}
+  WHERE _ab_cdc_deleted_at IS NOT NULL GROUP BY src_id),
+open{k} AS (
+  SELECT t.*, greatest(t._ab_cdc_updated_at, m.seen) AS known, greatest(t.valid_from, m.seen) AS since
+  FROM history{k - 1} t LEFT JOIN memory{k - 1} m ON t.src_id = m.src_id WHERE t.is_current),
+after{k} AS (
+  SELECT t.src_id, min(r._ab_cdc_deleted_at) AS after FROM open{k} t
+  JOIN rows{k} r ON t.src_id = r.src_id AND r._ab_cdc_deleted_at >= t.since GROUP BY t.src_id),
+judged{k} AS (
+  SELECT s.*, t.src_id IS NOT NULL AS is_open, l.gone AS left_at, greatest(l.gone, m.gone) AS gone, a.after,
+         t.src_id IS NULL OR s._ab_cdc_updated_at > t.known AS fresh,
+         coalesce(l.gone >= t.known, FALSE) AS is_deleted,
+         t.src_id IS NOT NULL AND s._ab_cdc_updated_at > t.known AND (
+           s.event_type IS DISTINCT FROM t.event_type OR s.value IS DISTINCT FROM t.value
+           OR s._ab_cdc_deleted_at IS NOT NULL) AS is_changed
+  FROM newest{k} s LEFT JOIN open{k} t ON s.src_id = t.src_id LEFT JOIN leave{k} l ON s.src_id = l.src_id
+  LEFT JOIN memory{k - 1} m ON s.src_id = m.src_id LEFT JOIN after{k} a ON s.src_id = a.src_id),
 closed{k} AS (
   SELECT t.* REPLACE (
-      CASE WHEN c.src_id IS NOT NULL THEN least(c._ab_cdc_updated_at, d.after) ELSE d.after END AS valid_to,
+      CASE WHEN is_changed THEN least(s._ab_cdc_updated_at, after) ELSE coalesce(after, left_at) END AS valid_to,
       FALSE AS is_current)
-  FROM history{k - 1} t LEFT JOIN changed{k} c ON t.src_id = c.src_id
-  LEFT JOIN deletes{k} d ON t.src_id = d.src_id
-  WHERE t.is_current AND (c.src_id IS NOT NULL OR d.after IS NOT NULL)),
+  FROM history{k - 1} t JOIN judged{k} s ON s.src_id = t.src_id
+  WHERE t.is_current AND (is_changed OR is_deleted)),
+opened{k} AS (
+  SELECT * FROM judged{k} WHERE _ab_cdc_deleted_at IS NULL AND fresh
+    AND (gone IS NULL OR gone < _ab_cdc_updated_at) AND (NOT is_open OR is_changed OR is_deleted)),
 history{k} AS (
   SELECT * FROM history{k - 1} WHERE surrogate_key NOT IN (SELECT surrogate_key FROM closed{k})
-  UNION ALL SELECT * FROM closed{k} UNION ALL SELECT {_OPENED} FROM opened{k})"""
+  UNION ALL SELECT * FROM closed{k} UNION ALL SELECT {_OPENED} FROM opened{k}),
+memory{k} AS (
+  SELECT src_id, max(seen) AS seen, max(gone) AS gone FROM (
+    SELECT * FROM memory{k - 1} UNION ALL SELECT src_id, NULL, gone FROM leave{k}
+    UNION ALL SELECT src_id, _ab_cdc_updated_at, NULL FROM judged{k}
+      WHERE is_open AND fresh AND NOT is_changed AND NOT is_deleted AND _ab_cdc_deleted_at IS NULL)
+  GROUP BY src_id)"""
 
 
-_STREAM = f"""{_ROWS},
-first_rows AS (
-  SELECT * FROM change_rows WHERE _ab_cdc_updated_at < TIMESTAMP '{_EDGES[0]}' {_NEWEST}),
-history0 AS (SELECT {_OPENED} FROM first_rows WHERE _ab_cdc_deleted_at IS NULL)""" + "".join(
-    _stream_step(k, low, high) for k, (low, high) in enumerate(zip(_EDGES, _EDGES[1:], strict=False), 1)
-)
+_BATCH = _batch_of("ts", "TIMESTAMP")
+_STREAM = f"""{_ROWS.replace("SELECT", f"SELECT {_BATCH} AS batch,", 1)},
+history0 AS (SELECT {_OPENED} FROM change_rows WHERE FALSE),
+memory0 AS (SELECT src_id, _ab_cdc_updated_at AS seen, _ab_cdc_updated_at AS gone FROM change_rows WHERE FALSE)"""
+_STREAM += "".join(map(_stream_step, (1, 2, 3)))
 
 
-@job(f"{_STREAM} SELECT * FROM history{len(_EDGES) - 1}", name="scd2_stream")
+@job(f"{_STREAM} SELECT * FROM history3", name="scd2_stream")
 def scd2_stream_batches(t: Tables) -> DataFrame:
-    """The feed as micro-batches of a file stream; deletes come from the batch."""
+    """The feed as micro-batches of a file stream, some rows late and some early."""
     feed, table = new_folder(t.spark, "event-feed"), new_folder(t.spark, "event-stream")
-    store, rows = HistoryStore(t.spark, f"{table}/history"), event_rows(t)
-    time, low = F.col(scd2.UPDATED), "2000-01-01"
-    for high in _EDGES:
-        arrived = rows.where((time >= F.lit(low).cast("timestamp_ntz")) & (time < F.lit(high).cast("timestamp_ntz")))
+    store, rows = HistoryStore(t.spark, f"{table}/history"), event_feed(t)
+    number = F.expr(_batch_of(scd2.UPDATED, "timestamp_ntz"))
+    for batch in range(3):
+        arrived = scd2.with_keys(rows.where(number == batch), EVENTS)
         arrived.write.mode("append").parquet(feed)
-        stream = t.spark.readStream.schema(rows.schema).parquet(feed)
+        stream = t.spark.readStream.schema(arrived.schema).parquet(feed)
         scd2_stream(stream, store, EVENTS, f"{table}/checkpoint").awaitTermination()
-        low = high
     return store.read()
 
 

@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.keys import natural_key, surrogate_key
 from ..operators.columns import quoted
@@ -199,6 +200,27 @@ def initial(rows: DataFrame, spec: Spec, options: Options = DEFAULTS) -> DataFra
     return newest.select(*_opened(spec))
 
 
+def high_water_marks(versions: DataFrame) -> dict[str, str]:
+    """The newest change time of each source, as text; sources whose times are all unknown are left out."""
+    found = versions.groupBy("src").agg(F.max(UPDATED).cast("string").alias("mark")).collect()
+    return {r["src"] or "": r["mark"] for r in found if r["mark"] is not None}
+
+
+def newer_than_marks(
+    rows: DataFrame, marks: Mapping[str, str], per_source: Sequence[str] = ()
+) -> DataFrame:
+    """``newer_than_target`` for a target whose newest change times are known."""
+    passed = {source: F.col(UPDATED) > F.lit(mark).cast("timestamp_ntz") for source, mark in marks.items()}
+    if not per_source:
+        newest = max(marks, key=marks.get, default=None)
+        return rows.where(F.lit(False) if newest is None else passed[newest])
+    fresh = F.lit(True)
+    for source in per_source:
+        if source in passed:
+            fresh = F.when(F.col("src") == source, passed[source]).otherwise(fresh)
+    return rows.where(fresh)
+
+
 def newer_than_target(
     rows: DataFrame, target: DataFrame, per_source: Sequence[str] = ()
 ) -> DataFrame:
@@ -267,28 +289,42 @@ def changes(
         fresh = newer_than_target(valid, target, own_limits)
     else:
         fresh = valid
-    batch = latest_per_key(fresh)
-    packed = batch.select(KEY, F.struct(*batch.columns).alias("s"))
-    touching = packed.join(closing_times(rows, target, options), KEY, "full")
-    added = {
-        c: F.lit(None).cast(batch.schema[c].dataType)
-        for c in spec.business_columns
-        if c not in target.columns
-    }
-    open_versions = target.where("is_current").withColumns(added)
-    current = open_versions.select(KEY, F.struct(*version_columns(spec)).alias("t"))
-    old_keys = (
-        target.where(~F.col("is_current")).select(KEY).distinct().withColumn("_old", F.lit(True))
+    return decided(
+        touching_keys(fresh, closing_times(rows, target, options)),
+        target.where("is_current"),
+        target.where(~F.col("is_current")).select(KEY).distinct(),
+        spec,
+        options,
     )
-    joined = touching.join(current, KEY, "left").join(old_keys, KEY, "left")
+
+
+def touching_keys(fresh: DataFrame, closing: DataFrame) -> DataFrame:
+    """One row per key that a run may change: its newest fresh row ``s`` and what ``closing_times`` gives."""
+    batch = latest_per_key(fresh)
+    return batch.select(KEY, F.struct(*batch.columns).alias("s")).join(closing, KEY, "full")
+
+
+def decided(
+    touching: DataFrame,
+    current: DataFrame,
+    old_keys: DataFrame,
+    spec: Spec,
+    options: Options = DEFAULTS,
+) -> DataFrame:
+    """``changes`` from its parts, each of which has one row per key.
+
+    touching  what ``touching_keys`` gives
+    current   the current versions, at least those of the touching keys
+    old_keys  keys with closed versions, at least those of the fresh rows that have some
+    """
+    versions = _packed_versions(current, touching.schema["s"].dataType, spec)
+    known = old_keys.select(KEY).withColumn("_old", F.lit(True))
+    joined = touching.join(versions, KEY, "left").join(known, KEY, "left")
 
     has_row, alive = F.col("s").isNotNull(), F.col(f"s.{DELETED}").isNull()
     is_open = F.col("t").isNotNull()
     in_target = is_open | F.col("_old").isNotNull()
-    differs = reduce(
-        lambda a, b: a | b,
-        [~F.col(f"s.{quoted(c)}").eqNullSafe(F.col(f"t.{quoted(c)}")) for c in spec.tracked],
-    )
+    differs = _differs(spec)
     is_deleted = is_open & F.col("_closed_any").isNotNull()
     if not options.use_watermark:
         older = F.col(f"s.{UPDATED}") <= F.col(f"t.{UPDATED}")
@@ -304,6 +340,105 @@ def changes(
     )
 
 
+def _packed_versions(current: DataFrame, fresh: StructType, spec: Spec) -> DataFrame:
+    """Key and version ``t``; a column that the versions do not have yet counts as null."""
+    added = {
+        c: F.lit(None).cast(fresh[c].dataType)
+        for c in spec.business_columns
+        if c not in current.columns
+    }
+    return current.withColumns(added).select(KEY, F.struct(*version_columns(spec)).alias("t"))
+
+
+def _differs(spec: Spec) -> Column:
+    """Whether a tracked column of the new row differs from the version's."""
+    return reduce(
+        lambda a, b: a | b,
+        [~F.col(f"s.{quoted(c)}").eqNullSafe(F.col(f"t.{quoted(c)}")) for c in spec.tracked],
+    )
+
+
+# ------------------------------------------------------------ rows in any order
+
+#: What a stream remembers of a key beside its versions.
+SEEN, GONE = "seen", "gone"
+SIGHTINGS = f"{KEY} string, {SEEN} timestamp_ntz, {GONE} timestamp_ntz"
+
+
+def arrivals(
+    rows: DataFrame, current: DataFrame, sightings: DataFrame, closed_ends: DataFrame, spec: Spec
+) -> DataFrame:
+    """Per key of ``rows``: new row ``s``, version ``t``, and what follows from all rows so far.
+
+    Rows may come in any order and split into batches in any way: a key is current
+    if its newest row is live and no delete so far is as new, whichever came first.
+    ``sightings`` has per key the last delete (``gone``), known before or
+    after the rows it concerns, and the newest live row that opened no version
+    because nothing tracked differed (``seen``). ``closed_ends`` has the last
+    ``gone`` of keys closed by other loads. Flags: closes, opens, is_changed.
+    The new values of seen and gone, null where they are to stay, are
+    ``_seen_now`` and ``_gone_now``.
+    """
+    valid = rows.where(F.col(KEY).isNotNull())
+    newest = latest_per_key(valid)
+    # a delete counts from its own time or its row's change time, whichever is later
+    left = F.when(F.col(DELETED).isNotNull(), F.greatest(DELETED, UPDATED))
+    leaving = valid.groupBy(KEY).agg(F.max(left).alias("_gone_now"))
+    before = sightings.select(KEY, F.col(SEEN).alias("_seen"), F.col(GONE).alias("_gone"))
+    ends = closed_ends.select(KEY, F.col(GONE).alias("_end"))
+    versions = _packed_versions(current, newest.schema, spec)
+    # deletes close a version from its start, or from its last sighting, on
+    since = current.join(before, KEY, "left").withColumn("valid_from", F.greatest("valid_from", "_seen"))
+    closing = closing_times(valid, since.withColumn("is_current", F.lit(True)))
+    joined = (
+        newest.select(KEY, F.struct(*newest.columns).alias("s"))
+        .join(leaving, KEY)
+        .join(versions, KEY, "left")
+        .join(closing, KEY, "left")
+        .join(before, KEY, "left")
+        .join(ends, KEY, "left")
+    )
+    updated = F.col(f"s.{UPDATED}")
+    is_open = F.col("t").isNotNull()
+    alive = F.col(f"s.{DELETED}").isNull()
+    known = F.greatest(F.col(f"t.{UPDATED}"), F.col("_seen"))
+    gone = F.greatest("_gone", "_gone_now", F.when(~is_open, F.col("_end")))
+    fresh = ~is_open | ~F.coalesce(updated <= known, F.lit(False))
+    is_changed = is_open & fresh & (_differs(spec) | ~alive)
+    is_deleted = is_open & F.coalesce(F.col("_gone_now") >= known, F.lit(False))
+    survives = gone.isNull() | F.coalesce(gone < updated, F.lit(False))
+    opens = alive & fresh & survives & (~is_open | is_changed | is_deleted)
+    sighted = is_open & alive & fresh & ~is_changed & ~is_deleted
+    return joined.withColumns(
+        {
+            "is_changed": is_changed,
+            "closes": is_changed | is_deleted,
+            "opens": opens,
+            "_closed_any": F.coalesce("_closed_any", "_gone_now"),
+            "_seen_now": F.when(sighted, updated),
+        }
+    )
+
+
+def arrived(found: DataFrame, spec: Spec) -> DataFrame:
+    """The versions that ``arrivals`` close and open."""
+    out = F.array(
+        F.when(F.col("closes"), _closed(spec, end_of_version())),
+        F.when(F.col("opens"), _inserted(spec)),
+    )
+    return found.select(F.inline(F.filter(out, lambda v: v.isNotNull())))
+
+
+def is_sighted() -> Column:
+    """Whether ``arrivals`` add something to the sightings of a key."""
+    return F.col("_seen_now").isNotNull() | F.col("_gone_now").isNotNull()
+
+
+def sighting() -> list[Column]:
+    """What they add."""
+    return [F.col(KEY), F.col("_seen_now").alias(SEEN), F.col("_gone_now").alias(GONE)]
+
+
 def _closed(spec: Spec, valid_to: Column) -> Column:
     """The known version with its end set."""
     kept = [c for c in version_columns(spec) if c not in ("valid_to", "is_current")]
@@ -345,7 +480,11 @@ def delta(
     ``rows`` is the keyed collect of all sources. Both kinds come out of one
     pass over the joined changes.
     """
-    decided = changes(rows, target, spec, options)
+    return delta_of(changes(rows, target, spec, options), spec, options)
+
+
+def delta_of(decided: DataFrame, spec: Spec, options: Options = DEFAULTS) -> DataFrame:
+    """What ``changes`` or ``decided`` close and open."""
     closes = F.col("is_changed") | F.col("is_deleted")
     opens = F.col("is_new") | F.col("is_changed") | F.col("is_reopened")
     if options.delete_wins:

@@ -104,6 +104,31 @@ def child_paths(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all, on the file system its path names."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target, part = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.{uuid.uuid4().hex}.part"))
+    system = target.getFileSystem(hadoop)
+    stream = system.create(part, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not system.rename(part, target):
+        system.delete(part, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def small_enough_to_broadcast(
     df: DataFrame, max_rows: int, max_bytes: int = 64 * 1024 * 1024
 ) -> bool:

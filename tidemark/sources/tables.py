@@ -1,15 +1,11 @@
-"""Table sinks: overwrite, keyed upsert, schema sync and the SCD2 history store."""
+"""Table sinks: overwrite, schema sync and keyed upsert."""
 
 from __future__ import annotations
 
-import hashlib
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.columns import quoted
-from ..plans import scd2
-from ..session import child_paths, matching_paths, remove_path
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -34,222 +30,3 @@ def upsert_by_key(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     """``delta`` plus the target rows whose key it does not hold."""
     kept = target.join(delta.select(key), key, "left_anti")
     return sync_schema(kept, delta).unionByName(delta)
-
-
-class HistoryStore:
-    """An SCD2 table in a folder, rewritten only where versions can still change.
-
-    Closed versions never change again: they stay in the delta of the run that
-    closed them. Only the current versions are written anew::
-
-        runs/batch=<n>/is_current=<flag>/    what run n closed and opened
-        current/batch=<n>.<buckets>.<input>/ all current versions after run n
-        rejected/batch=<n>/                  rows without an id in the input of run n
-
-    The current folder is written last, and its writer's success mark makes the
-    run count. Readers follow the newest marked run, so a failed run leaves the
-    table as it was, and its repeat overwrites what it left behind.
-
-    The current versions are bucketed by key, with the number of buckets kept in
-    the folder name. Joining changes to them, and taking closed versions out of
-    them, then moves the changes to the buckets and never the table itself.
-    ``buckets`` defaults to the number of shuffle partitions and should be no
-    smaller; take more where a bucket would outgrow a task. 0 writes plain files.
-
-    The data of the newest ``snapshots`` current folders is kept, for readers that
-    began before the last run; that of older ones is removed.
-
-    One writer at a time; any number of readers.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, snapshots: int = 3):
-        if snapshots < 1:
-            raise ValueError("at least the newest snapshot has to stay")
-        self.snapshots = snapshots
-        self.spark = spark
-        self.path = path.rstrip("/")
-        if buckets is None:
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.buckets = buckets
-
-    # ------------------------------------------------------------ run folders
-
-    def _run_folder(self, batch: int) -> str:
-        return f"{self.path}/runs/batch={batch:06d}"
-
-    def _finished(self) -> dict[int, str]:
-        """Finished runs and their folders of current versions, oldest first."""
-        marks = matching_paths(self.spark, f"{self.path}/current/batch=*/_SUCCESS")
-        folders = [mark.rsplit("/", 1)[0] for mark in marks]
-        return {_batch_number(folder): folder for folder in folders}
-
-    def runs(self) -> list[int]:
-        """Finished runs, oldest first."""
-        return list(self._finished())
-
-    def _newest(self) -> tuple[int, str]:
-        done = self._finished()
-        if not done:
-            raise ValueError(f"no finished run in {self.path}")
-        return max(done.items())
-
-    # ---------------------------------------------------- bucketed current part
-
-    def _table_name(self, folder: str) -> str:
-        return f"history_{_digest(folder)}"
-
-    def _write_current(self, versions: DataFrame, batch: int, token: str | None) -> None:
-        folder = f"{self.path}/current/batch={batch:06d}.{self.buckets}.{_digest(token or '-')}"
-        if not self.buckets:
-            write_table(versions, folder)
-            return
-        table = self._table_name(folder)
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        (
-            versions.write.mode("overwrite")
-            .bucketBy(self.buckets, scd2.KEY)
-            .option("path", folder)
-            .saveAsTable(table)
-        )
-        # the folder is the table; catalogs of other sessions are told when they read it
-        self.spark.sql(f"DROP TABLE {table}")
-
-    def _scan_current(self, folder: str) -> DataFrame:
-        """The current versions, with Spark told about the buckets."""
-        buckets = int(folder.rsplit(".", 2)[1])
-        table = self._table_name(folder)
-        if buckets and self.spark.catalog.tableExists(table):
-            return self.spark.table(table)
-        plain = self.spark.read.parquet(folder)
-        if not buckets:
-            return plain
-        columns = ", ".join(
-            f"{quoted(f.name)} {f.dataType.simpleString()}" for f in plain.schema.fields
-        )
-        location = folder.replace("\\", "\\\\").replace("'", "\\'")
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-            f"CLUSTERED BY ({scd2.KEY}) INTO {buckets} BUCKETS LOCATION '{location}'"
-        )
-        return self.spark.table(table)
-
-    # ------------------------------------------------------------------ public
-
-    def read_current(self) -> DataFrame:
-        rows = self._scan_current(self._newest()[1])
-        # a literal lets a filter on the flag drop this branch, or the other, unread
-        return rows.withColumn("is_current", F.lit(True))
-
-    def read(self) -> DataFrame:
-        """All versions, under the column set of the newest run."""
-        current, last = self.read_current(), self._newest()[0]
-        closed = [
-            path
-            for path in matching_paths(self.spark, f"{self.path}/runs/batch=*/is_current=false")
-            if _batch_number(path.rsplit("/", 1)[0]) <= last
-        ]
-        if not closed:
-            return current
-        # with the schema given, no footer of an old run is read for planning, and
-        # columns that came later are null
-        stored = current.drop("is_current").schema
-        old = self.spark.read.schema(stored).parquet(*closed).withColumn("is_current", F.lit(False))
-        return current.unionByName(old)
-
-    def start(self, versions: DataFrame, token: str | None = None) -> None:
-        """First load."""
-        if self.runs():
-            raise ValueError(f"{self.path} already holds a table")
-        self._write_current(self._by_bucket(versions), 0, token)
-
-    def apply(self, delta: DataFrame, token: str | None = None) -> None:
-        """Apply a delta: keep what it closes, rewrite the current versions.
-
-        The delta is computed once; the new current versions are made from the
-        written copy.
-        """
-        last, folder = self._newest()
-        run = self._run_folder(last + 1)
-        # static: what a failed attempt left is removed, whatever the session's mode
-        (
-            delta.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("is_current")
-            .parquet(run)
-        )
-        written = self.spark.read.schema(delta.schema).parquet(run).select(*delta.columns)
-        closed = written.where(~F.col("is_current")).select(
-            scd2.KEY, F.col(scd2.VERSION_KEY).alias("_closed")
-        )
-        # a key has one current version, so at most one closed row meets it; merged by
-        # bucket even where few are closed, so that a bucket stays one file
-        current = self._scan_current(folder).join(closed.hint("merge"), scd2.KEY, "left")
-        kept = current.where(~F.col("_closed").eqNullSafe(F.col(scd2.VERSION_KEY)))
-        opened = self._by_bucket(written.where("is_current"))
-        self._write_current(sync_schema(kept, delta).unionByName(opened), last + 1, token)
-        if self.buckets:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(folder)}")
-        self._drop_snapshots()
-
-    def _drop_snapshots(self) -> None:
-        """Remove the data of old snapshots; their marks stay, as they say which runs and inputs are done."""
-        folders = list(self._finished().values())[: -self.snapshots]
-        for folder in reversed(folders):
-            data = [f for f in child_paths(self.spark, folder) if not f.endswith("/_SUCCESS")]
-            if not data:
-                break  # removed by an earlier run, as are those before it
-            for file in data:
-                remove_path(self.spark, file)
-
-    def _by_bucket(self, versions: DataFrame) -> DataFrame:
-        """One task per bucket, so that each writes one file."""
-        return versions.repartition(self.buckets, scd2.KEY) if self.buckets else versions
-
-    def has_loaded(self, token: str) -> bool:
-        """Whether a finished run carries this token."""
-        return any(f.endswith(f".{_digest(token)}") for f in self._finished().values())
-
-    def load(
-        self,
-        rows: DataFrame,
-        spec: scd2.Spec,
-        options: scd2.Options = scd2.DEFAULTS,
-        token: str | None = None,
-    ) -> int:
-        """One run of the pipeline: the first load, or the delta against the table.
-
-        ``token`` names the input: if a finished run carries it, nothing is done.
-        Rows without an id match nothing; they are kept in ``rejected/`` under the
-        run's number, and their number is returned.
-        """
-        if token is not None and self.has_loaded(token):
-            return 0
-        done = self.runs()
-        seen = Observation()
-        (
-            scd2.null_key_rows(rows)
-            .observe(seen, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
-            .parquet(self._rejected_folder(done[-1] + 1 if done else 0))
-        )
-        if done:
-            self.apply(scd2.delta(rows, self.read(), spec, options), token)
-        else:
-            self.start(scd2.initial(rows, spec, options), token)
-        return seen.get["rows"]
-
-    def _rejected_folder(self, batch: int) -> str:
-        return f"{self.path}/rejected/batch={batch:06d}"
-
-    def rejected(self) -> DataFrame:
-        """The rows without an id that the newest run left out."""
-        return self.spark.read.parquet(self._rejected_folder(self._newest()[0]))
-
-
-def _digest(text: str) -> str:
-    return hashlib.md5(text.encode()).hexdigest()
-
-
-def _batch_number(folder: str) -> int:
-    """The run number in ``.../batch=<n>`` with or without further parts."""
-    return int(folder.rsplit("batch=", 1)[1].split(".")[0])

@@ -1,11 +1,12 @@
 """The SCD2 pipeline as a ``foreachBatch`` sink.
 
 The stream's checkpoint knows which rows have been read, so no limit on the
-change time is applied to a batch: a late source is not skipped. Instead each
-row is held against its own key, and older rows than the current version's are
-ignored. Deletes are looked up in the batch, and no later batch looks at them
-again, so nothing that a batch knows to be deleted is left current: keys whose
-newest row is a delete are not opened, on the first load or later.
+change time is applied to a batch: a late source is not skipped. Rows may come in any
+order and in any batches. The store remembers the last delete of every deleted
+key, also of keys it has never held, and holds each row against it: a key is
+current if its newest row is live and no delete is as new, whichever of
+them came first. Of rows of one key with the same change time in different
+batches, the first one's stays.
 """
 
 from dataclasses import replace
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import scd2
-from ..sources.tables import HistoryStore
+from ..sources.history import HistoryStore
 
 
 def scd2_stream(
@@ -29,7 +30,7 @@ def scd2_stream(
     A batch carries the checkpoint and its number as a token, so one that is
     replayed after a failure is applied once.
     """
-    options = replace(options, use_watermark=False, skip_deleted_on_initial=True, delete_wins=True)
+    options = replace(options, use_watermark=False)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()  # its rows and its deletes are two reads
