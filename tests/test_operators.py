@@ -232,6 +232,25 @@ def test_as_many_ranges_as_asked_for(spark):
     assert got.where("x <> v - 1 or (x is null) <> (v = 0)").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["url", "struct", "array"])
+def test_values_that_begin_alike_are_split_evenly(spark, kind):
+    number = (F.col("id") * 7919) % 20_000
+    value = {
+        "url": F.concat(F.lit("https://www.example.org/a/very/long/common/path?item="), number.cast("string")),
+        "struct": F.struct(F.lit("same").alias("a"), number.alias("b")),
+        "array": F.array(F.lit(0), F.lit(0), number),
+    }[kind]
+    df = spark.range(20_000).select(value.alias("v"), F.lit(1).alias("_range"), F.lit(2).alias("_edge"), F.lit(3).alias("_planted"))
+    cut = neighbours.ranged(df, "v", 8, "number")
+    assert neighbours.largest_group(cut, ["number"]) < 2 * 20_000 / 8
+    edges = cut.groupBy("number").agg(F.min("v").alias("low"), F.max("v").alias("high")).orderBy("number").collect()
+    assert len(edges) == 8 and all(a.high < b.low for a, b in zip(edges, edges[1:], strict=False))
+    got = neighbours.with_neighbour(df, "v", name="x", ranges=8)
+    assert got.columns == [*df.columns, "x"] and got.where("_range <> 1 or _edge <> 2 or _planted <> 3").count() == 0
+    expected = df.withColumn("x", F.lag("v").over(Window.orderBy("v")))
+    assert got.exceptAll(expected).count() == 0 and got.where("x is null").count() == 1
+
+
 def test_order_lists(spark):
     from pyspark.errors import AnalysisException, ParseException
 

@@ -226,6 +226,16 @@ def dq_sequential(t: Tables) -> DataFrame:
     return quality.sequential_values(t.lineitem, "l_orderkey")
 
 
+@job("""SELECT line, previous_line FROM (
+  SELECT line, lag(line) OVER (ORDER BY line) AS previous_line
+  FROM (SELECT lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS line FROM lineitem))
+WHERE NOT (CAST(line AS BIGINT) = CAST(previous_line AS BIGINT) + 1)""")
+def dq_sequential_text(t: Tables) -> DataFrame:
+    """The same keys as text that begins alike, so that no short prefix tells them apart."""
+    lines = t.lineitem.select(F.lpad(F.col("l_orderkey").cast("string"), 12, "0").alias("line"))
+    return quality.sequential_values(lines, "line")
+
+
 @job("""SELECT minute, previous_minute FROM (
   SELECT minute, lag(minute) OVER (ORDER BY minute) AS previous_minute
   FROM (SELECT date_trunc('minute', ts) AS minute FROM events))

@@ -51,3 +51,11 @@ def group_by_ordinal(df: DataFrame, n: int) -> GroupedData:
     if not 0 < n <= len(df.columns):
         raise ValueError(f"cannot group by the first {n} of {len(df.columns)} columns")
     return df.groupBy(*[quoted(c) for c in df.columns[:n]])
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -16,7 +16,7 @@ from ..functions.dates import as_timestamp, dateadd, moment
 from ..functions.text import slugify
 from ..session import written
 from .columns import quoted
-from .neighbours import default_ranges, largest_group, range_bounds, range_of, with_neighbour
+from .neighbours import default_ranges, largest_group, ranged, with_neighbour
 from .sets import replicate, tagged_counts
 
 
@@ -343,18 +343,16 @@ def _next_bounds(ranges: DataFrame, keys: list[str], max_rows: int) -> DataFrame
                 "is_last_record": F.lead(F.lit(1)).over(order).isNull(),
             }
         )
-    bounds = range_bounds(ranges, "lower_bound", default_ranges(ranges))
-    if largest_group(ranges, [*keys, range_of(ranges, "lower_bound", bounds)]) <= max_rows:
+    cut = ranged(ranges, "lower_bound", default_ranges(ranges), "_range")
+    if largest_group(cut, [*keys, "_range"]) <= max_rows:
         return with_neighbour(
-            ranges, "lower_bound", keys, "next", "next_lower_bound", "is_last_record",
-            bounds=bounds, then_by=[then_by],
+            cut, "lower_bound", keys, "next", "next_lower_bound", "is_last_record",
+            range_column="_range", then_by=[then_by],
         )
-    return _next_bounds_from_aggregates(ranges, keys, bounds)
+    return _next_bounds_from_aggregates(ranges, keys)
 
 
-def _next_bounds_from_aggregates(
-    ranges: DataFrame, keys: list[str], bounds: list[float]
-) -> DataFrame:
+def _next_bounds_from_aggregates(ranges: DataFrame, keys: list[str]) -> DataFrame:
     """The same two columns without a window over rows, for ``_rows`` equal rows at a time.
 
     Rows sharing a lower bound follow each other, so only the one with the
@@ -366,9 +364,7 @@ def _next_bounds_from_aggregates(
         F.count(F.lit(1)).alias("_rows")
     )
     per_bound = per_row.groupBy(*keys, "lower_bound").agg(F.max("upper_bound").alias("_top"))
-    following = with_neighbour(
-        per_bound, "lower_bound", keys, "next", "_following", "_is_last", bounds=bounds
-    )
+    following = with_neighbour(per_bound, "lower_bound", keys, "next", "_following", "_is_last")
     tops = following.select(
         *[F.col(k).alias(f"_{k}") for k in keys],
         F.col("lower_bound").alias("_lower"),
