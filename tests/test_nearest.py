@@ -1,0 +1,72 @@
+"""Nearest sites against a comparison of all pairs."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.nearest import nearest
+
+
+def miles(a, b):
+    (p, q), (r, s) = [tuple(map(math.radians, x)) for x in (a, b)]
+    h = math.sin((r - p) / 2) ** 2 + math.cos(p) * math.cos(r) * math.sin((s - q) / 2) ** 2
+    return 2 * 3961 * math.asin(math.sqrt(min(h, 1.0)))
+
+
+def compare(spark, points, sites, k):
+    frames = [spark.createDataFrame(rows, "id int, lat double, lon double") for rows in (points, sites)]
+    found = nearest(*frames, k)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.point_id, {})[r.place] = (r.site_id, r.distance)
+    where = {i: (a, b) for i, a, b in sites}
+    for i, a, b in points:
+        want = sorted(miles((a, b), w) for w in where.values())[:k]
+        mine = got.pop(i)
+        assert sorted(mine) == list(range(1, len(want) + 1)) and len({s for s, _ in mine.values()}) == len(mine)
+        for place, d in enumerate(want, 1):
+            site, distance = mine[place]
+            assert abs(distance - d) < 1e-4 and abs(miles((a, b), where[site]) - d) < 1e-4
+    assert not got
+    return found
+
+
+def spread(rng, n, first=0):
+    return [(first + i, math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180)) for i in range(n)]
+
+
+@pytest.mark.parametrize("k", [1, 4])
+def test_all_over_the_globe(spark, k):
+    rng = random.Random(k)
+    edges = [(900, 90.0, 0.0), (901, 89.999, 120.0), (902, -90.0, 5.0), (903, 0.0, 180.0), (904, 0.0, -179.999), (905, 10.0, 179.9)]
+    plan = compare(spark, spread(rng, 150) + edges, spread(rng, 300) + edges, k)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_clusters_far_points_and_spots_with_many_sites(spark):
+    rng = random.Random(9)
+    town = [(i, 48 + rng.gauss(0, 0.01), 2 + rng.gauss(0, 0.01)) for i in range(400)]
+    same = [(1000 + i, 48.0, 2.0) for i in range(50)] + [(2000, -33.9, 151.2), (2001, -33.9, 151.2)]
+    points = [(0, 48.0, 2.0), (1, 48.001, 2.0), (2, -48.0, -178.0), (3, 0.0, 0.0), (4, -33.0, 151.0), *spread(rng, 30, 10)]
+    compare(spark, points, town + same, 3)
+
+
+def test_few_sites_unknown_positions_and_repeats(spark):
+    compare(spark, [(1, 5.0, 5.0), (2, -5.0, 170.0)], [(7, 1.0, 1.0), (8, 2.0, 2.0)], 5)
+    points = spark.createDataFrame([(1, 5.0, 5.0), (1, 5.0, 5.0), (2, None, 3.0), (3, float("nan"), 1.0)], "id int, lat double, lon double")
+    sites = spark.createDataFrame([(9, 5.0, 6.0), (8, 5.0, 4.0), (7, None, None)], "id int, lat double, lon double")
+    got = nearest(points, sites, 2, unit="km").collect()
+    assert [(r.point_id, r.place, r.site_id) for r in got] == [(1, 1, 8), (1, 2, 9)]
+    assert nearest(points, sites.limit(0), 2).count() == 0 and nearest(points.limit(0), sites).count() == 0
+    with pytest.raises(ValueError):
+        nearest(points, sites, 0)
+
+
+def test_many_sites(spark):
+    rng = random.Random(3)
+    frames = [spark.createDataFrame(spread(rng, n), "id int, lat double, lon double") for n in (200, 20_000)]
+    found = nearest(*frames, 1)
+    assert found.count() == 200 and found.where(F.col("distance") > 300).count() == 0

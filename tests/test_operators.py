@@ -1,12 +1,13 @@
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from frames import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import columns, lookups, neighbours, reshape, series, sets
+from tidemark.operators import columns, frequent, lookups, neighbours, reshape, series, sets
 from tidemark.session import small_enough_to_broadcast
 
 
@@ -251,6 +252,32 @@ def test_values_that_begin_alike_are_split_evenly(spark, kind):
     assert got.exceptAll(expected).count() == 0 and got.where("x is null").count() == 1
 
 
+@pytest.mark.parametrize("shape", ["skewed", "flat", "few", "empty"])
+def test_most_frequent_values_are_exact(spark, shape):
+    rng = random.Random(5)
+    values = {
+        "skewed": [f"v{int(rng.paretovariate(0.6)) % 50_000}" for _ in range(20_000)] + [None] * 300 + [""] * 40,
+        "flat": [f"v{i}" for i in range(500)] * 2,
+        "few": ["a", "b", "a", None],
+        "empty": [],
+    }[shape]
+    df = spark.createDataFrame([(v, 1) for v in values], "v string, _hash_bucket int")
+    for k, buckets in ((1, 1 << 12), (20, 1 << 12), (20, 16)):
+        order = sorted(Counter(values).items(), key=lambda c: (-c[1], c[0] is None, c[0]))
+        got = [tuple(r) for r in frequent.most_frequent(df, "v", k, buckets).collect()]
+        assert got == order[:k]
+
+
+def test_most_frequent_values_shuffle_few_of_the_others(spark):
+    rng = random.Random(6)
+    values = [f"v{int(rng.paretovariate(0.5)) % 1_000_000}" for _ in range(60_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    counted = frequent.candidate_rows(df, "v", 10, 1 << 12).distinct().count()
+    assert counted < len(set(values)) / 20
+    text = frequent.most_frequent(df, "v", 10)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Cartesian" not in text
+
+
 def test_order_lists(spark):
     from pyspark.errors import AnalysisException, ParseException
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import session
 from tidemark.operators import sets
 from tidemark.plans import scd2
-from tidemark.session import matching_paths, new_folder, path_exists, shared_folder
+from tidemark.session import matching_paths, new_folder, path_exists, remove_path, shared_folder
 from tidemark.sources import catalog, periods
 from tidemark.sources.history import HistoryStore
 from tidemark.streaming.microbatch import scd2_stream
@@ -156,6 +156,29 @@ def test_load_resumes_and_repairs_the_last_period(spark):
     assert ids(spark, path, source) == [2, 3, 4, 5, 6, 7, 8, 9]
 
 
+@pytest.mark.parametrize("per_job", [1, 3])
+def test_resuming_reads_the_map_and_no_row(spark, monkeypatch, per_job):
+    path, source = new_folder(spark, "periods"), seed(spark)
+    options = {"timestamp_field": "created_at", "start_date": "2018-01-01", "stop_date": "2018-09-01", "period": "month"}
+    periods.insert_by_period(source, path, max_periods=4, periods_per_job=per_job, **options)
+    expected = periods._zones_of_table(spark, path, "created_at")
+    assert periods._zones(spark, path, "created_at") == expected and len(expected) > 1
+    assert len(matching_paths(spark, f"{path}/_zones/*.json")) == 1
+
+    def no_reading(*_):
+        raise AssertionError("the table was read")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(periods, "_zones_of_table", no_reading)
+        written = periods.insert_by_period(source, path, periods_per_job=per_job, **options)
+    assert min(written) == 3 and ids(spark, path, source) == [2, 3, 4, 5, 6, 7, 8, 9]
+    # a run that failed after its rows and before its map is repeated from the period before
+    remove_path(spark, matching_paths(spark, f"{path}/_zones/*.json")[0])
+    again = periods.insert_by_period(source, path, periods_per_job=per_job, **options)
+    assert min(again) == max(written, key=lambda i: i if written[i] else -1) or per_job > 1
+    assert ids(spark, path, source) == [2, 3, 4, 5, 6, 7, 8, 9]
+
+
 @pytest.mark.parametrize("per_job", [1, 4])
 def test_a_period_that_is_empty_now_loses_its_rows(spark, per_job):
     path, source = new_folder(spark, "periods"), seed(spark)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import any_value, bool_or
 from ..functions.numbers import width_bucket
 from ..operators import reshape, sets
+from ..operators.frequent import most_frequent
 from .registry import Tables, exact_sum, registrar, rows_counted
 
 QUERIES: dict = {}
@@ -127,3 +128,18 @@ def intersect_distinct(t: Tables) -> DataFrame:
     return sets.intersect_distinct(
         returned, pairs.where("l_returnflag <> 'R'").drop("l_returnflag")
     )
+
+
+@job("""SELECT word AS value, count(*) AS num_rows FROM (
+  SELECT unnest(string_split(coalesce(text, ''), ' ')) AS word FROM documents)
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100""")
+def frequent_words(t: Tables) -> DataFrame:
+    """The hundred most frequent words of all documents, most of whose words occur once."""
+    words = t.documents.select(F.explode(F.split(F.coalesce("text", F.lit("")), " ")).alias("word"))
+    return most_frequent(words, "word", 100)
+
+
+@job("""SELECT l_extendedprice AS value, count(*) AS num_rows FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50""")
+def frequent_prices(t: Tables) -> DataFrame:
+    """The fifty most frequent line prices, with many ties."""
+    return most_frequent(t.lineitem, "l_extendedprice", 50)

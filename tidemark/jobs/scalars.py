@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays, dates, text, urls
 from ..functions.numbers import haversine_distance
+from ..operators.nearest import nearest
 from .registry import Tables, exact_sum, registrar, rows_counted
 
 QUERIES: dict = {}
@@ -240,3 +241,33 @@ def nearest_site(t: Tables) -> DataFrame:
             F.round(F.min("km"), 3).alias("nearest_km"),
         )
     )
+
+
+# fixed values: multiples of these fractions of a turn spread keys over the globe, poles included
+_SPREAD = {"c_custkey": (0.6180339887498949, 0.4142135623730951), "s_suppkey": (0.7320508075688772, 0.23606797749978969)}
+
+
+def _spot(key: str) -> tuple[str, str]:
+    """Latitude and longitude from a key, as SQL that both engines read."""
+    north, east = (f"({key} * CAST({part} AS DOUBLE) - floor({key} * CAST({part} AS DOUBLE)))" for part in _SPREAD[key])
+    return f"180 * {north} - 90 AS lat", f"360 * {east} - 180 AS lon"
+
+
+@job(f"""WITH points AS (SELECT c_custkey, {", ".join(_spot("c_custkey"))} FROM customer),
+sites AS (SELECT s_suppkey, {", ".join(_spot("s_suppkey"))} FROM supplier),
+measured AS (
+  SELECT c_custkey, s_suppkey, 2 * 3961 * asin(sqrt(least(1.0,
+      pow(sin(radians(s.lat - p.lat) / 2), 2)
+      + cos(radians(p.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - p.lon) / 2), 2)))) AS miles
+  FROM points p CROSS JOIN sites s)
+SELECT c_custkey AS custkey, CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY miles, s_suppkey) AS INTEGER) AS place,
+       s_suppkey AS suppkey, round(miles, 3) AS miles
+FROM measured QUALIFY place <= 3""")
+def nearest_suppliers(t: Tables) -> DataFrame:
+    """The three nearest of all suppliers for every customer."""
+    points = t.customer.selectExpr("c_custkey", *_spot("c_custkey"))
+    sites = t.supplier.selectExpr("s_suppkey", *_spot("s_suppkey"))
+    found = nearest(points, sites, 3, ("c_custkey", "lat", "lon"), ("s_suppkey", "lat", "lon"))
+    return found.select(
+        F.col("point_id").alias("custkey"), "place", F.col("site_id").alias("suppkey"), F.round("distance", 3).alias("miles")
+    )

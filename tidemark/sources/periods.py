@@ -3,10 +3,13 @@
 Periods lie on one grid from the start date on, each is written as its own
 partition by overwriting it, and the load resumes at the period that holds the
 newest loaded row. A period that was cut off is therefore written again in full.
+The newest timestamp of every loaded period is kept beside the table, in a small
+map that is replaced after each job, so that resuming reads no row.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -16,9 +19,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_timestamp, check_part, dateadd, datediff, moment
-from ..session import child_paths, matching_paths, path_exists, remove_path
+from ..session import child_paths, matching_paths, path_exists, read_text, remove_path, write_text
 
 PERIOD_COLUMN = "period_start"
+#: The folder of the map; Spark does not read folders that begin like this.
+ZONES = "_zones"
 
 
 @dataclass(frozen=True)
@@ -113,9 +118,10 @@ def insert_by_period(
     """
     spark = source.sparkSession
     limits = boundaries(spark, period, start_date, stop_date)
-    first = None if full_refresh else _resume_index(spark, path, timestamp_field, limits)
+    zones = {} if full_refresh else _zones(spark, path, timestamp_field)
+    first = _resume_index(spark, limits, zones)
     if first is None:
-        first = 0
+        first, zones = 0, {}
         empty = model(source.where(F.lit(False)))
         (
             empty.withColumn(PERIOD_COLUMN, F.lit(None).cast("timestamp_ntz"))
@@ -137,10 +143,17 @@ def insert_by_period(
             rows = rows.hint("rebalance", F.col(PERIOD_COLUMN))
         else:
             rows = rows.withColumn(PERIOD_COLUMN, limits.edge(index))
-        before = _files(spark, path, limits, index, end)
-        seen = Observation()
+        edges = _edges(spark, limits, index, end)
+        before = _files(spark, path, edges)
+        seen, newest = Observation(), []
+        if timestamp_field in rows.columns:
+            ts = as_timestamp(timestamp_field)
+            newest = [
+                F.max(F.when(F.col(PERIOD_COLUMN) == F.lit(edge).cast("timestamp_ntz"), ts)).cast("string").alias(f"n{i}")
+                for i, edge in enumerate(edges)
+            ]
         (
-            rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+            rows.observe(seen, F.count(F.lit(1)).alias("rows"), *newest)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PERIOD_COLUMN)
@@ -148,16 +161,48 @@ def insert_by_period(
         )
         written[index] = seen.get["rows"]
         # dynamic overwrite leaves a period alone that has no rows any more
-        kept = set(before) & set(_files(spark, path, limits, index, end))
+        kept = set(before) & set(_files(spark, path, edges))
         for folder in {before[file] for file in kept}:
             remove_path(spark, folder)
+        found = {edge: seen.get.get(f"n{i}") for i, edge in enumerate(edges)}
+        zones = {edge: time for edge, time in (zones | found).items() if time is not None}
+        _write_zones(spark, path, zones)
     return written
 
 
-def _files(spark: SparkSession, path: str, limits: Boundaries, index: int, end: int) -> dict[str, str]:
-    """The files of some periods, each with its folder."""
+def _edges(spark: SparkSession, limits: Boundaries, index: int, end: int) -> list[str]:
+    """The starts of some periods, as their folders are named."""
     edges = [limits.edge(i).cast("string").alias(f"e{i}") for i in range(index, end)]
-    wanted = set(spark.range(1).select(*edges).first())
+    return list(spark.range(1).select(*edges).first())
+
+
+def _zones(spark: SparkSession, path: str, timestamp_field: str) -> dict[str, str]:
+    """The newest timestamp of each loaded period that has rows."""
+    maps = matching_paths(spark, f"{path}/{ZONES}/*.json")
+    if maps:
+        return json.loads(read_text(spark, maps[-1]))
+    return _zones_of_table(spark, path, timestamp_field) if path_exists(spark, path) else {}
+
+
+def _zones_of_table(spark: SparkSession, path: str, timestamp_field: str) -> dict[str, str]:
+    """The map of a table that has none, from its timestamp column and nothing else."""
+    loaded = spark.read.schema(f"`{timestamp_field}` timestamp_ntz, {PERIOD_COLUMN} timestamp_ntz").parquet(path)
+    newest = loaded.groupBy(F.col(PERIOD_COLUMN).cast("string").alias("edge")).agg(F.max(timestamp_field).cast("string").alias("t"))
+    return {r["edge"]: r["t"] for r in newest.where("t is not null").collect()}
+
+
+def _write_zones(spark: SparkSession, path: str, zones: dict[str, str]) -> None:
+    """The map, after the rows that it tells of. The newest file counts."""
+    maps = matching_paths(spark, f"{path}/{ZONES}/*.json")
+    number = int(maps[-1].rsplit("/", 1)[1].split(".")[0]) + 1 if maps else 0
+    write_text(spark, f"{path}/{ZONES}/{number:09d}.json", json.dumps(zones))
+    for old in maps:
+        remove_path(spark, old)
+
+
+def _files(spark: SparkSession, path: str, edges: list[str]) -> dict[str, str]:
+    """The files of some periods, each with its folder."""
+    wanted = set(edges)
     folders = matching_paths(spark, f"{path}/{PERIOD_COLUMN}=*")
     own = [f for f in folders if unquote(f.rsplit(f"{PERIOD_COLUMN}=", 1)[1]) in wanted]
     return {file: folder for folder in own for file in child_paths(spark, folder)}
@@ -168,16 +213,9 @@ def read_loaded(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).drop(PERIOD_COLUMN)
 
 
-def _resume_index(
-    spark: SparkSession, path: str, timestamp_field: str, limits: Boundaries
-) -> int | None:
-    """The period holding the newest loaded row; None if nothing is loaded.
-
-    Reads the timestamp column of the target, and nothing else.
-    """
-    if not path_exists(spark, path):
+def _resume_index(spark: SparkSession, limits: Boundaries, zones: dict[str, str]) -> int | None:
+    """The period holding the newest loaded row; None if nothing is loaded."""
+    if not zones:
         return None
-    loaded = spark.read.schema(f"`{timestamp_field}` timestamp_ntz").parquet(path)
-    newest = loaded.agg(F.max(timestamp_field).alias("t"))
-    index = newest.select(period_index("t", limits).alias("n")).first()["n"]
-    return None if index is None else max(index, 0)
+    newest = spark.range(1).select(F.lit(max(zones.values())).cast("timestamp_ntz").alias("t"))
+    return max(newest.select(period_index("t", limits).alias("n")).first()["n"], 0)
