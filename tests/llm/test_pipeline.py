@@ -1,6 +1,10 @@
 """The pipeline's stages against brute force, each on its own input, and the registration."""
 
+import os
+import subprocess
+import sys
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -119,5 +123,50 @@ def test_registration():
 
     queries = entry.queries()
     assert "pipeline" in queries
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in queries) == 1
+
+
+def test_no_column_of_the_documents_is_touched(spark):
+    """Columns named like what the stages use inside, of other types, come out as they went in."""
+    texts = ["one two three four five"] * 3 + ['token = "0123456789abcdef0123456789abcdef" six seven', None, "", "eight nine ten eleven"]
+    names = ["_d", "_id", "_h", "d", "id", "h", "fp", "number", "none", "component_id", "fingerprint", "score", "found", "n_chars", "key"]
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {', '.join(f'{n} string' for n in names)}")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted((r for r in rows if r[0] in (0, 3, 4, 6)), key=repr)
+    twice = corpus_pipeline.near_duplicates(spark, docs.unionAll(docs), SF_DIR)
+    assert sorted(map(tuple, twice.collect()), key=repr) == sorted(map(tuple, kept.collect()), key=repr)
+    masked = corpus_pipeline.secrets(spark, docs, SF_DIR).collect()
+    assert [tuple(r)[2:] for r in sorted(masked)] == [r[2:] for r in rows] and "[secret]" in sorted(masked)[3].text
+    clean = corpus_pipeline.decontamination(spark, docs, SF_DIR).collect()
+    assert sorted(map(tuple, clean), key=repr) == sorted(rows, key=repr)
+
+
+def test_workers_without_the_package(tmp_path):
+    """Started from another folder, the operators' functions travel with the job."""
+    script = tmp_path / "run.py"
+    root = Path(corpus_pipeline.__file__).resolve().parent
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from pyspark.sql import functions as F
+from tidemark.session import build_session
+spark = build_session("away", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+from tidemark.llm import hardneg, infill, licenses, ngrams, pages, simhash
+docs = spark.createDataFrame([(i, f"some words of text {{i % 3}}") for i in range(6)], "doc_id long, text string")
+assert simhash.drop_near_duplicates(docs).count() == 3
+assert licenses.license_scan(docs).count() == 6
+assert infill.with_restored(infill.fill_in_middle(docs)).where("restored = output").count() < 6
+assert ngrams.ngram_scores(docs, F.lit(True)).count() == 6
+rows = spark.createDataFrame([(i, [1.0, i / 100], i % 2) for i in range(100, 130)], "vec_id long, embedding array<double>, label int")
+assert hardneg.hard_negatives(rows, F.col("id") % 100 == 0).count() > 0
+html = spark.createDataFrame([(i, "u", "<html><body><nav class=menu><a>m</a></nav><article><p>Text here.</p></article></body></html>") for i in range(4)],
+                             "page_id long, url string, html string")
+assert pages.main_texts(html, pages.train(html)).count() == 4
+print("done")
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600, check=False)
+    assert done.stdout.strip().endswith("done"), done.stderr[-3000:]

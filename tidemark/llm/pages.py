@@ -22,7 +22,6 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
-from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -30,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import Cache
+
 #: Pages to learn from at most, and blocks and words of each that training looks at.
 MAX_PAGES, MAX_BLOCKS, MAX_WORDS = 300, 64, 60
 PATH_CELLS, WORD_CELLS, MEASURES, HIDDEN = 192, 32, 5, 12
@@ -76,11 +77,19 @@ _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"
 _NAME = re.compile(r"[a-zA-Z]+")
 
 
-@lru_cache(4096)
+#: What has been found out about attributes and paths, at most so many of each.
+_names, _cells, REMEMBERED = Cache(), Cache(), 4096
+
+
 def names(attributes: str) -> tuple[str, ...]:
     """The words in an element's class, id and role."""
+    if attributes in _names:
+        return _names[attributes]
+    if len(_names) >= REMEMBERED:
+        _names.clear()
     found = [x for m in _NAMED.finditer(attributes) for x in m.groups() if x]
-    return tuple(sorted({w.lower() for x in found for w in _NAME.findall(x)}))
+    _names[attributes] = tuple(sorted({w.lower() for x in found for w in _NAME.findall(x)}))
+    return _names[attributes]
 
 
 def read_blocks(page: str) -> list[tuple[tuple, str, int]]:
@@ -224,12 +233,16 @@ def is_main(path: tuple) -> bool:
     return True
 
 
-@lru_cache(4096)
 def path_cells(path: tuple) -> tuple[int, ...]:
     """Hashed features of a tag path."""
+    if path in _cells:
+        return _cells[path]
+    if len(_cells) >= REMEMBERED:
+        _cells.clear()
     said = {f"in {tag}" for tag, _ in path} | {f"name {w}" for _, own in path for w in own}
     said |= {f"leaf {tag}" for tag, _ in path[-1:]} | {f"under {a}>{b}" for (a, _), (b, _) in zip(path, path[1:], strict=False)}
-    return tuple(sorted({crc32(x.encode()) % PATH_CELLS for x in said}))
+    _cells[path] = tuple(sorted({crc32(x.encode()) % PATH_CELLS for x in said}))
+    return _cells[path]
 
 
 def block_vectors(found: list[tuple[tuple, str, int]], words: int | None = None) -> np.ndarray:

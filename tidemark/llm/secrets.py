@@ -160,11 +160,13 @@ def redact(
 ) -> DataFrame:
     """The documents with every run of found spans replaced by a mark.
 
-    ``size_col``, where the table has it, gets the new length of a changed text.
+    ``size_col``, where the table has it as a whole number, gets the new length of a changed text.
     Texts without a span, nulls included, stay as they are.
     """
     at = docs.columns.index(text_col)
-    size_at = docs.columns.index(size_col) if size_col in docs.columns else None
+    whole = ("bigint", "int", "smallint")
+    sized = size_col in docs.columns and docs.schema[size_col].dataType.simpleString() in whole
+    size_at = docs.columns.index(size_col) if sized else None
 
     def run(batches):
         encoding = load_encoding(vocabulary or default_vocabulary())

@@ -17,7 +17,6 @@ a component of null ids only has the id null. Repeated rows get equal results.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .components import components, unite
 from .tables import numbered, saved
-from .words import LOWER, SOLID, Block, map_blocks, ragged
+from .words import LOWER, SOLID, Block, Cache, map_blocks, ragged
 
 #: The Golay code: length, covering radius, generator polynomial.
 LENGTH, RADIUS, GENERATOR = 23, 3, 0b101011100011
@@ -145,12 +144,17 @@ class Covering:
         return np.concatenate(rows), np.concatenate(anchors), np.concatenate(homes)
 
 
-@lru_cache(2)
+_near = Cache()
+
+
 def near_words(threshold: int) -> np.ndarray:
     """All 64-bit words of 1 to that many bits."""
+    if threshold in _near:
+        return _near[threshold]
     bits = np.uint64(1) << np.arange(64, dtype=np.uint64)
     out = [np.array([np.bitwise_or.reduce(bits[list(c)]) for c in combinations(range(64), k)]) for k in range(1, threshold + 1)]
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    _near[threshold] = np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return _near[threshold]
 
 
 def links_in_order(group: np.ndarray, prints: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
@@ -272,8 +276,9 @@ def drop_near_duplicates(
     docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One document of each group, the one of the smallest id; of equal rows one stays."""
-    rows, shared = numbered(docs, id_col, text_col)
-    found = simhash_near_duplicates(rows, shingle, max_bits, "_d", text_col)
-    first = found.where("_d = component_id").select("_d").distinct()
-    kept = rows.join(first, "_d", "left_semi")
-    return (kept.dropDuplicates(["_d"]) if shared else kept).select(*docs.columns)
+    rows, number, shared = numbered(docs, id_col, text_col)
+    texts = rows.select(F.col(number).alias("d"), F.col(text_col).alias("text"))
+    found = simhash_near_duplicates(texts, shingle, max_bits, "d", "text")
+    first = found.where("d = component_id").select(F.col("d").alias(number)).distinct()
+    kept = rows.join(first, number, "left_semi")
+    return (kept.dropDuplicates([number]) if shared else kept).drop(number)

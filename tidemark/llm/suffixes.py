@@ -454,9 +454,9 @@ def repeated_spans(rows: DataFrame, packed_rows: DataFrame, least: int) -> DataF
 
 def remove_repeats(docs: DataFrame, least: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, ``kept`` (bytes), kept_sha256."""
-    rows, _ = numbered(docs, id_col, text_col)
+    rows, number, _ = numbered(docs, id_col, text_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = rows.select(F.col(id_col).alias("id"), F.col("_d").alias("d"), text.alias("text"))
+    rows = rows.select(F.col(id_col).alias("id"), F.col(number).alias("d"), text.alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     packed_rows = rows.mapInArrow(packed, f"id {kind}, d long, packed binary")
     spans = repeated_spans(rows, packed_rows, least)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.columns import unused
 from ..session import new_folder
 
 
@@ -27,21 +28,25 @@ def salted_join(rows: DataFrame, by_key: DataFrame, key: str, spread: str, salts
     return left.join(right, [key, "_salt"]).drop("_salt")
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
-    """The rows with ``_d``, a number that orders documents as their ids do, and whether rows may share one.
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str, bool]:
+    """The rows with a number that orders documents as their ids do, its name, and whether rows may share one.
 
-    Where ids are whole numbers, unique and never null, it is the id. Else null
+    The name is one that the table does not have. Where ids are whole numbers,
+    unique and never null, the number is the id. Else null
     ids come last, different texts of one id are ordered by their hash, and rows
     equal in id and text share a number.
     """
+    number, own, text_hash = (unused(docs, name) for name in ("_d", "_id", "_h"))
     whole = docs.schema[id_col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
-    if whole and docs.groupBy(id_col).count().where((F.col("count") > 1) | F.col(id_col).isNull()).isEmpty():
-        return docs.withColumn("_d", F.col(id_col).cast("bigint")), False
-    rows = docs.withColumns({"_id": F.col(id_col), "_h": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))})
-    keys = rows.select("_id", "_h").distinct().withColumn("none", F.col("_id").isNull())
+    counts = docs.groupBy(F.col(id_col).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    if whole and counts.where((F.col("n") > 1) | F.col("id").isNull()).isEmpty():
+        return docs.withColumn(number, F.col(id_col).cast("bigint")), number, False
+    rows = docs.withColumns({own: F.col(id_col), text_hash: F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))})
+    keys = rows.select(F.col(own).alias("id"), F.col(text_hash).alias("h")).distinct().withColumn("none", F.col("id").isNull())
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = keys.repartitionByRange(parts, "none", "_id", "_h").sortWithinPartitions("none", "_id", "_h")
+    keys = keys.repartitionByRange(parts, "none", "id", "h").sortWithinPartitions("none", "id", "h")
     # ranges are numbered in their order
-    keys = saved(keys.select("_id", "_h", F.monotonically_increasing_id().alias("_d")), "document-numbers")
-    same = F.col("a._id").eqNullSafe(F.col("b._id")) & (F.col("a._h") == F.col("b._h"))
-    return rows.alias("a").join(keys.alias("b"), same).select("a.*", "b._d").drop("_id", "_h"), True
+    keys = saved(keys.select("id", "h", F.monotonically_increasing_id().alias("d")), "document-numbers")
+    keys = keys.select(F.col("id").alias(f"{own}k"), F.col("h").alias(f"{text_hash}k"), F.col("d").alias(number))
+    same = rows[own].eqNullSafe(keys[f"{own}k"]) & (rows[text_hash] == keys[f"{text_hash}k"])
+    return rows.join(keys, same).drop(own, text_hash, f"{own}k", f"{text_hash}k"), number, True

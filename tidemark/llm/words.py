@@ -48,14 +48,14 @@ _BASE = U64(0x9E3779B97F4A7C15)
 _BASE_INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-class _Cache(dict):
-    """Is empty again after a journey to a worker."""
+class Cache(dict):
+    """Is empty again after a journey to a worker, which may know nothing of this module."""
 
     def __reduce__(self):
         return dict, ()
 
 
-_powers = _Cache()
+_powers = Cache()
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
