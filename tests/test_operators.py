@@ -315,6 +315,18 @@ def test_listagg_puts_null_keys_last(spark):
     assert text(order_by="s desc", distinct=True) == "n,c,b,a"
 
 
+def test_listagg_in_runs_is_the_list_of_the_whole(spark):
+    """One group holds nearly all rows; nulls in order and measure, ties, and columns named like the runs."""
+    rng = random.Random(8)
+    data = [("big" if rng.random() < 0.95 else "small", rng.choice([None, *range(400)]), rng.choice([None, "x", "y", f"v{i}"])) for i in range(8000)]
+    df = spark.createDataFrame([*data, ("none", 1, None)], "_run string, o int, _piece string")
+    for order in (None, "o", "o desc nulls last", "o nulls first, length(_piece) desc"):
+        whole = rows(reshape.listagg_by(df, "_run", "_piece", order_by=order))
+        assert rows(reshape.listagg_by(df, "_run", "_piece", order_by=order, runs=7)) == whole
+    assert rows(reshape.listagg_by(df, "_run", "_piece", distinct=True, runs=3)) == rows(reshape.listagg_by(df, "_run", "_piece", distinct=True))
+    assert reshape.listagg_by(df.limit(0), "_run", "_piece", runs=3).count() == 0
+
+
 def test_value_lists_of_empty_tables(spark):
     df = spark.createDataFrame([("a", 1), ("b", 9), ("a", 5)], "v string, n int")
     assert reshape.column_value_list(df, "v", "max(n) desc") == ["b", "a"]

@@ -221,3 +221,30 @@ def test_suite_reads_the_table_once_for_all_aggregate_checks(spark, tmp_path):
     frame(spark, "id int, v string", (1, "a")).write.parquet(path)
     run = quality.Suite(spark.read.parquet(path)).not_null("id").not_null("v").not_constant("id").run()
     assert run._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_checks_of_one_key_share_one_exchange(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    children = spark.createDataFrame(
+        [(1, "a", True), (1, "b", False), (2, "a", True), (None, "a", True), (None, "a", True), (7, "z", True), (7, "z", False), (7, "z", True)],
+        "k int, v string, ok boolean",
+    )
+    parents = spark.createDataFrame([(1, 5), (1, 5), (2, 0), (None, 9)], "id int, w int")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        by_key = (
+            quality.Suite(children).unique("k").unique("k", "ok", "ok_once")
+            .relationships("has_parent", "k", parents, "id").relationships("has_light", "k", parents, "id", "ok", "w < 5")
+        )
+        report = by_key.run()
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        # one for the children, one for each parent's keys, one for the final sums
+        assert plan.count("Exchange hashpartitioning(key0") == 1 and plan.count("Exchange hashpartitioning(parent") == 2
+        assert {tuple(r) for r in report.collect()} == {("unique_k", 2), ("ok_once", 1), ("has_parent", 3), ("has_light", 3)}
+        assert quality.unique(children, "k").count() == 2 and quality.relationships(children, "k", parents, "id").count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    pairs = quality.Suite(children).unique_combination(["k", "v"]).unique_combination(["v"], name="v_once").run()
+    assert {tuple(r) for r in pairs.collect()} == {("unique_k_v", 2), ("v_once", 2)}
+    assert {tuple(r) for r in quality.Suite(children.limit(0)).unique("k").relationships("p", "k", parents, "id").run().collect()} == {
+        ("unique_k", 0), ("p", 0)}

@@ -143,3 +143,12 @@ def frequent_words(t: Tables) -> DataFrame:
 def frequent_prices(t: Tables) -> DataFrame:
     """The fifty most frequent line prices, with many ties."""
     return most_frequent(t.lineitem, "l_extendedprice", 50)
+
+
+@job("""SELECT l_linestatus, md5(string_agg(l_orderkey || '-' || l_linenumber, ',' ORDER BY l_shipdate DESC, l_orderkey || '-' || l_linenumber)) AS digest
+FROM lineitem GROUP BY 1""")
+def listagg_runs(t: Tables) -> DataFrame:
+    """All lines by shipping date in two lists, each put together from sorted runs."""
+    lines = t.lineitem.select("l_linestatus", "l_shipdate", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"))
+    lists = reshape.listagg_by(lines, "l_linestatus", "line", order_by="l_shipdate desc", runs=16)
+    return lists.select("l_linestatus", F.md5("listagg").alias("digest"))

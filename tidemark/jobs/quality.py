@@ -284,7 +284,7 @@ UNION ALL SELECT 'recency_o_orderdate', CAST(max(o_orderdate) < TIMESTAMP '2001-
 UNION ALL SELECT 'unique_o_custkey', (SELECT count(*) FROM (SELECT o_custkey FROM o GROUP BY 1 HAVING count(*) > 1))
 UNION ALL SELECT 'customer_exists', count(*) FILTER (o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)) FROM o""")
 def dq_suite(t: Tables) -> DataFrame:
-    """Nine single-aggregate checks in one pass over orders, and two that need a shuffle."""
+    """Nine single-aggregate checks in one pass over orders, and two of a key that share one grouping."""
     orders = t.orders
     return (
         quality.Suite(orders)
@@ -297,13 +297,8 @@ def dq_suite(t: Tables) -> DataFrame:
         .not_constant("o_orderstatus")
         .not_null_proportion("o_custkey", 1.0)
         .recency("o_orderdate", "month", 1, "2002-01-01")
-        .failing_rows("unique_o_custkey", quality.unique(orders, "o_custkey"))
-        .failing_rows(
-            "customer_exists",
-            quality.relationships_where(
-                orders, "o_custkey", t.customer, "c_custkey", to_condition="c_acctbal >= 0"
-            ),
-        )
+        .unique("o_custkey")
+        .relationships("customer_exists", "o_custkey", t.customer, "c_custkey", to_condition="c_acctbal >= 0")
         .run()
     )
 
@@ -324,3 +319,29 @@ UNION ALL SELECT 'versions_do_not_overlap', (SELECT count(*) FROM (
 def dq_history(t: Tables) -> DataFrame:
     """The checks every history table must pass, on the event history."""
     return checks.history_checks(history.scd2_apply(t)).run()
+
+
+@job("""SELECT 'unique_l_orderkey' AS check_name, count(*) AS failures
+FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'one_returned_line', count(*) FROM (
+  SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'order_exists', count(*) FROM lineitem
+  WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
+UNION ALL SELECT 'shipped_order_exists', count(*) FROM lineitem
+  WHERE l_shipdate >= TIMESTAMP '1997-01-01' AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 50000)
+UNION ALL SELECT 'unique_l_orderkey_l_linenumber', count(*) FROM (
+  SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)""")
+def dq_suite_keys(t: Tables) -> DataFrame:
+    """Four checks of the order key from one grouping of the lines, and one of key and number."""
+    return (
+        quality.Suite(t.lineitem)
+        .unique("l_orderkey")
+        .unique("l_orderkey", "l_returnflag = 'R'", "one_returned_line")
+        .relationships("order_exists", "l_orderkey", t.orders, "o_orderkey", to_condition="o_orderstatus <> 'P'")
+        .relationships(
+            "shipped_order_exists", "l_orderkey", t.orders, "o_orderkey",
+            "l_shipdate >= timestamp_ntz'1997-01-01'", "o_totalprice > 50000",
+        )
+        .unique_combination(["l_orderkey", "l_linenumber"])
+        .run()
+    )

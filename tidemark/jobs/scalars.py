@@ -271,3 +271,16 @@ def nearest_suppliers(t: Tables) -> DataFrame:
     return found.select(
         F.col("point_id").alias("custkey"), "place", F.col("site_id").alias("suppkey"), F.round("distance", 3).alias("miles")
     )
+
+
+@job("""SELECT o_orderstatus, count(*) FILTER (o_orderdate < CAST(now() AS TIMESTAMP)) AS num_past,
+count(*) FILTER (o_orderdate >= CAST(now() AS TIMESTAMP) - INTERVAL 1 DAY) AS num_recent, TRUE AS is_utc_near FROM orders GROUP BY 1""")
+def clock_now(t: Tables) -> DataFrame:
+    """Orders held against the current time, in the session's zone and in UTC."""
+    now, utc = dates.current_timestamp(), dates.current_timestamp_in_utc()
+    recent = F.col("o_orderdate") >= dates.dateadd("day", -1, now)
+    near = dates.datediff(now, utc, "hour").between(-14, 14)
+    return t.orders.groupBy("o_orderstatus").agg(
+        F.count_if(F.col("o_orderdate") < now).alias("num_past"), F.count_if(recent).alias("num_recent"),
+        F.bool_and(near).alias("is_utc_near"),
+    )

@@ -7,6 +7,7 @@ which computes all of them in a single pass.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -394,10 +395,21 @@ def _next_bounds_from_aggregates(ranges: DataFrame, keys: list[str]) -> DataFram
     return joined.select(*keys, "lower_bound", "upper_bound", F.inline(both)).where("_rows > 0")
 
 
+@dataclass(frozen=True)
+class _KeyCheck:
+    """A check that looks at the rows of one key value, or combination, together."""
+
+    name: str
+    where: str | Column | None
+    parents: DataFrame | None = None
+    nulls: bool = False
+
+
 class Suite:
     """Several checks of one table, reported as (check_name, failures) rows.
 
-    Checks that are a single aggregate share one pass over the table; the rest
+    Checks that are a single aggregate share one pass over the table, and checks of one
+    key (unique, relationships) share one grouping by it; the rest
     contribute the number of their failing rows.
     """
 
@@ -405,6 +417,7 @@ class Suite:
         self.df = df
         self._aggregates: dict[str, Column] = {}
         self._frames: dict[str, DataFrame] = {}
+        self._keyed: dict[tuple[str, ...], list[_KeyCheck]] = {}
 
     def aggregate(self, name: str, failures: Column) -> Suite:
         """``failures``: any aggregate giving the number of failures."""
@@ -447,6 +460,58 @@ class Suite:
         threshold = dateadd(datepart, -interval, moment(now))
         return self.aggregate(f"recency_{column}", (F.max(column) < threshold).cast("int"))
 
+    def unique(self, column: str, where=None, name: str | None = None) -> Suite:
+        """Counts non-null values that occur more than once among the rows that meet the condition."""
+        return self._by_key((column,), _KeyCheck(name or f"unique_{column}", where))
+
+    def unique_combination(self, columns: Sequence[str], where=None, name: str | None = None) -> Suite:
+        """Counts combinations held by several rows; nulls count as equal."""
+        check = _KeyCheck(name or f"unique_{'_'.join(columns)}", where, nulls=True)
+        return self._by_key(tuple(columns), check)
+
+    def relationships(
+        self, name: str, column: str, to: DataFrame, field: str, from_condition=None, to_condition=None
+    ) -> Suite:
+        """Counts rows with a non-null key that has no parent."""
+        parents = _filtered(to, to_condition).select(F.col(field).alias("parent")).distinct()
+        return self._by_key((column,), _KeyCheck(name, from_condition, parents))
+
+    def _by_key(self, columns: tuple[str, ...], check: _KeyCheck) -> Suite:
+        self._keyed.setdefault(columns, []).append(check)
+        return self
+
+    def _key_report(self, columns: tuple[str, ...], checks: list[_KeyCheck]) -> DataFrame:
+        """All checks of one key from one grouping of the table.
+
+        Rows are counted per key value and check before they move, so a hot value is one
+        row per task; parents are joined to the groups where they lie.
+        """
+        keys = [f"key{i}" for i in range(len(columns))]
+        rows = self.df.select(
+            *[F.col(quoted(c)).alias(k) for c, k in zip(columns, keys, strict=True)],
+            *[
+                (F.lit(True) if c.where is None else _expression(c.where)).alias(f"meets{i}")
+                for i, c in enumerate(checks)
+            ],
+        )
+        groups = rows.groupBy(*keys).agg(*[F.count_if(F.col(f"meets{i}")).alias(f"n{i}") for i in range(len(checks))])
+        known = F.col(keys[0]).isNotNull()
+        failures = []
+        for i, check in enumerate(checks):
+            if check.parents is None:
+                failures.append(F.count_if((F.col(f"n{i}") > 1) & (F.lit(True) if check.nulls else known)))
+                continue
+            found = check.parents.select(F.col("parent").alias(f"parent{i}"))
+            groups = groups.join(found, groups[keys[0]] == found[f"parent{i}"], "left")
+            orphan = known & F.col(f"parent{i}").isNull()
+            failures.append(F.coalesce(F.sum(F.when(orphan, F.col(f"n{i}"))), F.lit(0).cast("long")))
+        one = groups.agg(*[f.cast("long").alias(f"c{i}") for i, f in enumerate(failures)])
+        pairs = [
+            F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("failures"))
+            for i, c in enumerate(checks)
+        ]
+        return one.select(F.inline(F.array(*pairs)))
+
     def failing_rows(self, name: str, failing: DataFrame) -> Suite:
         self._frames[name] = failing
         return self
@@ -461,6 +526,7 @@ class Suite:
                 for i, n in enumerate(names)
             ]
             parts.append(one.select(F.inline(F.array(*pairs))))
+        parts += [self._key_report(columns, checks) for columns, checks in self._keyed.items()]
         for name, failing in self._frames.items():
             parts.append(
                 failing.agg(F.count(F.lit(1)).alias("failures")).select(

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from ..functions import orders
 from ..functions.aggregates import aggregate, compare, listagg
 from ..functions.text import slugify
-from .columns import filtered_columns, quoted
+from ..session import written
+from .columns import filtered_columns, quoted, unused
 
 
 def tie_breakers(df: DataFrame, used: Iterable[str] = ()) -> list[Column]:
@@ -136,12 +137,18 @@ def listagg_by(
     limit: int | None = None,
     distinct: bool = False,
     alias: str = "listagg",
+    runs: int | None = None,
 ) -> DataFrame:
     """Text aggregation that collects only the rows it prints.
 
     ``order_by`` is an order list as in ``deduplicate``; ties fall to the values.
     Copies (``distinct``) and rows past ``limit`` are dropped by partial
     aggregation or a ranked window before any group is gathered.
+
+    ``runs`` is for groups too large for a task to sort: rows are dealt by their
+    place in the order to that many runs, each run's text is made on its own, and a group's
+    texts are put one after the other. Then no task holds more of a group
+    than a run, or its finished text.
     """
     groups = [group_by] if isinstance(group_by, str) else list(group_by)
     items = [] if order_by is None else [order_by] if isinstance(order_by, str) else list(order_by)
@@ -157,7 +164,15 @@ def listagg_by(
         rank = Window.partitionBy(*groups).orderBy(*ranked, F.col(quoted(measure)).asc_nulls_last())
         rows = rows.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= limit)
     by = [replace(k, what=f"_order{i}") for i, k in enumerate(order)]
-    return rows.groupBy(*groups).agg(listagg(measure, delimiter, by or None, limit).alias(alias))
+    if runs is None or limit is not None:
+        return rows.groupBy(*groups).agg(listagg(measure, delimiter, by or None, limit).alias(alias))
+    ranked = [k.sorted(F.col(f"_order{i}")) for i, k in enumerate(order)]
+    run, piece = unused(rows, "_run"), unused(rows, "_piece")
+    dealt = rows.repartitionByRange(runs, *ranked, F.col(quoted(measure)).cast("string").asc_nulls_last())
+    # the sampled edges differ from one evaluation to the next, so the numbers are kept
+    dealt = written(dealt.withColumn(run, F.spark_partition_id()), "runs")
+    pieces = dealt.groupBy(*groups, run).agg(listagg(measure, delimiter, by or None).alias(piece))
+    return pieces.groupBy(*groups).agg(listagg(piece, delimiter, run).alias(alias))
 
 
 def column_values(
