@@ -8,10 +8,10 @@ The target holds what was known before 2024-01-16.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookups import lookup_left_join
+from ..operators.lookups import as_of_join, lookup_left_join, value_spans
 from ..plans import scd2
 from ..plans.warehouse import DIM_USAGERS, SOURCES
-from ..session import new_folder
+from ..session import new_folder, written
 from ..sources.history import HistoryStore
 from ..sources.tables import sync_schema, upsert_by_key, write_table
 from ..streaming.microbatch import scd2_stream
@@ -405,6 +405,97 @@ def orders_by_segment(t: Tables) -> DataFrame:
     )
 
 
+# A lookup that changes: every signup sets the label of a group of its source.
+_LABELS = """
+labels AS (
+  SELECT 'R' || (user_id % 5) AS lookup_src, event_id % 23 AS lookup_key, ts AS since, max(value) AS label
+  FROM events WHERE event_type = 'signup' GROUP BY ALL),
+states AS (
+  SELECT * FROM labels WINDOW w AS (PARTITION BY lookup_src, lookup_key ORDER BY since)
+  QUALIFY row_number() OVER w = 1 OR label IS DISTINCT FROM lag(label) OVER w),
+spans AS (
+  SELECT *, lead(since) OVER (PARTITION BY lookup_src, lookup_key ORDER BY since) AS until FROM states)"""
+_GROUPED = """
+grouped AS (
+  SELECT 'R' || (user_id % 5) || '_' || (user_id * 31 + event_id % 31) AS src_id,
+         user_id * 31 + event_id % 31 AS id, event_type, 'R' || (user_id % 5) AS src, event_id % 23 AS group_id,
+         ts AS at_time, CASE WHEN event_type = 'error' THEN ts END AS gone, event_id
+  FROM events)"""
+_HOLDS = """LEFT JOIN spans ON src = lookup_src AND group_id = lookup_key
+  AND since <= at_time AND (until IS NULL OR at_time < until)"""
+_FOLLOWED = f"""
+WITH {_LABELS},{_GROUPED},
+lasting AS (
+  SELECT *, lead(at_time) OVER (PARTITION BY src_id ORDER BY at_time, event_id) AS next_at FROM grouped),
+moments AS (
+  SELECT * EXCLUDE (next_at) FROM lasting
+  UNION ALL
+  SELECT l.* EXCLUDE (next_at) REPLACE (since AS at_time) FROM lasting l
+  JOIN spans ON src = lookup_src AND group_id = lookup_key
+    AND since > at_time AND (next_at IS NULL OR since < next_at)
+  WHERE gone IS NULL),
+change_rows AS (
+  SELECT src_id, id, event_type, label AS value, src, at_time AS _ab_cdc_updated_at, gone AS _ab_cdc_deleted_at
+  FROM moments {_HOLDS})"""
+
+LABELLED = scd2.Spec(
+    name="labelled_events",
+    entity="events",
+    sources=EVENTS.sources,
+    id_column="id",
+    columns=EVENTS.columns,
+    tracked=EVENTS.tracked,
+    lookups={"value": scd2.Lookup("groups", on="group_id", key="ID", value="label")},
+)
+
+
+def _labels(t: Tables) -> DataFrame:
+    return t.events.where("event_type = 'signup'").select(
+        F.concat(F.lit("R"), (F.col("user_id") % 5).cast("string")).alias("src"),
+        (F.col("event_id") % 23).alias("ID"),
+        F.col("value").alias("label"),
+        F.col("ts").alias(scd2.UPDATED),
+    )
+
+
+def labelled_rows(t: Tables) -> DataFrame:
+    """The event feed with the labels of its groups, whose changes it follows."""
+    raw = {
+        "events": event_feed(t).withColumn("group_id", F.col("event_id") % 23),
+        "groups": _labels(t),
+    }
+
+    def read(table: str) -> DataFrame:
+        source, entity = table.split("_", 1)
+        return raw[entity].where(F.col("src") == source.upper())
+
+    return scd2.with_keys(scd2.collect_following(LABELLED, read), LABELLED)
+
+
+@job(f"WITH {_LABELS},{_GROUPED} SELECT event_id, src, group_id, at_time, label FROM grouped {_HOLDS}")
+def lookup_as_of(t: Tables) -> DataFrame:
+    """Every event with the label its group had at that time."""
+    spans = value_spans(_labels(t), ["src", "ID"], scd2.UPDATED, ["label"])
+    events = event_feed(t).select("event_id", "src", (F.col("event_id") % 23).alias("group_id"), F.col(scd2.UPDATED).alias("at_time"))
+    return as_of_join(events, spans, {"src": "src", "group_id": "ID"}, "at_time", {"label": "label"}, since=scd2.UPDATED)
+
+
+@job(f"{_FOLLOWED} SELECT * FROM change_rows")
+def scd2_lookup_changes(t: Tables) -> DataFrame:
+    """The events, and a copy of each for every change of its label while it was the newest."""
+    return labelled_rows(t)
+
+
+@job(f"{_steps().replace(_ROWS, _FOLLOWED)} SELECT * FROM history")
+def scd2_lookup_history(t: Tables) -> DataFrame:
+    """First load and one incremental run, where changed labels make new versions."""
+    store = HistoryStore(t.spark, new_folder(t.spark, "labelled-history"))
+    rows = written(labelled_rows(t), "labelled-rows")
+    store.load(before_split(rows), LABELLED)
+    store.load(rows, LABELLED)
+    return store.read()
+
+
 _UPSERT_PARTS = """
 WITH target AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
 delta AS (SELECT * REPLACE ('U' AS o_orderstatus) FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01')

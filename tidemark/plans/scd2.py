@@ -20,6 +20,8 @@ from pyspark.sql.types import StructType
 
 from ..functions.keys import natural_key, surrogate_key
 from ..operators.columns import quoted
+from ..operators.lookups import as_of_join, value_spans
+from ..operators.neighbours import with_neighbour
 from ..operators.reshape import tie_breakers
 
 UPDATED = "_ab_cdc_updated_at"
@@ -140,6 +142,78 @@ def collect(spec: Spec, read: Callable[[str], DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(s) for s in spec.sources])
 
 
+def collect_following(spec: Spec, read: Callable[[str], DataFrame]) -> DataFrame:
+    """``collect`` where a changed lookup value changes the rows that use it.
+
+    The raw lookup tables carry change times and may hold several states of a
+    key. A row gets the values as of its own change time. While it is the newest
+    of its id and not deleted, every change of a value it uses adds a copy of it,
+    changed at the time of the lookup's row, with the values as of then; the delta
+    makes a new version of it, like of any change. Deleted lookup rows keep their
+    value. A row of unknown time, and one that such a row
+    follows, get no copies, since nobody knows how long they were the newest.
+
+    The copies are found by joins on source and lookup key, with the change times
+    as a range condition; a limit on the change time reaches the raw rows of one
+    branch and the lookup rows of the other.
+    """
+    used = {output: f"_on_{output}" for output in spec.lookups}
+    spans = {output: _lookup_spans(spec, read, output) for output in spec.lookups}
+
+    def one(source: str) -> DataFrame:
+        remaps = spec.remaps.get(source, {})
+        columns = [
+            (remaps[output].apply(F.col(quoted(raw))) if output in remaps else F.col(quoted(raw))).alias(output)
+            for output, raw in spec.columns.items()
+            if output not in spec.lookups
+        ]
+        return read(f"{source.lower()}_{spec.entity}").select(
+            *columns,
+            F.lit(source).alias("src"),
+            F.col(UPDATED).cast("timestamp_ntz").alias(UPDATED),
+            F.col(DELETED).cast("timestamp_ntz").alias(DELETED),
+            *[F.col(quoted(spec.lookups[output].on)).alias(name) for output, name in used.items()],
+        )
+
+    rows = reduce(DataFrame.unionByName, [one(s) for s in spec.sources])
+    # of rows of one id and time, the one that latest_per_key prefers comes last
+    order = [
+        F.col(quoted(f.name)).desc_nulls_first() for f in rows.schema.fields if f.name not in (spec.id_column, UPDATED)
+    ]
+    followed = with_neighbour(
+        rows, UPDATED, ["src", spec.id_column], "next", "_next", missing="_last", then_by=order
+    ).where(F.col(DELETED).isNull() & F.col(UPDATED).isNotNull() & (F.col("_last") | F.col("_next").isNotNull()))
+    moments = rows
+    for output, name in used.items():
+        changed = spans[output].select(F.col("src").alias("_src"), F.col("_key"), F.col("_since"))
+        inside = (F.col("_since") > F.col(UPDATED)) & (F.col("_last") | (F.col("_since") < F.col("_next")))
+        copies = followed.join(changed, (F.col("src") == F.col("_src")) & (F.col(name) == F.col("_key")) & inside)
+        moments = moments.unionByName(copies.withColumn(UPDATED, F.col("_since")).select(*rows.columns))
+    for output, name in used.items():
+        moments = as_of_join(
+            moments, spans[output], {"src": "src", name: "_key"}, UPDATED, {output: "_value"}, "_since", "_until"
+        )
+    return moments.select(*[F.col(quoted(c)) for c in spec.columns], "src", UPDATED, DELETED)
+
+
+def _lookup_spans(spec: Spec, read: Callable[[str], DataFrame], output: str) -> DataFrame:
+    """(src, _key, _value, _since, _until) of one lookup over all sources."""
+    lookup = spec.lookups[output]
+
+    def one(source: str) -> DataFrame:
+        remap = spec.remaps.get(source, {}).get(output)
+        value = F.col(quoted(lookup.value))
+        return read(f"{source.lower()}_{lookup.entity}").select(
+            F.lit(source).alias("src"),
+            F.col(quoted(lookup.key)).alias("_key"),
+            (remap.apply(value) if remap else value).alias("_value"),
+            F.col(UPDATED).cast("timestamp_ntz").alias("_since"),
+        )
+
+    states = reduce(DataFrame.unionByName, [one(s) for s in spec.sources])
+    return value_spans(states, ["src", "_key"], "_since", ["_value"], "_until")
+
+
 def with_keys(collected: DataFrame, spec: Spec) -> DataFrame:
     """Add the natural key and turn plain ids into foreign keys."""
     keyed = {plain: name for name, plain in spec.foreign_keys.items()}
