@@ -78,5 +78,30 @@ def test_pieces_have_the_ids_of_the_text():
     assert got == want
 
 
+def test_ranges_hold_about_equally_many_tokens(spark):
+    """Long documents, one of them a third of all tokens, and a third of the rows being copies."""
+    texts = [(i, f"word{i % 7} some text") for i in range(600)] + [(1000 + i, "same words again") for i in range(600)]
+    texts += [(5000 + i, "a long text of many words " * 400) for i in range(40)] + [(9000, "one very long text " * 15000)]
+    tokens = packing.pack(spark.createDataFrame(texts, "doc_id long, text string"))
+    by_task = [r.n for r in tokens.selectExpr("sequence_id >> 33 AS task", "length").groupBy("task").agg({"length": "sum"}).toDF("task", "n").collect()]
+    assert len(by_task) > 1
+    assert max(by_task) < 2 * sum(by_task) / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_parts_of_a_document_join_into_one_piece(spark):
+    docs = spark.createDataFrame([(1, "word " * 1800)], "doc_id long, text string")
+    (total,) = {r.doc_tokens for r in packing.pack(docs.repartition(1), 4096).collect()}
+    packer = packing.Packer(2048, 0)
+    ids = np.arange(total)
+    for at in range(0, total, packing.PART):
+        packer.add(7, 1, at, ids[at : at + packing.PART], total)
+    packer.finish()
+    starts = [(p[1], p[2]) for p in packer.out]
+    assert [a + n for a, n in starts] == [b for b, _ in starts[1:]] + [total]
+    assert len({p[5] for p in packer.out}) == len(packer.out)  # one piece a sequence
+    for _, start, n, crc, *_ in packer.out:
+        assert crc == zlib.crc32(ids[start : start + n].astype("<u4").tobytes())
+
+
 def test_empty_table(nasty):
     assert packing.pack(nasty.limit(0)).count() == 0

@@ -4,18 +4,21 @@ Documents become token ids and a hashed word vector, projected to few
 dimensions. Quantiles of each dimension over all documents give grid
 coordinates, and the Hilbert curve through the grid gives a key under which
 similar documents are neighbours. The documents are range-sorted by it and
-packed in that order. A document may be cut, so every sequence is full; what
-is left at the end of a task's range is cut into powers of two, which need no
-padding.
+packed in that order. Ranges are cut by tokens, not by documents: documents travel
+in parts of at most ``PART`` tokens, a part counts by its tokens in the
+quantiles that cut the ranges, and cuts may lie within a key and within a
+document. A document may be cut, so every sequence is full; what is left at the
+end of a task's range is cut into powers of two, which need no padding.
 
 Defined results: a null or empty text is its end token only. Null ids are kept
-and sorted first. Equal texts have equal keys and are ordered by id. An empty
+and repeated rows too. Equal texts have equal keys and lie side by side. An empty
 table gives no rows.
 """
 
 from __future__ import annotations
 
 import zlib
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -36,6 +39,8 @@ REMEMBERED = 1_000_000
 _KINDS = byte_class((0x41, 0x5A), (0x61, 0x7A)) + 2 * byte_class(
     (0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)
 ).astype(np.uint8)
+#: Tokens of a document that travel together.
+PART = 512
 #: Bytes of token ids that a task packs at most, in the mean.
 TASK_BYTES = 64 << 20
 VOCABULARY = "word_bpe_49k.json"
@@ -171,30 +176,35 @@ class Packer:
 
     def __init__(self, length: int, first_sequence: int):
         self.length, self.sequence = length, first_sequence
-        self.held: list[tuple] = []  # id, start, ids, tokens of the document
+        self.held: list[tuple] = []  # row number, id, start, ids, tokens of the document
         self.size = 0
         self.out: list[tuple] = []
 
-    def add(self, doc, ids: np.ndarray) -> None:
-        total = len(ids)
-        self.held.append((doc, 0, ids, total))
-        self.size += total
+    def add(self, row: int, doc, start: int, ids: np.ndarray, total: int) -> None:
+        self.held.append((row, doc, start, ids, total))
+        self.size += len(ids)
         while self.size >= self.length:
             self.close(self.length)
 
     def close(self, length: int) -> None:
         """Write the first ids held as a sequence of that length."""
-        at = 0
+        at, last, taken = 0, None, 0
         while at < length:
-            doc, start, ids, total = self.held[0]
+            row, doc, start, ids, total = self.held[taken]
             piece = ids[: length - at]
-            crc = zlib.crc32(piece.astype("<u4").tobytes())
-            self.out.append((doc, start, len(piece), crc, total, self.sequence, at))
+            raw = piece.astype("<u4").tobytes()
+            if last == (row, start):  # goes on where the piece before it ends
+                _, begins, before, crc, _, _, offset = self.out.pop()
+                self.out.append((doc, begins, before + len(piece), zlib.crc32(raw, crc), total, self.sequence, offset))
+            else:
+                self.out.append((doc, start, len(piece), zlib.crc32(raw), total, self.sequence, at))
             at += len(piece)
+            last = row, start + len(piece)
             if len(piece) == len(ids):
-                self.held.pop(0)
+                taken += 1
             else:
-                self.held[0] = doc, start + len(piece), ids[len(piece) :], total
+                self.held[taken] = row, doc, start + len(piece), ids[len(piece) :], total
+        del self.held[:taken]
         self.size -= length
         self.sequence += 1
 
@@ -204,26 +214,53 @@ class Packer:
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids as bytes, n_ids, vector) per document."""
+    """A row per part of a document: its row's number, id, start, ids as bytes, their number, the document's, vector."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make():
         tokens = encoder(vocabulary or default_vocabulary())
+        numbers = count(TaskContext.get().partitionId() << 40)
 
         def work(block: Block, doc_ids):
             words = tokens.words(block)
             ids, ends = tokens.encode(block, words)
-            offsets = ends * ids.itemsize
+            totals = np.diff(ends)
+            parts = -(-totals // PART)  # an end token at least, so one part at least
+            of = np.repeat(np.arange(len(block)), parts)
+            starts = PART * ragged(np.zeros(len(block), np.int64), parts)
+            begins = ends[of] + starts
+            offsets = np.append(begins, ends[-1]) * ids.itemsize
             values = pa.Array.from_buffers(
-                pa.binary(), len(block), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids.tobytes())]
+                pa.binary(), len(of), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids.tobytes())]
             )
-            vector = vectors(words)
-            yield {"id": doc_ids, "ids": values, "n_ids": np.diff(ends)} | {f"v{k}": vector[:, k].copy() for k in range(DIMENSIONS)}
+            row = np.fromiter(islice(numbers, len(block)), np.int64, len(block))
+            vector = vectors(words)[of]
+            yield {
+                "row": row[of], "id": doc_ids.take(pa.array(of)), "start": starts, "ids": values,
+                "n_ids": np.diff(offsets) // ids.itemsize, "total": totals[of],
+            } | {f"v{k}": vector[:, k].copy() for k in range(DIMENSIONS)}
 
         return work
 
     dims = "".join(f", v{k} double" for k in range(DIMENSIONS))
-    return map_rows(docs, f"id {kind}, ids binary, n_ids long{dims}", make, id_col, text_col)
+    return map_rows(docs, f"row long, id {kind}, start long, ids binary, n_ids long, total long{dims}", make, id_col, text_col)
+
+
+def token_bounds(placed: DataFrame, tokens: int, parts: int) -> np.ndarray:
+    """Places that cut the rows into ranges of about equally many tokens.
+
+    A row is repeated once for every ``unit`` of its tokens, the rest decided by a hash, and
+    the repetitions' quantiles are the bounds: about 1,000 for each range, and none is shuffled.
+    """
+    if parts < 2 or not tokens:
+        return np.zeros(0)
+    unit = max(tokens / (1000 * parts), 1.0)
+    chance = F.pmod(F.xxhash64("row", "start"), F.lit(1 << 20)) / (1 << 20)
+    times = F.floor(F.col("n_ids") / unit + chance).cast("int")
+    repeated = placed.select("place", F.explode(F.array_repeat(F.lit(0), times)))
+    shares = [i / parts for i in range(1, parts)]
+    found = repeated.agg(F.percentile_approx("place", shares, max(10_000, 10 * parts)).alias("cuts")).first()
+    return np.unique(np.array(found["cuts"] or [], float))
 
 
 def pack(
@@ -237,11 +274,14 @@ def pack(
     rows = saved(tokenized(docs, vocabulary, id_col, text_col), "token-ids")
     cuts = [i / (1 << BITS) for i in range(1, 1 << BITS)]
     dims = [f"v{k}" for k in range(DIMENSIONS)]
-    edges = rows.agg(F.sum("n_ids").alias("n"), *[F.percentile_approx(c, cuts, 2000).alias(c) for c in dims]).first()
+    first = F.col("start") == 0
+    edges = rows.agg(
+        F.sum("n_ids").alias("n"), *[F.percentile_approx(F.when(first, F.col(c)), cuts, 2000).alias(c) for c in dims]
+    ).first()
     bounds = [np.array(edges[c] or [], float) for c in dims]
 
     @F.pandas_udf("long")
-    def key(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+    def curve(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
         grid = [np.searchsorted(e, v.to_numpy(), "right") for e, v in zip(bounds, (a, b, c, d), strict=True)]
         return pd.Series(hilbert(np.stack(grid, 1), BITS))
 
@@ -253,17 +293,17 @@ def pack(
     def run(batches):
         packer = Packer(length, TaskContext.get().partitionId() << 33)
         for batch in batches:
-            docs_of = batch.column(0).to_pylist()
-            values = batch.column(1)
+            row, starts, totals = (batch.column(c).to_pylist() for c in ("row", "start", "total"))
+            docs_of, values = batch.column("id").to_pylist(), batch.column("ids")
             raw, offsets = np.frombuffer(values.buffers()[2] or b"", wide), np.frombuffer(values.buffers()[1], np.int32)
             offsets = offsets[values.offset : values.offset + len(values) + 1] // np.dtype(wide).itemsize
             for i, doc in enumerate(docs_of):
-                packer.add(doc, raw[offsets[i] : offsets[i + 1]])
+                packer.add(row[i], doc, starts[i], raw[offsets[i] : offsets[i + 1]], totals[i])
             if packer.out:
-                yield rows_of(packer, batch.column(0).type)
+                yield rows_of(packer, batch.column("id").type)
         packer.finish()
         if packer.out:
-            yield rows_of(packer, batch.column(0).type)
+            yield rows_of(packer, batch.column("id").type)
 
     def rows_of(packer: Packer, id_type: pa.DataType) -> pa.RecordBatch:
         columns = list(zip(*packer.out, strict=True))
@@ -272,8 +312,19 @@ def pack(
             [pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:])], names=[id_col, *names]
         )
 
-    ordered = rows.select("id", "ids", key(*dims).alias("key"))
-    ordered = ordered.repartitionByRange(parts, "key", "id").sortWithinPartitions("key", "id")
-    pieces = ordered.select("id", "ids").mapInArrow(run, f"`{id_col}` {kind}, " + ", ".join(f"{n} long" for n in names))
-    # range bounds are sampled anew by each run of a plan; one written result stays the same
+    # order along the curve; within a key by a hash of the row, within a document by the share before the part
+    tie = F.pmod(F.xxhash64("row"), F.lit(1 << 17))
+    place = F.col("key") * (1 << 29) + F.col("tie") * (1 << 12) + F.floor(F.col("start") * (1 << 12) / F.col("total"))
+    carried = ["row", "id", "start", "ids", "total"]
+    placed = rows.select(*carried, "n_ids", curve(*dims).alias("key"), tie.alias("tie"))
+    placed = placed.select(*carried, "n_ids", "key", "tie", place.cast("double").alias("place"))
+    bounds_of = token_bounds(placed, edges["n"] or 0, parts)
+
+    @F.pandas_udf("int")
+    def task(at: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds_of, at.to_numpy(), "right").astype(np.int32))
+
+    ordered = placed.withColumn("task", task("place")).repartitionById(parts, "task")
+    ordered = ordered.sortWithinPartitions("key", "tie", "row", "start")
+    pieces = ordered.select(*carried).mapInArrow(run, f"`{id_col}` {kind}, " + ", ".join(f"{n} long" for n in names))
     return saved(pieces, "packed")
