@@ -154,3 +154,15 @@ def test_time_limits_reach_both_scans(spark):
     plan = got.where(F.col(scd2.UPDATED) > F.lit(at(5)))._jdf.queryExecution().executedPlan().toString()
     assert f"GreaterThan({scd2.UPDATED}," in plan
     assert "CartesianProduct" not in plan
+
+
+def test_copies_are_not_shuffled_for_the_value_they_are_made_for(spark):
+    spec = scd2.Spec(**{**SPEC.__dict__, "lookups": {"place": SPEC.lookups["place"]}, "columns": {"id": "id", "place": "place"}})
+    things = [("A", i, 5, 10, None, i % 7, None) for i in range(300)]
+    places = [("A", 10, i % 2, 10 + i) for i in range(100)]
+    got = scd2.collect_following(spec, reader(spark, things, places))
+    seen = got.count()
+    assert seen == 300 * 101
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # base rows once and copies once: no join above the union that stacks them
+    assert plan.index("Union") < plan.index("Join")
