@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from frames import rows
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.lookups import as_of_join, value_spans
 from tidemark.plans import scd2
-from tidemark.session import new_folder
+from tidemark.session import new_folder, written
 from tidemark.sources.history import HistoryStore
 
 SPEC = scd2.Spec(
@@ -166,3 +167,35 @@ def test_copies_are_not_shuffled_for_the_value_they_are_made_for(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     # base rows once and copies once: no join above the union that stacks them
     assert plan.index("Union") < plan.index("Join")
+
+
+def test_histories_need_few_copies(spark):
+    rng = random.Random(5)
+    things = [("A", rng.randrange(5), rng.randrange(3), rng.choice([1, 2]), 3, d, rng.choice([None, None, d])) for d in range(0, 80, 2)]
+    places = [("A", k, d % 7, d) for d in range(100) for k in (1, 2)]
+    rates = [("A", 3, d, d) for d in range(0, 100, 3)]
+    read = reader(spark, things, places, rates)
+    split, got, sizes = F.lit(at(41)), [], []
+    for loads in (None, [split]):
+        fed = written(scd2.with_keys(scd2.collect_following(SPEC, read, loads), SPEC), "fed")
+        store = HistoryStore(spark, new_folder(spark, "followed"))
+        store.load(fed.where(F.col(scd2.UPDATED) < split), SPEC)
+        store.load(fed, SPEC)
+        got.append(rows(store.read()))
+        sizes.append(fed.count())
+    assert got[0] == got[1] and any(not r[-1] for r in got[0])
+    # each row, and for each lookup a copy before the limit and one of all
+    assert sizes[1] <= len(things) * 5 < sizes[0]
+
+
+def test_as_of_join_holds_a_fact_against_few_spans(spark):
+    # every key has a state on each of 400 days; a fact meets the spans of its range of time only
+    states = spark.range(1200).selectExpr("id % 3 as k", "timestamp_ntz'2024-01-01' + make_dt_interval(cast(id / 3 as int)) as t", "id as v")
+    spans = written(value_spans(states, ["k"], "t", ["v"]), "spans")
+    facts = spark.range(900).selectExpr("id", "id % 4 as f", "timestamp_ntz'2023-12-30' + make_dt_interval(cast(id / 2 as int), 5) as time")
+    facts = facts.withColumn("time", F.when(F.col("id") % 50 != 0, F.col("time")))
+    got = as_of_join(facts, spans, {"f": "k"}, "time", {"v": "v"}, since="t")
+    plain = facts.join(spans, (F.col("f") == F.col("k")) & F.expr("if(time is null, until is null, t <= time and (until is null or time < until))"), "left")
+    assert rows(got) == rows(plain.select(*facts.columns, "v"))
+    keys = re.findall(r"Join(?: LeftOuter)?, \((.*)", got._jdf.queryExecution().optimizedPlan().toString())
+    assert any("_asked" in found and "_met" in found for found in keys)
