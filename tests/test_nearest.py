@@ -70,3 +70,13 @@ def test_many_sites(spark):
     frames = [spark.createDataFrame(spread(rng, n), "id int, lat double, lon double") for n in (200, 20_000)]
     found = nearest(*frames, 1)
     assert found.count() == 200 and found.where(F.col("distance") > 300).count() == 0
+
+
+def test_points_are_ranked_once(spark, monkeypatch):
+    """Cubes of points descend, not points: only the few nearest of every list are ranked per point."""
+    monkeypatch.setattr("tidemark.operators.nearest.LISTED", 3)
+    rng = random.Random(4)
+    points = [(i, 20 + rng.gauss(0, 0.2), 30 + rng.gauss(0, 0.2)) for i in range(200)]
+    found = compare(spark, points, spread(rng, 200) + spread(rng, 40, 500), 4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(id#" not in plan and "windowspecdefinition(qx#" in plan

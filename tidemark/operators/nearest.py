@@ -2,12 +2,14 @@
 
 Points and sites are placed on the unit sphere, where there are neither poles nor a
 180th meridian, and the distance through the sphere rises with the one along it.
-Sites are counted in cubes of halving side. Each point descends from the whole
-sphere to small cubes, two levels at a time, and keeps those that may hold one of its
-``k`` nearest: cubes no farther at their near side than the far side of the cubes
-that surely hold ``k`` sites. Only the sites in the cubes that are left are compared.
-
-All of that is equi-joins on cubes and a ranking per point. Coarse levels
+Sites are counted in cubes of halving side, and points are gathered in the same cubes.
+Each cube of points descends from the whole sphere to small cubes, two levels at a time,
+and keeps the cubes of sites that may hold one of the ``k`` nearest of any of its points: those
+no farther at their near side than the far side of the cubes that surely hold ``k`` sites.
+Only the sites in the cubes that are left are compared with the points.
+
+All of that is equi-joins on cubes and a ranking per cube. The points themselves move once, to the
+sites listed for their cube, and each keeps its nearest of them at once. Coarse levels
 have a number of cubes bounded by geometry and are broadcast; finer ones are left
 to Spark, which splits a cube that many points share.
 """
@@ -24,6 +26,8 @@ DEEPEST, COARSE = 20, 6
 #: Sites in a cube at which the descent may end.
 LEAF = 16
 STEP = 2
+#: Sites in one list that points are compared with.
+LISTED = 1024
 _AXES = ("x", "y", "z")
 
 
@@ -44,12 +48,11 @@ def _cube(axis: str, level: int) -> Column:
     return F.greatest(F.least(across, F.lit((1 << level) - 1)), F.lit(0)).cast("bigint")
 
 
-def _within(axis: str, level: int) -> tuple[Column, Column]:
-    """Smallest and largest distance along an axis from the point to its candidate cube."""
-    side = 2.0 / (1 << level)
-    low = F.col(f"c{axis}") * F.lit(side) - 1
-    near = F.greatest(low - F.col(axis), F.col(axis) - (low + side), F.lit(0.0))
-    far = F.greatest(F.abs(F.col(axis) - low), F.abs(F.col(axis) - (low + side)))
+def _between(axis: str, level: int) -> tuple[Column, Column]:
+    """Smallest and largest squared distance along an axis between a cube of points and one of sites."""
+    side = F.lit(2.0 / (1 << level))
+    apart = F.abs(F.col(f"c{axis}") - F.col(f"q{axis}")) * side
+    near, far = F.greatest(apart - side, F.lit(0.0)), apart + side
     return near * near, far * far
 
 
@@ -69,25 +72,44 @@ def nearest(
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    sources = _placed(points, point).dropDuplicates(["id"])
+    # the same of several positions whenever it is evaluated
+    sources = _placed(points, point).groupBy("id").agg(F.min(F.struct("lat", "lon", *_AXES)).alias("at")).select("id", "at.*")
     # of sites at one spot, only the first k can ever be among the nearest
     spot = Window.partitionBy("lat", "lon").orderBy("id")
     spots = _placed(sites, site).withColumn("rank", F.row_number().over(spot)).where(F.col("rank") <= k)
     leaf = _leaf_level(spots)
 
+    sources = sources.withColumns({f"q{a}": _cube(a, leaf) for a in _AXES})
+    cells = sources.select(*[f"q{a}" for a in _AXES]).distinct()
     # all are in the one cube of level 0, found as on any level, so that the joins have keys
-    frontier = sources.withColumns({f"c{a}": _cube(a, 0) for a in _AXES})
+    frontier = _cells(cells, leaf).withColumns({f"c{a}": F.col(f"q{a}") for a in _AXES})
+    frontier = frontier.withColumn("enough", F.lit(None).cast("double"))
     for level in range(STEP, leaf + 1, STEP):
-        frontier = _descend(frontier, spots, level, k)
+        frontier = _descend(frontier, _cells(cells, leaf - level), spots, level, k)
     held = spots.select(
-        F.col("id").alias("site_id"), F.col("lat").alias("site_lat"), F.col("lon").alias("site_lon"),
+        F.struct(F.col("id").alias("site_id"), F.col("lat").alias("site_lat"), F.col("lon").alias("site_lon")).alias("site"),
         *[_cube(a, leaf).alias(f"c{a}") for a in _AXES],
     )
-    miles = haversine_distance("lat", "lon", "site_lat", "site_lon", unit)
-    measured = frontier.join(held, [f"c{a}" for a in _AXES]).withColumn("distance", miles)
-    place = Window.partitionBy("id").orderBy("distance", "site_id")
-    ranked = measured.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k)
-    return ranked.select(F.col("id").alias("point_id"), "place", "site_id", "distance")
+    cell = [f"q{a}" for a in _AXES]
+    listed = frontier.select(*cell, *[f"c{a}" for a in _AXES]).join(held, [f"c{a}" for a in _AXES])
+    number = F.row_number().over(Window.partitionBy(*cell).orderBy("site.site_id"))
+    lists = listed.withColumn("part", F.floor(number / LISTED)).groupBy(*cell, "part").agg(F.collect_list("site").alias("sites"))
+
+    def measured(site: Column) -> Column:
+        distance = haversine_distance(F.col("lat"), F.col("lon"), site["site_lat"], site["site_lon"], unit)
+        return F.struct(distance.alias("distance"), site["site_id"].alias("site_id"))
+
+    first = F.slice(F.array_sort(F.transform("sites", measured)), 1, k)
+    found = sources.join(lists, cell).select(F.col("id").alias("point_id"), F.explode(first).alias("site"))
+    found = found.select("point_id", "site.*")
+    place = Window.partitionBy("point_id").orderBy("distance", "site_id")
+    ranked = found.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k)
+    return ranked.select("point_id", "place", "site_id", "distance")
+
+
+def _cells(cells: DataFrame, up: int) -> DataFrame:
+    """The cubes that hold points, so many levels above the given ones."""
+    return cells.select(*[F.shiftright(f"q{a}", up).alias(f"q{a}") for a in _AXES]).distinct() if up else cells
 
 
 def _leaf_level(spots: DataFrame) -> int:
@@ -99,22 +121,25 @@ def _leaf_level(spots: DataFrame) -> int:
     return largest.agg(F.min("level")).first()[0] or DEEPEST
 
 
-def _descend(frontier: DataFrame, spots: DataFrame, level: int, k: int) -> DataFrame:
-    """Replace each point's cubes by those of the given level inside them that may hold one of the k nearest."""
+def _descend(frontier: DataFrame, cells: DataFrame, spots: DataFrame, level: int, k: int) -> DataFrame:
+    """Replace each pair of cubes by those of the given level inside them whose sites may be one of the k nearest of a point."""
     cubes = spots.groupBy(*[_cube(a, level).alias(f"c{a}") for a in _AXES]).agg(F.count(F.lit(1)).alias("sites"))
-    parents = [F.shiftright(f"c{a}", STEP).alias(f"p{a}") for a in _AXES]
-    inside = cubes.select("*", *parents)
+    inside = cubes.select("*", *[F.shiftright(f"c{a}", STEP).alias(f"p{a}") for a in _AXES])
+    within = cells.select("*", *[F.shiftright(f"q{a}", STEP).alias(f"o{a}") for a in _AXES])
     if level <= COARSE:
-        inside = F.broadcast(inside)
-    above = frontier.withColumnsRenamed({f"c{a}": f"p{a}" for a in _AXES})
-    opened = above.join(inside, [f"p{a}" for a in _AXES]).drop(*[f"p{a}" for a in _AXES])
-    bounds = [_within(a, level) for a in _AXES]
+        inside, within = F.broadcast(inside), F.broadcast(within)
+    above = frontier.withColumnsRenamed({f"{new}{a}": f"{old}{a}" for new, old in ("cp", "qo") for a in _AXES})
+    opened = above.join(inside, [f"p{a}" for a in _AXES]).join(within, [f"o{a}" for a in _AXES])
+    bounds = [_between(a, level) for a in _AXES]
     near, far = (sum((b[i] for b in bounds[1:]), bounds[0][i]) for i in (0, 1))
     opened = opened.withColumns({"near": near, "far": far})
-    # the far side of the cubes that together hold k sites, nearest far sides first
-    by_far = Window.partitionBy("id").orderBy("far", *[f"c{a}" for a in _AXES]).rowsBetween(Window.unboundedPreceding, 0)
-    enough = F.min(F.when(F.col("so_far") >= k, F.col("far"))).over(Window.partitionBy("id"))
-    kept = opened.withColumn("so_far", F.sum("sites").over(by_far)).withColumn("enough", enough)
     # rounding must not lose a cube at the very edge
     open_ = F.col("enough").isNull() | (F.col("near") <= F.col("enough") * (1 + 1e-9) + 1e-12)
-    return kept.where(open_).drop("sites", "near", "far", "so_far", "enough")
+    cell, cube = [f"q{a}" for a in _AXES], [f"c{a}" for a in _AXES]
+    # what holds for the whole cube holds for its parts, before any of them is moved
+    opened = opened.where(open_).select(*cell, *cube, "sites", "near", "far")
+    # the far side of the cubes that together hold k sites, nearest far sides first
+    by_far = Window.partitionBy(*cell).orderBy("far", *cube).rowsBetween(Window.unboundedPreceding, 0)
+    enough = F.min(F.when(F.col("so_far") >= k, F.col("far"))).over(Window.partitionBy(*cell))
+    kept = opened.withColumn("so_far", F.sum("sites").over(by_far)).withColumn("enough", enough)
+    return kept.where(open_).select(*cell, *cube, "enough")
