@@ -199,3 +199,13 @@ def test_as_of_join_holds_a_fact_against_few_spans(spark):
     assert rows(got) == rows(plain.select(*facts.columns, "v"))
     keys = re.findall(r"Join(?: LeftOuter)?, \((.*)", got._jdf.queryExecution().optimizedPlan().toString())
     assert any("_asked" in found and "_met" in found for found in keys)
+
+
+def test_a_delta_dealt_by_key_is_not_dealt_again(spark):
+    read = reader(spark, [("A", 1, 5, 10, None, 1, None), ("A", 1, 6, 10, None, 4, None)], [("A", 10, 1, 0)])
+    fed = scd2.with_keys(scd2.collect_following(SPEC, read), SPEC)
+    target = scd2.initial(fed.where(F.col(scd2.UPDATED) < F.lit(at(3))), SPEC)
+    found = scd2.changes(fed, target, SPEC).localCheckpoint().repartition(3, scd2.KEY)
+    plan = scd2.delta_of(found, SPEC).repartition(3, scd2.KEY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1
+    assert rows(scd2.delta_of(found, SPEC).select(scd2.KEY, "x", "is_current")) == [("A_1", 5, False), ("A_1", 6, True)]
