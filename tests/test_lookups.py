@@ -8,8 +8,11 @@ import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
+from tidemark.jobs import warehouse
+from tidemark.jobs.registry import Tables
 from tidemark.operators.lookups import as_of_join, value_spans
 from tidemark.plans import scd2
+from tidemark.plans import warehouse as plans_warehouse
 from tidemark.session import new_folder, written
 from tidemark.sources.history import HistoryStore
 
@@ -209,3 +212,64 @@ def test_a_delta_dealt_by_key_is_not_dealt_again(spark):
     plan = scd2.delta_of(found, SPEC).repartition(3, scd2.KEY)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_NUM") == 1
     assert rows(scd2.delta_of(found, SPEC).select(scd2.KEY, "x", "is_current")) == [("A_1", 5, False), ("A_1", 6, True)]
+
+
+def test_a_load_deals_neither_its_changes_nor_its_delta_again(spark, monkeypatch):
+    read = reader(
+        spark, [("A", i, 5 + day, 10, None, day, 6 if i == 2 and day == 4 else None) for i in range(40) for day in (1, 4)], [("A", 10, 1, 0)]
+    )
+    fed = written(scd2.with_keys(scd2.collect_following(SPEC, read), SPEC), "fed")
+    exchanges, decided, write = {}, scd2.decided, HistoryStore._write_buckets
+
+    def planned(name, df):
+        exchanges[name] = df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        return df
+
+    def write_buckets(store, rows, kind, run, buckets):
+        return write(store, planned(f"{kind} {run}", rows), kind, run, buckets)
+
+    monkeypatch.setattr(scd2, "decided", lambda *args: planned("changes", decided(*args)))
+    monkeypatch.setattr(HistoryStore, "_write_buckets", write_buckets)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, buckets in (("as-shuffled", None), ("of-its-own", 3)):
+            store = HistoryStore(spark, new_folder(spark, name), buckets)
+            store.load(fed.where(F.col(scd2.UPDATED) < F.lit(at(3))), SPEC)
+            store.load(fed, SPEC)
+            # the keys closed before, here none, are dealt to the changes
+            assert exchanges["changes"] == 1 and exchanges["current 1"] == 0
+            assert len(store.files()) == len(store.commit().current)  # a bucket stays one file
+            found = store.read()
+            assert rows(found.select(scd2.KEY, "x")) == sorted(((f"A_{i}", x) for i in range(40) for x in (6, 9)), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("dealt_")]
+
+
+def test_raw_tables_of_one_feed_are_joined_once(spark, monkeypatch):
+    root, asked = new_folder(spark, "tables"), []
+    days = "timestamp_ntz'2024-01-01' + make_dt_interval(cast(id as int))"
+    tables = {
+        "nation": spark.range(10).selectExpr("id n_nationkey", "id % 5 n_regionkey", "concat('N', id) n_name"),
+        "customer": spark.range(12).selectExpr("id c_custkey", "concat('C', id) c_name", "id % 10 c_nationkey", "'M' c_mktsegment"),
+        "orders": spark.range(30).selectExpr(
+            "id o_orderkey", "nullif(id % 12, 7) o_custkey", "substr('FOP', cast(id % 3 as int) + 1, 1) o_orderstatus", "id * 1.5D o_totalprice",
+            f"{days} o_orderdate", "concat(id % 5 + 1, '-X') o_orderpriority"),
+        "lineitem": spark.range(90).selectExpr(
+            "id % 30 l_orderkey", "id % 7 l_partkey", "id % 4 l_suppkey", "id % 3 l_linenumber", "nullif(id, 8) * 1D l_quantity", "id * 2D l_extendedprice",
+            "0.1D l_discount", "0.02D l_tax", "if(id % 2 = 0, 'R', 'N') l_returnflag", "if(id % 5 = 0, 'O', 'F') l_linestatus", f"{days} l_shipdate"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/{name}.parquet")
+    look = Tables.__getattr__
+    monkeypatch.setattr(Tables, "__getattr__", lambda t, name: (asked.append(name), look(t, name))[1])
+    read = warehouse.raw_from_feeds(Tables(spark, root))
+    assert asked.count("lineitem") == 1 and asked.count("orders") == 2
+    entities = list(warehouse._raw_columns())
+    warehouse.write_raw(Tables(spark, root), f"{root}/raw", entities)
+    for entity in entities:
+        for source in plans_warehouse.SOURCES:
+            apart = spark.read.parquet(f"{root}/raw/{entity}/src={source}")
+            assert rows(read(f"{source.lower()}_{entity}").select(apart.columns)) == rows(apart)
+            assert read(f"{source.lower()}_{entity}").columns == apart.columns
