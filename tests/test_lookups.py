@@ -216,7 +216,7 @@ def test_a_delta_dealt_by_key_is_not_dealt_again(spark):
 
 def test_a_load_deals_neither_its_changes_nor_its_delta_again(spark, monkeypatch):
     read = reader(
-        spark, [("A", i, 5 + day, 10, None, day, 6 if i == 2 and day == 4 else None) for i in range(40) for day in (1, 4)], [("A", 10, 1, 0)]
+        spark, [("A", i, 5 + day, 10, None, day, 6 if i == 2 and day == 4 else None) for i in range(40) for day in (1, 4) if i % 4 or day == 1], [("A", 10, 1, 0)]
     )
     fed = written(scd2.with_keys(scd2.collect_following(SPEC, read), SPEC), "fed")
     exchanges, decided, write = {}, scd2.decided, HistoryStore._write_buckets
@@ -241,7 +241,7 @@ def test_a_load_deals_neither_its_changes_nor_its_delta_again(spark, monkeypatch
             assert exchanges["changes"] == 1 and exchanges["current 1"] == 0
             assert len(store.files()) == len(store.commit().current)  # a bucket stays one file
             found = store.read()
-            assert rows(found.select(scd2.KEY, "x")) == sorted(((f"A_{i}", x) for i in range(40) for x in (6, 9)), key=repr)
+            assert rows(found.select(scd2.KEY, "x")) == sorted(((f"A_{i}", x) for i in range(40) for x in (6, 9) if i % 4 or x == 6), key=repr)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("dealt_")]
