@@ -273,3 +273,34 @@ def test_raw_tables_of_one_feed_are_joined_once(spark, monkeypatch):
             apart = spark.read.parquet(f"{root}/raw/{entity}/src={source}")
             assert rows(read(f"{source.lower()}_{entity}").select(apart.columns)) == rows(apart)
             assert read(f"{source.lower()}_{entity}").columns == apart.columns
+
+
+def test_copies_are_made_from_blocks_of_changes(spark):
+    """A key with 900 changes, among them null values, and rows that live for any number of them."""
+    states = spark.range(1000).selectExpr(
+        "'A' as src", "if(id < 900, 1, 2) as _key", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, cast(id as int)) as _since", "if(id % 9 = 0, null, id) as _value"
+    )
+    spans = written(states, "spans")
+    blocks = scd2._span_blocks(spans)
+    assert blocks.agg(F.sum(F.size("_times")), F.max(F.size("_times")) <= scd2._BLOCK, F.count_if(F.size("_times") != F.size("_values"))).first() == (1000, True, 0)
+    followed = spark.range(200).selectExpr(
+        "'A' as src", "id", "cast(id % 3 as int) as _on_v", f"timestamp_ntz'2023-12-31 23:00:00' + make_dt_interval(0, 0, cast(id * 7 as int), 5) as {scd2.UPDATED}",
+        f"if(id % 5 = 0, null, {scd2.UPDATED} + make_dt_interval(0, 0, cast(id * 3 as int))) as _next", "id % 5 = 0 as _last",
+    )
+    followed = written(followed.unionByName(followed.where("id = 1")), "followed")
+    got = scd2._all_copies(followed, spans, "_on_v", "v").select("id", "v", scd2.UPDATED)
+    plain = followed.join(spans, F.expr(f"_on_v = _key and _since > {scd2.UPDATED} and (_last or _since < _next)"))
+    wanted = rows(plain.select("id", F.col("_value").alias("v"), F.col("_since")))
+    assert len(wanted) > 10_000 and rows(got) == wanted
+
+
+def test_the_key_of_a_copy_is_made_before_the_copy(spark):
+    spec = scd2.Spec(**{**SPEC.__dict__, "lookups": {"place": SPEC.lookups["place"]}, "columns": {"id": "id", "place": "place"}})
+    read = reader(spark, [("A", i, 5, 10, None, i % 7, None) for i in range(30)] + [("A", None, 5, 10, None, 3, None)], [("A", 10, i % 2, 10 + i) for i in range(100)])
+    keyed, plain = (scd2.with_keys(scd2.collect_following(spec, read, keyed=k), spec) for k in (True, False))
+    assert keyed.columns == plain.columns and rows(keyed) == rows(plain)
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    copies = plan.split("\n+- ")[-1]  # the last branch of the union, from the top down
+    assert "concat" not in copies[: copies.index("posexplode")] and "concat" in copies
+    # the rows of one lookup key are in several tasks, whatever their bytes
+    assert "_deal" in plan and "RepartitionByExpression" in plan
