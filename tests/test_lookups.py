@@ -3,15 +3,16 @@
 import datetime as dt
 import random
 import re
+import threading
 
 import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
-from tidemark.jobs import warehouse
+from tidemark.jobs import declared, warehouse
 from tidemark.jobs.registry import Tables
 from tidemark.operators.lookups import as_of_join, value_spans
-from tidemark.plans import scd2
+from tidemark.plans import checks, scd2
 from tidemark.plans import warehouse as plans_warehouse
 from tidemark.session import new_folder, written
 from tidemark.sources.history import HistoryStore
@@ -304,3 +305,34 @@ def test_the_key_of_a_copy_is_made_before_the_copy(spark):
     assert "concat" not in copies[: copies.index("posexplode")] and "concat" in copies
     # the rows of one lookup key are in several tasks, whatever their bytes
     assert "_deal" in plan and "RepartitionByExpression" in plan
+
+
+def test_tables_of_the_warehouse_are_loaded_side_by_side(spark, monkeypatch):
+    begun, second, waited = [], threading.Event(), []
+
+    def load(t, spec, read):
+        begun.append(spec.name)
+        if len(begun) > 1:
+            second.set()
+        waited.append(second.wait(60))
+        kinds = {"is_current": "boolean", "valid_from": "timestamp_ntz", "valid_to": "timestamp_ntz", checks.CALENDAR_COLUMNS.get(spec.name): "date"}
+        known = {"is_current": True, "valid_from": "2024-01-01", scd2.KEY: "k", scd2.VERSION_KEY: "v"}
+        return spark.range(1).select(*[F.lit(known.get(c)).cast(kinds.get(c, "string")).alias(c) for c in scd2.version_columns(spec)])
+
+    monkeypatch.setattr(declared, "load_history", load)
+    monkeypatch.setattr(declared, "raw_from_feeds", lambda t: None)
+    got = declared.dq_warehouse(Tables(spark, "unused")).collect()
+    assert all(waited) and sorted(begun) == sorted(plans_warehouse.SPECS)
+    # every table's checks, in the order of the tables; ids and no others are null here
+    assert list(dict.fromkeys(r["table_name"] for r in got)) == list(plans_warehouse.SPECS)
+    assert {r["check_name"] for r in got if r["failures"]} == {f"not_null_{s.id_column}" for s in plans_warehouse.SPECS.values()}
+
+
+def test_versions_leave_a_delta_without_an_interpreted_step(spark):
+    read = reader(spark, [("A", 1, 5, 10, None, 1, None), ("A", 1, 6, 10, None, 4, None), ("A", 2, 6, 10, None, 5, None)], [("A", 10, 1, 0)])
+    fed = written(scd2.with_keys(scd2.collect_following(SPEC, read), SPEC), "fed")
+    target = written(scd2.initial(fed.where(F.col(scd2.UPDATED) < F.lit(at(3))), SPEC), "target")
+    found = scd2.delta(fed, target, SPEC)
+    assert rows(found.select(scd2.KEY, "x", "is_current")) == [("A_1", 5, False), ("A_1", 6, True), ("A_2", 6, True)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" in plan and "lambda" not in plan
